@@ -1 +1,218 @@
-"""To come."""
+"""Files written by Spark from the driver tables, and read back through the sources.
+
+Each query writes to a new folder under the session's shared folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from flowmart import schema, sinks, sources
+from flowmart.operators import catalog
+from flowmart.plans import jobs
+from flowmart.session import shared_dir
+from flowmart.showcase.registry import query
+from flowmart.showcase.views import FLOWS, LONG, WIDE, YEARS, flows, table, wide_flows
+
+_FILES = {
+    "PA1a": "patent_1a- Direct applications_Count_1995_2001.csv",
+    "PA1b": "patent_1b- PCT national phase entries_Count_1995_2001.csv",
+    "TM1a": "trademark_1a- Direct applications_Count_1995_2001.csv",
+    "TM1b": "trademark_1b- Applications via the Madrid system_Count_1995_2001.csv",
+    "ID1a": "industrial_1a- Direct applications_Count_1995_2001.csv",
+    "ID1b": "industrial_1b_office- Applications via the Hague system_Totals_1995_2001.csv",
+}
+PREAMBLE = ["Statistics, yearly counts", "", "Indicator: flows", "Report type: counts", "Years: all", "Source: order lines"]
+
+
+def _quoted(c: str):
+    return F.concat(F.lit('"'), F.col(c), F.lit('"'))
+
+
+def landed_files(spark: SparkSession, sf: str) -> str:
+    """Wide CSV with six preamble lines and placeholder headers, one folder per indicator named as the file lands.
+
+    Lines are numbered so that each folder's preamble leads its file; every folder is written by one task, whose
+    size is bounded by the members of one indicator.
+    """
+    root = shared_dir(spark, "landed")
+    wide = wide_flows(spark, sf)
+    cells = [_quoted("destination_office"), F.lit("NA"), _quoted("origin"), *[F.col(str(y)).cast("string") for y in YEARS]]
+    line = F.concat(*[p for i, c in enumerate(cells) for p in ([F.lit(",")] if i else []) + [F.coalesce(c, F.lit(""))]], F.lit(","))
+    name = F.create_map(*[F.lit(x) for pair in _FILES.items() for x in pair])[F.col("indicator")]
+    rows = wide.select(name.alias("file"), F.lit(len(PREAMBLE) + 1).alias("at"), line.alias("value"))
+    mark = schema.MISSING_HEADER
+    header = ",".join([mark, f"{mark} ({mark})", mark, *[str(y) for y in YEARS]]) + ","
+    heads = F.posexplode(F.array(*[F.lit(x) for x in [*PREAMBLE, header]]))
+    tops = rows.select("file").distinct().select("file", heads).select("file", F.col("pos").alias("at"), F.col("col").alias("value"))
+    (
+        rows.unionByName(tops).repartition("file").sortWithinPartitions("file", "at", "value").drop("at")
+        .write.partitionBy("file").text(root)
+    )
+    return root
+
+
+def _paths(spark: SparkSession, root: str) -> DataFrame:
+    """Landed names, one per indicator folder."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    folder = F.regexp_extract(F.url_decode("path"), "file=([^/]+)/", 1)
+    return listed.select(folder.alias("path")).distinct()
+
+
+def _folder(root: str, code: str) -> str:
+    """The folder of one indicator."""
+    return f"{root}/file={_FILES[code]}"
+
+
+@query("header_repair", """SELECT * FROM (VALUES (0, 'Office'), (1, 'Office (Code)'), (2, 'Origin'), (3, '1995'), (4, '1996'), (5, '1997'), (6, '1998'),
+  (7, '1999'), (8, '2000'), (9, '2001')) t(ordinal, "column")""")
+def header_repair(spark, sf):
+    wide = sources.read_wide_csv(spark, _folder(landed_files(spark, sf), "PA1a"))
+    return catalog.schema_table(wide).select("ordinal", "column")
+
+
+@query("src_wide_csv", f"""WITH {FLOWS}, {WIDE} SELECT destination_office AS "Office", 'NA' AS "Office (Code)", origin AS "Origin",
+  {', '.join(f'CAST("{y}" AS VARCHAR) AS "{y}"' for y in YEARS)} FROM wide WHERE indicator='TM1a'""")
+def src_wide_csv(spark, sf):
+    return sources.read_wide_csv(spark, _folder(landed_files(spark, sf), "TM1a"))
+
+
+@query("staged_from_landing", f"""WITH {FLOWS}, {LONG} SELECT year, destination_office, 'NA' AS destination_office_st3_code, origin, indicator, "count" FROM long
+WHERE indicator IN ('PA1a','PA1b','TM1a')""")
+def staged_from_landing(spark, sf):
+    root, out = landed_files(spark, sf), shared_dir(spark, "staged")
+    for code in ("PA1a", "PA1b", "TM1a"):
+        staged = jobs.stage_indicator(sources.read_wide_csv(spark, _folder(root, code)))
+        staged.write.parquet(f"{out}/indicator={code}")
+    return sources.read_staged(spark, out, ["PA1a", "PA1b", "TM1a"])
+
+
+@query("indicator_from_path", """SELECT path, indicator, location FROM (VALUES ('patent_1a- Direct applications_Count_1995_2001.csv', 'PA1a', NULL),
+  ('patent_1b- PCT national phase entries_Count_1995_2001.csv', 'PA1b', NULL), ('trademark_1a- Direct applications_Count_1995_2001.csv', 'TM1a', NULL),
+  ('trademark_1b- Applications via the Madrid system_Count_1995_2001.csv', 'TM1b', NULL), ('industrial_1a- Direct applications_Count_1995_2001.csv', 'ID1a', NULL),
+  ('industrial_1b_office- Applications via the Hague system_Totals_1995_2001.csv', 'ID1b_office', 'office')) t(path, indicator, location)""")
+def indicator_from_path(spark, sf):
+    paths = _paths(spark, landed_files(spark, sf))
+    return sources.with_indicator(paths, "path", sources.prefix_dim(spark)).select("path", "indicator", "location")
+
+
+@query("landing_manifest")
+def landing_manifest(spark, sf):
+    return sources.landing_manifest(_paths(spark, landed_files(spark, sf)), sources.prefix_dim(spark))
+
+
+@query("staged_scan", f"""WITH {FLOWS} SELECT year, origin, destination_office, "count", indicator FROM flows WHERE indicator IN ('PA1a','TM1b')""")
+def staged_scan(spark, sf):
+    path = shared_dir(spark, "staged")
+    sinks.write_parquet(flows(spark, sf), path, ["indicator"])
+    return sources.read_staged(spark, path, ["PA1a", "TM1b"])
+
+
+@query("csv_subset", "SELECT o_orderkey, o_orderpriority FROM orders")
+def csv_subset(spark, sf):
+    path, orders = shared_dir(spark, "csv"), table(spark, sf, "orders")
+    sinks.export_csv(orders, path, gzip=False)
+    return sources.read_csv(spark, path, orders.schema, ["o_orderkey", "o_orderpriority"])
+
+
+@query("tsv_scan", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part")
+def tsv_scan(spark, sf):
+    path = shared_dir(spark, "tsv")
+    table(spark, sf, "part").select("p_partkey", "p_name", "p_brand").write.option("header", "true").option("sep", "\t").csv(path)
+    if not sources.is_tab_separated(spark, path):
+        raise ValueError("the written file is not tab separated")
+    return sources.read_delimited(spark, path, "\t")
+
+
+@query("semicolon_scan", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name || ';' || n_name AS n_name FROM nation")
+def semicolon_scan(spark, sf):
+    path = shared_dir(spark, "semicolon")
+    names = table(spark, sf, "nation").select("n_nationkey", F.concat_ws(";", "n_name", "n_name").alias("n_name"))
+    names.write.option("header", "true").option("sep", ";").csv(path)
+    return sources.read_delimited(spark, path, ";")
+
+
+@query("csv_gz_roundtrip", """SELECT CAST(c_custkey AS INT) AS c_custkey, 'said "' || c_name || '", then' AS c_name, NULLIF(c_mktsegment, 'BUILDING') AS c_mktsegment, c_acctbal FROM customer""")
+def csv_gz_roundtrip(spark, sf):
+    path = shared_dir(spark, "export") + ".csv.gz"
+    df = table(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.lit('said "'), "c_name", F.lit('", then')).alias("c_name"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).otherwise("").alias("c_mktsegment"), "c_acctbal",
+    )
+    sinks.export_csv(df, path, quote_all=True)
+    return sources.read_any(spark, path)
+
+
+def zipped_documents(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """The documents as zip archives of one CSV each, made by the tasks, and their paths."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    root = shared_dir(spark, "zipped")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+        import uuid
+        import zipfile
+
+        from flowmart.streams import open_stream
+
+        path = f"{root}/{uuid.uuid4().hex}.zip"
+        with open_stream(path, write=True) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt", "documents")
+            with z.open("part.csv", "w", force_zip64=True) as raw, io.TextIOWrapper(raw, "utf-8", newline="") as text:
+                writer = csv.writer(text)
+                writer.writerow(["doc_id", "source", "text"])
+                for batch in batches:
+                    writer.writerows(batch.itertuples(index=False))
+        yield pd.DataFrame({"path": [path]})
+
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text").repartition(spark.sparkContext.defaultParallelism)
+    listing = shared_dir(spark, "zipped_paths")
+    docs.mapInPandas(pack, "path STRING").write.parquet(listing)
+    return root, spark.read.parquet(listing)
+
+
+@query("zip_csv_ingest", "SELECT CAST(doc_id AS INT) AS doc_id, source, trim(text) AS text FROM documents")
+def zip_csv_ingest(spark, sf):
+    _, paths = zipped_documents(spark, sf)
+    declared = schema.contract(doc_id="int", source="string", text="string")
+    spread = paths.repartition(spark.sparkContext.defaultParallelism)
+    return sources.zip_csv_to_parquet(spark, spread, shared_dir(spark, "unzipped"), declared)
+
+
+@query("zip_extract", "SELECT CAST(COUNT(*) AS BIGINT) AS n_docs FROM documents")
+def zip_extract(spark, sf):
+    _, paths = zipped_documents(spark, sf)
+    out = shared_dir(spark, "extracted")
+    listing = sources.extract_zips(spark, paths, out, prefix="raw_").where(F.col("member").endswith(".csv"))
+    found = [r.path for r in listing.select("path").collect()]
+    return sources.read_csv(spark, found, "doc_id LONG, source STRING, text STRING", quoted_newlines=True).agg(F.count("*").alias("n_docs"))
+
+
+@query("xml_flatten", """SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderpriority AS group_priority, kind, amount, amount_unit
+FROM (SELECT o_orderkey, o_orderpriority, 'price' AS kind, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount, 'XDC' AS amount_unit FROM orders
+UNION ALL SELECT o_orderkey, o_orderpriority, 'customer', CAST(o_custkey AS VARCHAR), 'id' FROM orders)""")
+def xml_flatten(spark, sf):
+    def record(kind: str, value, unit: str):
+        amount = F.struct(value.cast("string").alias("_VALUE"), F.lit(unit).alias("_unit"))
+        return F.struct(F.lit(kind).alias("_kind"), amount.alias("amount"))
+
+    path = shared_dir(spark, "xml")
+    records = F.array(record("price", F.col("o_totalprice").cast("decimal(18,2)"), "XDC"), record("customer", F.col("o_custkey"), "id"))
+    nested = F.struct(F.col("o_orderpriority").alias("_priority"), records.alias("record"))
+    table(spark, sf, "orders").select(F.col("o_orderkey").alias("_key"), nested.alias("group")).write.format("xml").option("rowTag", "order").save(path)
+    return sources.read_xml_records(spark, path, "order", ["group", "record"])
+
+
+@query("data_dictionary")
+def data_dictionary(spark, sf):
+    root = shared_dir(spark, "lake") + "/data"
+    table(spark, sf, "orders").write.parquet(f"{root}/staging/orders")
+    sinks.export_csv(table(spark, sf, "customer"), f"{root}/marts/customer")
+    sinks.export_csv(table(spark, sf, "supplier"), f"{root}/_legacy/supplier", gzip=False)
+    sinks.export_csv(table(spark, sf, "supplier"), f"{root}/raw/demo/supplier", gzip=False)
+    found = catalog.data_dictionary(spark, root, ignored=["demo"])
+    return found.select("layer", "table_filetype", "column_name", "column_dtype").distinct()

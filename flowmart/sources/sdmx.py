@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed format of the documents.
 _CODES = "ARRAY<STRUCT<id: STRING, name: STRING>>"
@@ -21,6 +21,11 @@ def read_sdmx_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def _named(entries: str, name: str) -> Column:
+    """The entry with an id, or null."""
+    return F.get(F.filter(entries, lambda x: x["id"] == F.lit(name)), F.lit(0))
+
+
 def decode_sdmx(
     documents: DataFrame,
     dims: Sequence[str],
@@ -39,12 +44,12 @@ def decode_sdmx(
     doc = doc.select(F.get("d.data.structures", F.lit(0)).alias("s"), F.get("d.data.dataSets", F.lit(0)).alias("o"))
     parts = {}
     for i, name in enumerate(dims):
-        found = F.get(F.filter("s.dimensions.observation", lambda x, n=name: x["id"] == n), F.lit(0))
+        found = _named("s.dimensions.observation", name)
         parts[f"pos{i}"], parts[f"codes{i}"] = found["keyPosition"], found["values"]
     if status is not None:
-        attributes = F.col("s.attributes.observation")
-        parts["status_at"] = F.array_position(F.transform(attributes, lambda x: x["id"]), status).cast("int")
-        parts["status_codes"] = F.get(F.filter(attributes, lambda x: x["id"] == status), F.lit(0))["values"]
+        ids = F.transform("s.attributes.observation", lambda x: x["id"])
+        parts["status_at"] = F.array_position(ids, status).cast("int")
+        parts["status_codes"] = _named("s.attributes.observation", status)["values"]
     rows = doc.select(
         *[c.alias(n) for n, c in parts.items()], F.explode("o.observations").alias("key", "cell")
     ).withColumn("at", F.split("key", ":"))

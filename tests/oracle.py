@@ -56,7 +56,7 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> tuple[st
     if sorted(found) != names:
         return f"columns {names} vs {sorted(found)}", len(got)
     for c, kind in df.dtypes:
-        if _KINDS.get(kind, kind) != types[c]:
+        if _KINDS.get(kind, kind.upper()) != types[c]:
             return f"type of {c}: {kind} vs {types[c]}", len(got)
     at = [found.index(c) for c in names]
     want = _sorted([tuple(r[i] for i in at) for r in cur.fetchall()])
