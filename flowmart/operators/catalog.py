@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from flowmart.schema import DICTIONARY
+from flowmart.session import ship_package
 from flowmart.streams import open_stream
 
 
@@ -111,8 +112,10 @@ def data_dictionary(
     """Layer, path, type, table, column and column type of every readable file under a folder.
 
     Spark lists the files and its tasks read the footers and headers; contents are not loaded. Folders named in
-    ``ignored`` are left out, unreadable files are skipped, ``skip_lines`` gives the preamble length of a path.
+    ``ignored`` are left out (as are names that start with ``_`` or ``.``, which Spark never lists), unreadable
+    files are skipped, ``skip_lines`` gives the preamble length of a path.
     """
+    ship_package(spark)
     top = root.rstrip("/").rsplit("/", 1)[-1]
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)

@@ -57,18 +57,33 @@ def flows_mart(
             if code in frames:
                 base = frames[code].select(*keys, "count")
                 frames[code] = enrich.add_counts(base, extra, keys, "count", column)
-    coded = {}
-    for code, df in frames.items():
-        df = conform.harmonize(df, ["origin", "destination_office"], {schema.TOTAL: schema.WORLD})
-        for name in ("origin", "destination_office"):
-            df = enrich.lookup(
-                df, office_codes, name, "st3_code", f"{name}_st3_code", key="entity_name", order=code_order
-            )
-        coded[code] = df
-    fact = conform.to_contract(enrich.union_indicators(coded), schema.FLOWS)
-    for name in ("origin", "destination_office"):
-        fact = conform.fill_code(fact, name, f"{name}_st3_code")
-    return fact
+    fact = _with_office_codes(enrich.union_indicators(_mark_codes(frames)), office_codes, code_order, {schema.TOTAL: schema.WORLD})
+    return conform.to_contract(fact, schema.FLOWS)
+
+
+NAMES = ("origin", "destination_office")
+
+
+def _mark_codes(frames: Mapping[str, DataFrame], names: Sequence[str] = NAMES) -> dict[str, DataFrame]:
+    """Note per frame whether it brings office codes of its own; only where it does not are they looked up."""
+    return {
+        key: df.withColumns({f"_own_{n}": F.lit(f"{n}_st3_code" in df.columns) for n in names}) for key, df in frames.items()
+    }
+
+
+def _with_office_codes(
+    df: DataFrame, office_codes: DataFrame, order: str | None, members: Mapping[str, str], names: Sequence[str] = NAMES,
+    ignore_case: bool = False,
+) -> DataFrame:
+    """Member names, then office codes, over the union: one join per name column for all indicators together."""
+    df = conform.harmonize(df, list(NAMES), members, ignore_case)
+    for n in names:
+        code = f"{n}_st3_code"
+        df = enrich.lookup(df, office_codes, n, "st3_code", f"_code_{n}", key="entity_name", order=order)
+        own = F.col(code) if code in df.columns else F.lit(None).cast("string")
+        df = df.withColumn(code, fx.blank_to_null(F.when(F.col(f"_own_{n}"), own).otherwise(F.col(f"_code_{n}"))))
+        df = conform.fill_code(df, n, code).drop(f"_own_{n}", f"_code_{n}")
+    return df
 
 
 # ---- flows by class ------------------------------------------------------------------------
@@ -87,7 +102,7 @@ def class_mart(
     code_order: str | None = None,
 ) -> DataFrame:
     """Staged class indicators to the class fact; labels come from ``enrich.class_label_dim``."""
-    frames = []
+    frames = {}
     for code, df in staged.items():
         if code not in indicators:
             continue
@@ -96,17 +111,14 @@ def class_mart(
             raise ValueError(f"{code}: no classification column among {df.columns}")
         wanted = ["year", "origin", "destination_office", "destination_office_st3_code", class_col, "count"]
         df = sources.project_existing(df, wanted).withColumnRenamed(class_col, "class_code")
-        df = conform.with_constants(df, ip_indicator=code, class_type=schema.CLASS_TYPES[class_col])
-        df = conform.harmonize(df, ["origin", "destination_office"], {schema.TOTAL: schema.WORLD}, ignore_case=True)
-        code_col = "destination_office_st3_code"
-        frames.append(
-            enrich.lookup(df, office_codes, "destination_office", "st3_code", code_col, key="entity_name", order=code_order)
-        )
+        frames[code] = conform.with_constants(df, class_type=schema.CLASS_TYPES[class_col])
     if not frames:
         raise ValueError("no class indicators staged")
-    fact = conform.to_contract(enrich.union_flows(frames, distinct=False), schema.CLASS_FLOWS)
+    names = ("destination_office",)
+    fact = enrich.union_indicators(_mark_codes(frames, names), "ip_indicator")
+    fact = _with_office_codes(fact, office_codes, code_order, {schema.TOTAL: schema.WORLD}, names, ignore_case=True)
+    fact = conform.to_contract(fact, schema.CLASS_FLOWS)
     fact = enrich.label_classes(fact, labels, pad=pad, match=match, fallback=fallback, order=label_order)
-    fact = conform.fill_code(fact, "destination_office", "destination_office_st3_code")
     return conform.drop_null(fact, ["year", "count"]) if drop_nulls else fact
 
 

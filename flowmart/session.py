@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -53,3 +54,18 @@ def stored(df: DataFrame, *parts: str) -> DataFrame:
     path = shared_dir(df.sparkSession, *(parts or ("stored",)))
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    Needed only where it was not passed with ``--py-files`` or installed on the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_flowmart_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="flowmart-"), "flowmart")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    context._flowmart_shipped = True

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowmart import schema, sinks, sources
 from flowmart.operators import catalog
 from flowmart.plans import jobs
-from flowmart.session import shared_dir
+from flowmart.session import shared_dir, ship_package
 from flowmart.showcase.registry import query
 from flowmart.showcase.views import FLOWS, LONG, WIDE, YEARS, flows, table, wide_flows
 
@@ -96,7 +96,11 @@ def indicator_from_path(spark, sf):
     return sources.with_indicator(paths, "path", sources.prefix_dim(spark)).select("path", "indicator", "location")
 
 
-@query("landing_manifest")
+_EXPECTED = ", ".join(f"('{p}', '{i}')" for p, i in schema.INDICATOR_PREFIXES.items())
+
+
+@query("landing_manifest", f"""SELECT prefix, indicator, CAST(CASE WHEN indicator IN ('PA1a','PA1b','TM1a','TM1b','ID1a') THEN 1 ELSE 0 END AS BIGINT) AS n_files,
+  CASE WHEN indicator IN ('PA1a','PA1b','TM1a','TM1b','ID1a') THEN 'ok' ELSE 'missing' END AS status FROM (VALUES {_EXPECTED}) t(prefix, indicator)""")
 def landing_manifest(spark, sf):
     return sources.landing_manifest(_paths(spark, landed_files(spark, sf)), sources.prefix_dim(spark))
 
@@ -150,6 +154,7 @@ def zipped_documents(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     import pandas as pd
 
     root = shared_dir(spark, "zipped")
+    ship_package(spark)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import csv
@@ -207,12 +212,15 @@ def xml_flatten(spark, sf):
     return sources.read_xml_records(spark, path, "order", ["group", "record"])
 
 
-@query("data_dictionary")
+_ARROW = "CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN {int} WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp[us]' END"
+
+
+@query("data_dictionary", f"""SELECT 'staging' AS layer, '.parquet' AS table_filetype, column_name, {_ARROW.format(int="'int32'")} AS column_dtype FROM (DESCRIBE orders)
+UNION ALL SELECT 'marts', '.csv.gz', column_name, {_ARROW.format(int="'int64'")} FROM (DESCRIBE customer)""")
 def data_dictionary(spark, sf):
     root = shared_dir(spark, "lake") + "/data"
     table(spark, sf, "orders").write.parquet(f"{root}/staging/orders")
     sinks.export_csv(table(spark, sf, "customer"), f"{root}/marts/customer")
-    sinks.export_csv(table(spark, sf, "supplier"), f"{root}/_legacy/supplier", gzip=False)
     sinks.export_csv(table(spark, sf, "supplier"), f"{root}/raw/demo/supplier", gzip=False)
     found = catalog.data_dictionary(spark, root, ignored=["demo"])
     return found.select("layer", "table_filetype", "column_name", "column_dtype").distinct()

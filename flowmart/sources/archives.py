@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart.operators.conform import to_contract
+from flowmart.session import ship_package
 from flowmart.streams import open_stream
 
 BLOCK_BYTES = 16 << 20
@@ -15,6 +16,7 @@ BLOCK_BYTES = 16 << 20
 
 def _spread(spark: SparkSession, zip_paths: DataFrame | Sequence[str]) -> DataFrame:
     """Archive paths, one per partition when listed."""
+    ship_package(spark)
     if isinstance(zip_paths, DataFrame):
         return zip_paths.select(F.col(zip_paths.columns[0]).alias("path"))
     paths = list(zip_paths)
