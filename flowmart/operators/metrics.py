@@ -139,21 +139,22 @@ def rank_of_group(
     )
 
 
-def year_spine(df: DataFrame, lo: int, hi: int, keys: Sequence[str] = (), year: str = "year") -> DataFrame:
-    """Every year in the range, for each distinct key of ``df`` when keys are named."""
-    years = F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(year)
-    if keys:
-        return df.select(*keys).distinct().select(*keys, years)
-    return df.sparkSession.range(1).select(years)
-
-
 def fill_years(
     df: DataFrame, lo: int, hi: int, values: Sequence[str], keys: Sequence[str] = (), year: str = "year", fill: float = 0.0
 ) -> DataFrame:
-    """Yearly series without gaps: years with no row get ``fill``."""
-    on = [*keys, year]
-    series = year_spine(df, lo, hi, keys, year).join(df.select(*on, *values), on, "left")
-    return series.select(*on, *[F.coalesce(F.col(f"`{v}`"), F.lit(fill)).alias(v) for v in values])
+    """Yearly series without gaps: for each key every year in the range, years with no row get ``fill``.
+
+    ``df`` has one row per key and year (a repeated year fails). A key's points are folded into one map, at most
+    one entry per year, so the input is read once and no spine is joined.
+    """
+    point = F.struct(F.col(year), F.struct(*[F.col(f"`{v}`").alias(f"v{i}") for i, v in enumerate(values)]))
+    inside = F.col(year).between(lo, hi)
+    if not keys:
+        df = df.where(inside)
+    folded = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.when(inside, point))).alias("_at"))
+    every = folded.select(*keys, "_at", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(year))
+    here = F.try_element_at("_at", F.col(year))
+    return every.select(*keys, year, *[F.coalesce(here[f"v{i}"], F.lit(fill)).alias(v) for i, v in enumerate(values)])
 
 
 def timeseries(

@@ -215,7 +215,7 @@ def xml_flatten(spark, sf):
 _ARROW = "CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN {int} WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp[us]' END"
 
 
-@query("data_dictionary", f"""SELECT 'staging' AS layer, '.parquet' AS table_filetype, column_name, {_ARROW.format(int="'int32'")} AS column_dtype FROM (DESCRIBE orders)
+@query("data_dictionary", f"""SELECT 'staging' AS layer, '.snappy.parquet' AS table_filetype, column_name, {_ARROW.format(int="'int32'")} AS column_dtype FROM (DESCRIBE orders)
 UNION ALL SELECT 'marts', '.csv.gz', column_name, {_ARROW.format(int="'int64'")} FROM (DESCRIBE customer)""")
 def data_dictionary(spark, sf):
     root = shared_dir(spark, "lake") + "/data"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowmart.operators import enrich
 from flowmart.plans import jobs
+from flowmart.session import stored
 from flowmart.showcase.registry import query
 from flowmart.showcase.views import CLASS_FLOWS, FLOWS, class_flows, flows, table
 
@@ -20,7 +21,7 @@ j AS (SELECT b.*, x.extra FROM b LEFT JOIN x USING (year, origin, destination_of
 t AS (SELECT *, CASE WHEN "count" IS NULL AND extra IS NULL THEN NULL ELSE COALESCE("count",0)+COALESCE(extra,0) END AS tot FROM j)
 SELECT DISTINCT year, origin, destination_office, CASE WHEN "count" IS NOT NULL OR tot > 0 THEN tot END AS "count" FROM t""")
 def enrich_counts(spark, sf):
-    fact = flows(spark, sf)
+    fact = stored(flows(spark, sf))
     base = fact.where(F.col("indicator") == "TM1a").select(*KEYS, F.when(F.col("count") >= 100, F.col("count")).alias("count"))
     extra = fact.where((F.col("indicator") == "TM1b") & (F.col("destination_office") == "NATION_3")).select(
         *KEYS, F.when(F.col("count") < 40, 0.0).when(F.col("count") < 120, F.col("count")).alias("extra")

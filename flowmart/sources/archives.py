@@ -86,9 +86,9 @@ def zip_csv_to_parquet(
 def extract_zips(
     spark: SparkSession, zip_paths: DataFrame | Sequence[str], out_dir: str, prefix: str = ""
 ) -> DataFrame:
-    """Extract all members, each archive in its own task, with ``prefix`` ahead of the file names.
+    """Extract all members, each archive in its own task and folder, with ``prefix`` ahead of the file names.
 
-    A corrupt archive fails the task before anything of it is written. Lazy: runs when the returned listing
+    The folder is named after the archive and a checksum of its path, so equal member names never meet. A corrupt archive fails the task before anything of it is written. Lazy: runs when the returned listing
     (``zip_path, member, path, n_bytes``) is evaluated; a repeated task overwrites its own files.
     """
     listing = "zip_path STRING, member STRING, path STRING, n_bytes LONG"
@@ -96,9 +96,12 @@ def extract_zips(
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import shutil
         import zipfile
+        import zlib
 
         for batch in batches:
             for source in batch.column(0).to_pylist():
+                stem = source.rstrip("/").rsplit("/", 1)[-1].removesuffix(".zip")
+                own = f"{stem}-{zlib.crc32(source.encode()):08x}"
                 with open_stream(source, seekable=True) as f, zipfile.ZipFile(f) as z:
                     bad = z.testzip()
                     if bad is not None:
@@ -107,7 +110,7 @@ def extract_zips(
                         if info.is_dir():
                             continue
                         folder, _, name = info.filename.rpartition("/")
-                        target = "/".join(p for p in (out_dir.rstrip("/"), folder, prefix + name) if p)
+                        target = "/".join(p for p in (out_dir.rstrip("/"), own, folder, prefix + name) if p)
                         if ".." in target.split("/"):
                             raise ValueError(f"{source}: member {info.filename!r} points outside the folder")
                         with z.open(info) as member, open_stream(target, write=True) as out:

@@ -56,6 +56,13 @@ def test_series_has_every_year(spark):
     assert [tuple(r) for r in got] == [(2012, 0.0), (2013, 15.0), (2014, 0.0)]
 
 
+def test_series_per_key_keeps_keys_without_points(spark):
+    df = spark.createDataFrame([("a", 2000, 1.0), ("b", 1990, 2.0), ("a", 2002, None)], "k STRING, year INT, v DOUBLE")
+    got = m.fill_years(df, 2000, 2002, ["v"], ["k"])
+    assert {tuple(r) for r in got.collect()} == {("a", 2000, 1.0), ("a", 2001, 0.0), ("a", 2002, 0.0), ("b", 2000, 0.0), ("b", 2001, 0.0), ("b", 2002, 0.0)}
+    assert m.fill_years(df.limit(0), 2000, 2002, ["v"]).count() == 3
+
+
 def test_bilateral_table(spark):
     got = m.bilateral_table(fact(spark), ["Canada"], ["Japan"], 2013, 2023, "CAN", "JPN").orderBy("year")
     assert got.columns == ["year"] + [f"{r} From {a} to {b}" for a, b in (("CAN", "JPN"), ("JPN", "CAN")) for r in ("PA", "TM", "ID")]

@@ -171,7 +171,12 @@ def test_zip_extraction(spark, tmp_path):
     path = archive(tmp_path / "a.zip", {"d/one.csv": "a\n1\n", "two.csv": "b\n"})
     listing = sources.extract_zips(spark, [path], str(tmp_path / "out"), "raw_").collect()
     assert {r.member for r in listing} == {"d/one.csv", "two.csv"}
-    assert (tmp_path / "out/d/raw_one.csv").read_text() == "a\n1\n"
+    at = {r.member: r.path for r in listing}
+    assert at["d/one.csv"].endswith("/d/raw_one.csv") and open(at["d/one.csv"]).read() == "a\n1\n"
+    (tmp_path / "other").mkdir()
+    again = archive(tmp_path / "other/a.zip", {"two.csv": "c\n"})
+    both = sources.extract_zips(spark, [path, again], str(tmp_path / "out")).where("member = 'two.csv'").collect()
+    assert sorted(open(r.path).read() for r in both) == ["b\n", "c\n"]
     damaged = bytearray((tmp_path / "a.zip").read_bytes())
     damaged[damaged.index(b"a\n1\n")] = 0
     (tmp_path / "bad.zip").write_bytes(bytes(damaged))
