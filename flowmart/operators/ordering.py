@@ -1,10 +1,10 @@
 """Row numbers and ranks that never put an unbounded group into one task.
 
 A plain window sorts each group in a single task. That is right while groups are small, and fails when one year
-holds a large share of all rows. So the input is stored once, its largest group is measured, and a group above
-``SMALL_GROUP`` rows is handled in parts: the rows are cut into ordered ranges, numbered inside each range, and
-shifted by the number of rows in the earlier ranges. The cut points come from the rows with the smallest hashes;
-they decide only how even the ranges are, never the result.
+holds a large share of all rows. So the input is stored once, its rows and groups are counted, and when a group is
+above ``SMALL_GROUP`` rows the table is written again in ranges of the sort order, each row with the number of its
+range. Rows are then numbered inside each range and shifted by the rows of the earlier ranges. The written range
+numbers fix the cut, so a repeated task or a second read cannot move it.
 """
 
 from __future__ import annotations
@@ -13,11 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from flowmart.session import stored
+from flowmart.session import stored, stored_with_count
 
 SMALL_GROUP = 1_000_000
-BUCKETS = 64
-SAMPLES_PER_BUCKET = 16
 
 
 def ascending(c: str) -> list[Column]:
@@ -30,69 +28,40 @@ def descending(c: str) -> list[Column]:
     return [F.col(c).isNull(), -F.col(c)]
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group."""
+def _measured(df: DataFrame, by: Sequence[str], small: int, store: bool) -> tuple[DataFrame, int]:
+    """The input as a written table, and how many ranges it needs (0: its groups suit plain windows)."""
+    total = None
+    if store:
+        df, total = stored_with_count(df)
+    if total is not None and total <= small:
+        return df, 0
     counts = df.groupBy(*by).agg(F.count("*").alias("n"))
-    return counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first().n
+    seen = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("largest"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
+    if seen.largest <= small:
+        return df, 0
+    return df, max(2, df.sparkSession.sparkContext.defaultParallelism, -(-seen.total // max(small, 1)) if small else 0)
 
 
 def number_rows(
-    df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str] = (), small: int = SMALL_GROUP,
-    buckets: int = BUCKETS, store: bool = True,
+    df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str] = (), small: int = SMALL_GROUP, store: bool = True
 ) -> DataFrame:
     """Add ``out`` = 1, 2, 3 … within each ``by`` group, in ``order``, which must be total over the group.
 
     ``store=False`` is for an input that is a written table already.
     """
-    base = stored(df) if store else df
-    if largest_group(base, by) > small:
-        return _number_ranges(base, out, order, by, buckets)
+    base, ranges = _measured(df, by, small, store)
+    if ranges:
+        return _number_ranges(base, out, order, by, ranges)
     keys = by if by else [F.lit(1)]
     return base.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
 
 
-def rank_rows(
-    df: DataFrame, rank: str, position: str, value: str, tie: Sequence[str], by: Sequence[str],
-    small: int = SMALL_GROUP, buckets: int = BUCKETS, store: bool = True,
-) -> DataFrame:
-    """Add ``rank`` (ties share the smallest) and ``position`` (unique, ties broken by ``tie``), largest first."""
-    base = stored(df) if store else df
-    first, order = descending(value), descending(value) + [part for c in tie for part in ascending(c)]
-    if largest_group(base, by) <= small:
-        group = W.partitionBy(*by)
-        return base.withColumns(
-            {
-                rank: F.rank().over(group.orderBy(*first)).cast("long"),
-                position: F.row_number().over(group.orderBy(*order)).cast("long"),
-            }
-        )
-    placed = stored(_number_ranges(base, position, order, by, buckets))
-    # Rows of one value are combined before the shuffle, so a value shared by many rows stays cheap.
-    keys = [*by, value]
-    top = placed.groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)]).agg(F.min(position).alias(rank))
-    same = F.lit(True)
-    for i, c in enumerate(keys):
-        same = same & F.col(c).eqNullSafe(F.col(f"_r{i}"))
-    return placed.join(top, same).select(*df.columns, rank, position)
-
-
-def _number_ranges(df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str], buckets: int) -> DataFrame:
-    """Row numbers by ordered ranges. ``df`` is a written table, read three times."""
+def _number_ranges(df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str], ranges: int) -> DataFrame:
+    """Row numbers by ordered ranges of the whole table."""
     by = list(by)
-    keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    cuts = (
-        keyed.select("_key", F.xxhash64("_key", *by).alias("_hash"))
-        .orderBy("_hash", "_key")
-        .limit(buckets * SAMPLES_PER_BUCKET)
-        .agg(F.array_sort(F.collect_list("_key")).alias("_cuts"))
-        .select(F.filter("_cuts", lambda _, i: i % SAMPLES_PER_BUCKET == 0))
-    )
-    ranged = (
-        keyed.withColumn("_cuts", cuts.scalar())
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_key"))))
-        .drop("_cuts")
-    )
-    earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    cut = df.repartitionByRange(ranges, *[F.col(c) for c in by], *order)
+    ranged = stored(cut.withColumn("_range", F.spark_partition_id()))
+    earlier = W.partitionBy(*(by or [F.lit(1)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*by, "_range")
         .agg(F.count("*").alias("_n"))
@@ -105,9 +74,34 @@ def _number_ranges(df: DataFrame, out: str, order: Sequence[Column], by: Sequenc
     same = F.col("_range") == F.col("_of")
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
-    within = W.partitionBy(*by, "_range").orderBy("_key")
+    within = W.partitionBy(*by, "_range").orderBy(*order)
     return (
         ranged.join(offsets, same)
         .withColumn(out, (F.col("_before") + F.row_number().over(within)).cast("long"))
         .select(*df.columns, out)
     )
+
+
+def rank_rows(
+    df: DataFrame, rank: str, position: str, value: str, tie: Sequence[str], by: Sequence[str], small: int = SMALL_GROUP,
+    store: bool = True,
+) -> DataFrame:
+    """Add ``rank`` (ties share the smallest) and ``position`` (unique, ties broken by ``tie``), largest first."""
+    base, ranges = _measured(df, by, small, store)
+    first, order = descending(value), descending(value) + [part for c in tie for part in ascending(c)]
+    if not ranges:
+        group = W.partitionBy(*by)
+        return base.withColumns(
+            {
+                rank: F.rank().over(group.orderBy(*first)).cast("long"),
+                position: F.row_number().over(group.orderBy(*order)).cast("long"),
+            }
+        )
+    placed = stored(_number_ranges(base, position, order, by, ranges))
+    # Rows of one value are combined before the shuffle, so a value shared by many rows stays cheap.
+    keys = [*by, value]
+    top = placed.groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)]).agg(F.min(position).alias(rank))
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_r{i}"))
+    return placed.join(top, same).select(*df.columns, rank, position)

@@ -18,7 +18,7 @@ def stage_indicator(wide: DataFrame, drop_nulls: bool = False) -> DataFrame:
     """One wide indicator file (bilateral or by class) to long rows with canonical names and types."""
     named = wide.toDF(*[c.strip() for c in wide.columns]).withColumnsRenamed(schema.HEADER_NAMES)
     years = reshape.year_columns(named.columns)
-    known = [c for c in schema.HEADER_NAMES.values() if c in named.columns]
+    known = [c for c in [*schema.HEADER_NAMES.values(), "class_code"] if c in named.columns]
     long = reshape.unpivot_years(named.select(*known, *[F.col(f"`{c}`") for c in years]), known, drop_nulls=drop_nulls)
     texts = {c: fx.blank_to_null(c) for c in known}
     return long.withColumns({**texts, "count": fx.to_number("count")}).select("year", *known, "count")
@@ -101,17 +101,21 @@ def class_mart(
     label_order: str | None = None,
     code_order: str | None = None,
 ) -> DataFrame:
-    """Staged class indicators to the class fact; labels come from ``enrich.class_label_dim``."""
+    """Staged class indicators to the class fact; labels come from ``enrich.class_label_dim``.
+
+    The class type follows from the name of the class column or, when it is plain ``class_code``, from the indicator.
+    """
     frames = {}
     for code, df in staged.items():
         if code not in indicators:
             continue
-        class_col = next((c for c in schema.CLASS_TYPES if c in df.columns), None)
+        class_col = next((c for c in [*schema.CLASS_TYPES, "class_code"] if c in df.columns), None)
         if class_col is None:
             raise ValueError(f"{code}: no classification column among {df.columns}")
+        class_type = schema.CLASS_TYPES.get(class_col) or schema.CLASS_TYPE_OF_CATEGORY[code[:2]]
         wanted = ["year", "origin", "destination_office", "destination_office_st3_code", class_col, "count"]
         df = sources.project_existing(df, wanted).withColumnRenamed(class_col, "class_code")
-        frames[code] = conform.with_constants(df, class_type=schema.CLASS_TYPES[class_col])
+        frames[code] = conform.with_constants(df, class_type=class_type)
     if not frames:
         raise ValueError("no class indicators staged")
     names = ("destination_office",)
@@ -437,6 +441,22 @@ def run_class_flows(
     return n
 
 
+def run_residency(spark: SparkSession, paths: DataFrame, out_dir: str, export_dir: str | None = None, **options) -> int:
+    """Landed residency files (``…_office``, ``…_origin``) to the residency fact, and its CSV export."""
+    located = sources.with_indicator(paths, "path", sources.prefix_dim(spark)).where(F.col("location").isin("office", "origin"))
+    landed = {r.indicator: r.path for r in located.select("indicator", "path").collect() if r.indicator}
+    files = {code: sources.read_wide_csv(spark, path, repair_header=False) for code, path in sorted(landed.items())}
+    n = sinks.write_parquet(residency_mart(files, **options), out_dir, ["indicator"], schema.RESIDENCY_FLOWS)
+    if export_dir:
+        sinks.export_csv(spark.read.parquet(out_dir).select(*schema.RESIDENCY_FLOWS.names), export_dir, quote_all=True)
+    return n
+
+
+def run_macro_flows(spark: SparkSession, paths: Mapping[str, str], out_dir: str) -> DataFrame:
+    """Landed macro tables, keyed as in ``MACRO_TABLES``, to the fact; only the needed columns are parsed."""
+    return sinks.materialize(macro_flows_mart({name: sources.read_delimited(spark, p, ",") for name, p in paths.items()}), out_dir)
+
+
 def run_industry_trade(spark: SparkSession, raw_dir: str, out_dir: str) -> DataFrame:
     """Raw trade Parquet to the globally sorted mart."""
     mart = industry_trade_mart(stage_industry_trade(spark.read.parquet(raw_dir)))

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -51,9 +51,14 @@ def stored(df: DataFrame, *parts: str) -> DataFrame:
     For inputs that an operator reads several times: the work is done once, every later read sees the same
     values, a lost executor costs a re-read, and the planner knows the size of what it joins.
     """
-    path = shared_dir(df.sparkSession, *(parts or ("stored",)))
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored_with_count(df, *parts)[0]
+
+
+def stored_with_count(df: DataFrame, *parts: str) -> tuple[DataFrame, int]:
+    """The same, with the row count observed during the write."""
+    path, seen = shared_dir(df.sparkSession, *(parts or ("stored",))), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ Each query writes to a new folder under the session's shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart import schema, sinks, sources
 from flowmart.operators import catalog
@@ -209,7 +209,10 @@ def xml_flatten(spark, sf):
     records = F.array(record("price", F.col("o_totalprice").cast("decimal(18,2)"), "XDC"), record("customer", F.col("o_custkey"), "id"))
     nested = F.struct(F.col("o_orderpriority").alias("_priority"), records.alias("record"))
     table(spark, sf, "orders").select(F.col("o_orderkey").alias("_key"), nested.alias("group")).write.format("xml").option("rowTag", "order").save(path)
-    return sources.read_xml_records(spark, path, "order", ["group", "record"])
+    declared = T.StructType.fromDDL(
+        "_key STRING, group STRUCT<_priority: STRING, record: ARRAY<STRUCT<_kind: STRING, amount: STRUCT<_VALUE: STRING, _unit: STRING>>>>"
+    )
+    return sources.read_xml_records(spark, path, "order", ["group", "record"], declared)
 
 
 _ARROW = "CASE column_type WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN {int} WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp[us]' END"

@@ -10,7 +10,7 @@ from flowmart.plans import jobs
 from flowmart.session import shared_dir, stored
 from flowmart.showcase.columns import INDUSTRY, industry_text
 from flowmart.showcase.registry import query
-from flowmart.showcase.views import CLASS_FLOWS, FLOWS, YEARS, class_flows, exact_sum, flows, table
+from flowmart.showcase.views import CLASS_FLOWS, FLOWS, YEARS, buyers, class_flows, exact_sum, flows, table
 
 CODES = ["PA1a", "PA1b", "TM1a", "TM1b", "ID1a", "ID1b"]
 
@@ -64,9 +64,8 @@ SELECT year, origin, {_coded('origin')} AS origin_st3_code, destination_office,
   indicator, CAST("count" AS DOUBLE) AS "count" FROM c""")
 def flows_mart(spark, sf):
     staged = {code: jobs.stage_indicator(wide) for code, wide in _landed(spark, sf).items()}
-    buyers = table(spark, sf, "customer").join(table(spark, sf, "nation").where(F.col("n_nationkey") > 2), F.col("c_nationkey") == F.col("n_nationkey"))
     supplement = (
-        table(spark, sf, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        buyers(table(spark, sf, "orders"), spark, sf).where(F.col("n_nationkey") > 2)
         .groupBy(F.year("o_orderdate").alias("year"), F.col("n_name").alias("region"))
         .agg(F.count("*").alias("direct_apps"), F.count_if(F.col("o_orderstatus") == "F").alias("madrid_apps"))
     )
@@ -199,10 +198,9 @@ def ip_charges_mart(spark, sf):
 FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey GROUP BY ALL""")
 def charges_load(spark, sf):
     nation = table(spark, sf, "nation")
-    buyers = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     name = F.when(F.col("n_nationkey") == 0, "World").otherwise(F.col("n_name"))
     mart = (
-        table(spark, sf, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        buyers(table(spark, sf, "orders"), spark, sf)
         .groupBy(F.year("o_orderdate").alias("year"), name.alias("counterpart_country")).agg(exact_sum("o_totalprice").alias("value_cad_millions"))
     )
     dim = nation.select(

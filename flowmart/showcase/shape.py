@@ -8,7 +8,7 @@ from flowmart.operators import conform, reshape
 from flowmart.plans import jobs
 from flowmart.session import stored
 from flowmart.showcase.registry import query
-from flowmart.showcase.views import FLOWS, LONG, WIDE, YEARS, exact_sum, flows, pivoted, table, wide_flows
+from flowmart.showcase.views import FLOWS, LONG, WIDE, YEARS, buyers, exact_sum, flows, pivoted, table, wide_flows
 
 IDS = ["origin", "destination_office", "indicator"]
 
@@ -62,14 +62,11 @@ FROM (SELECT DISTINCT wb_region_code, region, series FROM n) k CROSS JOIN range(
 LEFT JOIN n ON n.wb_region_code=k.wb_region_code AND n.series=k.series AND n.year=y""")
 def unpivot_prefixed(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
-    where = (
-        table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("r_regionkey").cast("string").alias("economy"), F.col("r_name").alias("Country"))
-    )
+    placed = buyers(orders, spark, sf).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    economy = F.col("r_regionkey").cast("string").alias("economy")
     wide = (
-        orders.join(where, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("economy", "Country", F.col("o_orderpriority").alias("Series")).pivot("y", YEARS).agg(F.count(F.lit(1)))
+        placed.groupBy(economy, F.col("r_name").alias("Country"), F.col("o_orderpriority").alias("Series"))
+        .pivot("y", YEARS).agg(F.count(F.lit(1)))
     )
     return jobs.macro_stats(wide.toDF(*wide.columns[:3], *[f"YR{y}" for y in YEARS]))
 

@@ -29,12 +29,19 @@ def exact_sum(c: Column | str) -> Column:
     return F.sum(c.cast("decimal(18,2)")).cast("double")
 
 
-def _lines(spark: SparkSession, sf_dir: str, part_col: str | None) -> DataFrame:
-    """Order lines with customer nation, supplier nation, year and indicator.
+def buyers(orders: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders (with ``o_custkey``) beside their customer's nation.
 
-    The large tables meet on their keys; each has its nation attached first, while it is still narrow.
+    One table is joined at a time: each side of a join is then a plain scan whose size Spark knows, so it can tell
+    whether to broadcast it. A dimension that is itself a join looks as large as the product of its tables.
     """
-    nation = table(spark, sf_dir, "nation")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def _lines(spark: SparkSession, sf_dir: str, part_col: str | None) -> DataFrame:
+    """Order lines with customer nation, supplier nation, year and indicator."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_quantity",
         F.concat(
@@ -43,19 +50,15 @@ def _lines(spark: SparkSession, sf_dir: str, part_col: str | None) -> DataFrame:
         ).alias("indicator"),
         *(["l_partkey"] if part_col else []),
     )
-    seller = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_name").alias("destination_office")
-    )
-    line = line.join(seller, F.col("l_suppkey") == F.col("s_suppkey"))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    seller = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("_seller"), F.col("n_name").alias("destination_office"))
+    line = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(seller, F.col("s_nationkey") == F.col("_seller"))
     if part_col:
         part = table(spark, sf_dir, "part").select("p_partkey", F.col(part_col).alias("class_code"))
         line = line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    buyer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.col("n_name").alias("origin")
-    )
-    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
-    order = order.join(buyer, F.col("o_custkey") == F.col("c_custkey"))
-    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    orders = buyers(orders, spark, sf_dir).select("o_orderkey", "year", F.col("n_name").alias("origin"))
+    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 
 from flowmart import schema
-from flowmart.operators import enrich
+from flowmart.operators import conform, enrich
 from flowmart.plans import jobs
 
 HEADER = "Stats\n\nx\ny\nz\nw\n"
@@ -51,6 +51,27 @@ def test_landing_to_marts(spark, tmp_path):
     }
 
 
+    assert jobs.run_residency(spark, paths, str(tmp_path / "residency")) == 1
+    assert spark.read.parquet(str(tmp_path / "residency")).select(*schema.RESIDENCY_FLOWS.names).first() == (1980, "Canada", "Total", "Resident", "PA1a", 1.0)
+
+
+def test_class_files_by_position(spark):
+    wide = spark.createDataFrame([("Canada", "CA", "Japan", "an Other 7", "3", None), ("Canada", "CA", "Japan", "Class 7", "4", "x")], "a STRING, b STRING, c STRING, d STRING, `2000` STRING, `2001` STRING")
+    staged = jobs.stage_indicator(conform.apply_layout(wide, "by_class"))
+    labels = enrich.class_label_dim(spark.createDataFrame([("8", "x")], "class STRING, industry STRING"), "Nice", pad=True)
+    codes = spark.createDataFrame([("Canada", "CA")], "entity_name STRING, st3_code STRING")
+    got = jobs.class_mart({"TM3a": staged, "PA4a": staged}, codes, labels, pad=True, match="contains", fallback="code", drop_nulls=True)
+    assert {(r.ip_indicator, r.class_type, r.class_code, r["count"]) for r in got.collect()} == {
+        ("TM3a", "Nice", "Other", 3.0), ("TM3a", "Nice", "07", 4.0), ("PA4a", "Tech field", "an Other 7", 3.0), ("PA4a", "Tech field", "Class 7", 4.0)
+    }
+
+
+def test_macro_flows_from_files(spark, tmp_path):
+    (tmp_path / "i.csv").write_text('REF_DATE,GEO,DGUID,Country,Estimates,SCALAR_ID,VALUE\n2020,Canada,x,"Korea, South",Value of imports,3,1.5\n')
+    got = jobs.run_macro_flows(spark, {"imports": str(tmp_path / "i.csv")}, str(tmp_path / "out"))
+    assert [tuple(r) for r in got.collect()] == [(2020, "Korea, South", schema.IMPORTS_FLOW, 1500.0)]
+
+
 def test_class_mart_needs_class_columns(spark):
     df = spark.createDataFrame([(1980, "a", "b", 1.0)], "year INT, origin STRING, destination_office STRING, count DOUBLE")
     none = spark.createDataFrame([], "class_type STRING, class_code_short STRING, class_code_labeled STRING")

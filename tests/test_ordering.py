@@ -55,10 +55,18 @@ def test_numbers_by_ranges_cover_one_to_n(spark):
     assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
 
 
-def test_ranges_stay_balanced_when_one_value_dominates(spark):
+def test_one_value_is_cut_over_ranges(spark):
     df = spark.range(20000).select(F.when(F.col("id") < 15000, 0).otherwise(F.col("id")).alias("v"), "id")
     out = ordering._number_ranges(df, "n", ordering.descending("v") + ordering.ascending("id"), (), 16)
     assert out.agg(F.countDistinct("n"), F.max("n")).first() == (20000, 20000)
+    assert out.where("v = 0").groupBy(F.floor((F.col("n") - 1) / 2500)).count().agg(F.max("count")).first()[0] == 2500
+
+
+def test_number_of_ranges_follows_the_rows(spark):
+    df = spark.range(1000).withColumn("g", F.when(F.col("id") < 900, 1).otherwise(2))
+    assert ordering._measured(df, ["g"], 1000, True)[1] == 0
+    assert ordering._measured(df, ["g"], 900, True)[1] == 0
+    assert ordering._measured(df, ["g"], 5, True)[1] == 200
 
 
 def test_empty_input(spark):
