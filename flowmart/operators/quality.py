@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -22,6 +23,14 @@ class Check:
 Rule = Callable[[DataFrame], Check]
 
 
+_serial = count()
+
+
+def _fresh(name: str) -> str:
+    """A measure name of its own, so that rules of one kind can be given several times."""
+    return f"{name}_{next(_serial)}"
+
+
 def _text(value) -> str:
     return "[" + ", ".join(str(v) for v in value) + "]"
 
@@ -32,20 +41,27 @@ def columns_are(expected: Sequence[str]) -> Rule:
 
 
 def row_count_is(expected: int) -> Rule:
-    return lambda df: Check("row_count", F.col("n_rows") == expected, F.col("n_rows"), {"n_rows": F.count("*")})
+    n = _fresh("rows")
+    return lambda df: Check("row_count", F.col(n) == expected, F.col(n), {n: F.count("*")})
 
 
 def no_nulls(cols: Sequence[str]) -> Rule:
+    n = _fresh("nulls")
+
     def rule(df: DataFrame) -> Check:
         any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-        return Check("no_nulls", F.col("n_null") == 0, F.col("n_null"), {"n_null": F.count_if(any_null)})
+        return Check("no_nulls", F.col(n) == 0, F.col(n), {n: F.count_if(any_null)})
+
     return rule
 
 
 def no_blanks(cols: Sequence[str]) -> Rule:
+    n = _fresh("blanks")
+
     def rule(df: DataFrame) -> Check:
         any_blank = reduce(lambda a, b: a | b, [F.coalesce(F.trim(c) == "", F.lit(False)) for c in cols])
-        return Check("no_blanks", F.col("n_blank") == 0, F.col("n_blank"), {"n_blank": F.count_if(any_blank)})
+        return Check("no_blanks", F.col(n) == 0, F.col(n), {n: F.count_if(any_blank)})
+
     return rule
 
 
@@ -60,7 +76,7 @@ def type_is(col: str, kind: str) -> Rule:
 
 
 def in_range(col: str, lo, hi) -> Rule:
-    low, high = f"min_{col}", f"max_{col}"
+    low, high = _fresh("min"), _fresh("max")
 
     def rule(df: DataFrame) -> Check:
         span = F.concat_ws("..", F.col(low).cast("string"), F.col(high).cast("string"))
@@ -70,7 +86,7 @@ def in_range(col: str, lo, hi) -> Rule:
 
 
 def only_value(col: str, value) -> Rule:
-    low, high, nulls = f"first_{col}", f"last_{col}", f"null_{col}"
+    low, high, nulls = _fresh("min"), _fresh("max"), _fresh("nulls")
 
     def rule(df: DataFrame) -> Check:
         same = (F.col(low) == value) & (F.col(high) == value) & (F.col(nulls) == 0)
@@ -81,12 +97,13 @@ def only_value(col: str, value) -> Rule:
 
 def some(name: str, predicate: Column) -> Rule:
     """At least one row satisfies the predicate (some negative value, not all zero …)."""
-    return lambda df: Check(name, F.col(f"n_{name}") > 0, F.col(f"n_{name}"), {f"n_{name}": F.count_if(predicate)})
+    n = _fresh("some")
+    return lambda df: Check(name, F.col(n) > 0, F.col(n), {n: F.count_if(predicate)})
 
 
 def spot(name: str, rows: Column, holds: Column, expected: int = 1) -> Rule:
     """Exactly ``expected`` rows match, and each of them satisfies ``holds``."""
-    matched, good = f"spot_{name}", f"good_{name}"
+    matched, good = _fresh("spot"), _fresh("good")
     return lambda df: Check(
         name,
         (F.col(matched) == expected) & (F.col(good) == expected),
@@ -96,15 +113,14 @@ def spot(name: str, rows: Column, holds: Column, expected: int = 1) -> Rule:
 
 
 def without_members(col: str, banned: Sequence[str]) -> Rule:
-    name = f"banned_{col}"
-    return lambda df: Check(
-        f"banned:{col}", F.col(name) == 0, F.col(name), {name: F.count_if(F.col(col).isin(*banned))}
-    )
+    n = _fresh("banned")
+    return lambda df: Check(f"banned:{col}", F.col(n) == 0, F.col(n), {n: F.count_if(F.col(col).isin(*banned))})
 
 
 def with_members(col: str, required: Sequence[str]) -> Rule:
+    names = [_fresh("has") for _ in required]
+
     def rule(df: DataFrame) -> Check:
-        names = [f"has_{col}_{i}" for i in range(len(required))]
         measures = {n: F.coalesce(F.bool_or(F.col(col) == m), F.lit(False)) for n, m in zip(names, required)}
         absent = reduce(lambda a, b: a + b, [(~F.col(n)).cast("int") for n in names])
         return Check(f"required:{col}", absent == 0, absent, measures)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from flowmart import schema, sinks, sources
 from flowmart.operators import catalog
 from flowmart.plans import jobs
-from flowmart.session import shared_dir, ship_package
+from flowmart.session import shared_dir, ship_package, stored
 from flowmart.showcase.registry import query
 from flowmart.showcase.views import FLOWS, LONG, WIDE, YEARS, flows, table, wide_flows
 
@@ -36,7 +36,7 @@ def landed_files(spark: SparkSession, sf: str) -> str:
     size is bounded by the members of one indicator.
     """
     root = shared_dir(spark, "landed")
-    wide = wide_flows(spark, sf)
+    wide = stored(wide_flows(spark, sf))
     cells = [_quoted("destination_office"), F.lit("NA"), _quoted("origin"), *[F.col(str(y)).cast("string") for y in YEARS]]
     line = F.concat(*[p for i, c in enumerate(cells) for p in ([F.lit(",")] if i else []) + [F.coalesce(c, F.lit(""))]], F.lit(","))
     name = F.create_map(*[F.lit(x) for pair in _FILES.items() for x in pair])[F.col("indicator")]

@@ -22,7 +22,7 @@ def with_indicator(df: DataFrame, path_col: str, dim: DataFrame) -> DataFrame:
 
     Whole tokens are compared, so ``patent_1a_office`` is not taken for ``patent_1a``.
     """
-    file_name = F.regexp_extract(F.url_decode(path_col), "([^/]+)\\z", 1)
+    file_name = F.regexp_extract(F.coalesce(F.try_url_decode(path_col), F.col(path_col)), "([^/]+)\\z", 1)
     token = F.trim(F.split(file_name, "-")[0])
     parts = df.withColumns(
         {

@@ -48,6 +48,12 @@ def test_missing_members_columns_and_count(spark):
     assert failed(q.report(df, rules)) == {"columns", "row_count", "required:counterpart_country"}
 
 
+def test_rules_of_one_kind_do_not_meet(spark):
+    df = spark.createDataFrame([("a", None)], "x STRING, y STRING")
+    rules = [q.no_nulls(["x"]), q.no_nulls(["y"]), q.without_members("x", ["a"]), q.without_members("x", ["b"])]
+    assert [r.passed for r in q.report(df, rules).collect()] == [True, False, False, True]
+
+
 def test_empty_table_fails_its_checks(spark):
     report = q.report(charges(spark).limit(0), [q.in_range("year", 0, 9), q.only_value("flow_type", "x"), q.some("any", F.lit(True))])
     assert failed(report) == {"range:year", "only:flow_type", "any"}

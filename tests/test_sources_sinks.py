@@ -79,7 +79,7 @@ def test_landing_tokens(spark):
 
 
 def document(status=True):
-    """Six observations: three areas by measure, year and status."""
+    """Six observations over two areas. The decoded and cleaned rows are known for these."""
     codes = lambda *ids: [{"id": i} for i in ids]
     dims = [
         ("REF_AREA", codes("CAN")), ("COUNTERPART_AREA", [{"id": "USA", "name": "United States"}, {"id": "W", "name": "World"}]),
