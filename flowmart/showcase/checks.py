@@ -82,23 +82,36 @@ def load_verify(spark, sf):
 _LOAD = contract(c_name="string", c_nationkey="int", balance="amount", note="string")
 
 
-@query("contract_write", """SELECT c_name, CAST(c_nationkey AS INT) AS c_nationkey, CAST(c_acctbal AS DECIMAL(20,2)) AS balance, CAST(NULL AS VARCHAR) AS note FROM customer""")
+@query("contract_write", """SELECT c_name, CAST(c_nationkey AS INT) AS c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(20,2)) AS DOUBLE) AS balance, CAST(NULL AS VARCHAR) AS note FROM customer""")
 def contract_write(spark, sf):
     path = shared_dir(spark, "contract_write")
     df = table(spark, sf, "customer").select(F.col("c_acctbal").cast("decimal(20,2)").alias("balance"), "c_nationkey", "c_name")
     sinks.write_parquet(df, path, contract=_LOAD, rows_per_file=200_000)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("balance", F.col("balance").cast("double"))
+
+
+_PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
 def _profile(col: str, n: int) -> str:
     text = f"CAST({col} AS VARCHAR)"
     return f"""SELECT '{col}' AS "column", COUNT(DISTINCT {col}) AS n_unique,
-  (SELECT list(v ORDER BY v NULLS FIRST) FROM (SELECT DISTINCT {text} AS v FROM orders ORDER BY v NULLS FIRST LIMIT {n})) AS sample_values FROM orders"""
+  (SELECT string_agg(COALESCE(v, 'null'), ' | ' ORDER BY v NULLS FIRST) FROM (SELECT DISTINCT {text} AS v FROM orders ORDER BY v NULLS FIRST LIMIT {n})) AS sample_values
+FROM orders"""
 
 
-@query("profile_columns", " UNION ALL ".join(_profile(c, 25) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")))
+@query("profile_columns", " UNION ALL ".join(_profile(c, 25) for c in _PROFILED))
 def profile_columns(spark, sf):
-    return catalog.profile(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    found = catalog.profile(table(spark, sf, "orders").select(*_PROFILED))
+    shown = F.transform("sample_values", lambda v: F.coalesce(v, F.lit("null")))
+    return found.withColumn("sample_values", F.array_join(shown, " | "))
+
+
+@query("table_schema", """SELECT column_name AS "column", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+  WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type FROM (DESCRIBE orders)""")
+def table_schema(spark, sf):
+    _, described, _ = catalog.overview(table(spark, sf, "orders"))
+    return described.select("column", "type")
 
 
 @query("table_overview", "SELECT COUNT(*) AS n_rows FROM customer")

@@ -194,7 +194,7 @@ def ip_charges_mart(spark, sf):
 
 
 @query("charges_load", """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(n_nationkey AS INT) AS macroecon_region_id,
-  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS value_cad_millions
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value_cad_millions
 FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey GROUP BY ALL""")
 def charges_load(spark, sf):
     nation = table(spark, sf, "nation")
@@ -207,4 +207,5 @@ def charges_load(spark, sf):
         F.col("n_nationkey").alias("macroecon_region_id"),
         F.when(F.col("n_nationkey") == 0, "All countries").otherwise(F.col("n_name")).alias("region"),
     )
-    return jobs.charges_load(mart, dim, check=False)
+    load = jobs.charges_load(mart, dim, check=False)
+    return load.withColumn("value_cad_millions", F.col("value_cad_millions").cast("double"))

@@ -21,9 +21,9 @@ def bilateral_volume(spark, sf):
 
 
 @query("empty_selection", f"""WITH {FLOWS}
-SELECT year, indicator, SUM("count") AS volume FROM flows WHERE 1=0 GROUP BY year, indicator""")
+SELECT COALESCE(SUM("count"), 0.0) AS total FROM flows WHERE 1=0""")
 def empty_selection(spark, sf):
-    return m.volume(m.flow_filter(flows(spark, sf), HOME, [], PATENTS))
+    return m.total(m.flow_filter(flows(spark, sf), HOME, [], PATENTS))
 
 
 @query("total_volume", f"""WITH {FLOWS}
