@@ -2,7 +2,9 @@
 
 No join here carries a broadcast hint. Spark broadcasts a side only when its known size is under
 ``spark.sql.autoBroadcastJoinThreshold`` (file statistics when planning, real shuffle sizes under adaptive
-execution) and otherwise sorts and merges, splitting skewed partitions.
+execution) and otherwise sorts and merges, splitting skewed partitions. It can split them only when both sides
+come to the join straight from a shuffle, which a side grouped by the join key does not. Such a side is
+therefore written first (``stored``), which also tells the planner its real size.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowmart import functions as fx
 from flowmart.schema import LABELLED_CLASS_TYPES
+from flowmart.session import stored
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -71,7 +74,7 @@ def lookup(
         return df
     key = key or on
     columns = [F.col(key).alias("_key"), F.col(value).alias(out)] + ([F.col(order).alias("_order")] if order else [])
-    side = unique_dim(dim.select(*columns), ["_key"], "_order" if order else None)
+    side = stored(unique_dim(dim.select(*columns), ["_key"], "_order" if order else None))
     joined = df.join(side, F.col(on) == F.col("_key"), "left").drop("_key")
     return joined if default is None else joined.withColumn(out, F.coalesce(out, F.lit(default)))
 
@@ -124,7 +127,7 @@ def label_classes(
     A code without a label keeps its raw text or, with ``fallback="code"``, its normalized code.
     """
     short = F.when(F.col("class_type").isin(*labelled), fx.class_code("class_code", pad, match))
-    side = unique_dim(dim, ["class_type", "class_code_short"], order).withColumnRenamed("class_type", "_type")
+    side = stored(unique_dim(dim, ["class_type", "class_code_short"], order)).withColumnRenamed("class_type", "_type")
     on = (F.col("class_type") == F.col("_type")) & (F.col("_short") == F.col("class_code_short"))
     raw = F.col("class_code") if fallback == "raw" else F.col("_short")
     label = (
@@ -157,7 +160,7 @@ def guarded_join(df: DataFrame, dim: DataFrame, on) -> DataFrame:
     """Join that can neither multiply nor lose rows: a repeated dimension key or an unmatched row fails the job."""
     pairs = _pairs(on)
     rest = [c for c in dim.columns if c not in [b for _, b in pairs]]
-    side = unique_dim(dim, [b for _, b in pairs])
+    side = stored(unique_dim(dim, [b for _, b in pairs]))
     side = side.select(*[F.col(b).alias(f"_{b}") for _, b in pairs], F.struct(*rest).alias("_dim"))
     joined = df.join(side, [F.col(a) == F.col(f"_{b}") for a, b in pairs], "left")
     key_text = F.concat_ws(", ", *[F.coalesce(F.col(a).cast("string"), F.lit("null")) for a, _ in pairs])
@@ -202,7 +205,7 @@ def two_path_match(
     """Match names by the dimension's ``first`` name column, then by ``second``; values are merged per column."""
     out = names
     for path, column in enumerate((first, second)):
-        side = dedupe(dim.where(F.col(column).isNotNull()), [column], order)
+        side = stored(dedupe(dim.where(F.col(column).isNotNull()), [column], order))
         side = side.select(F.col(column).alias(f"_on{path}"), *[F.col(c).alias(f"_{path}_{c}") for c in dim.columns])
         out = out.join(side, F.col(name_col) == F.col(f"_on{path}"), "left")
     return out.select(*names.columns, *[F.coalesce(f"_0_{c}", f"_1_{c}").alias(c) for c in dim.columns])

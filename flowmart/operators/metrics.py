@@ -1,6 +1,7 @@
 """Flow metrics: volumes, shares, changes, series, rankings.
 
-Every metric is one conditional aggregate over one scan of the fact, instead of one scan per number.
+Every metric is one conditional aggregate over one scan of the fact, instead of one scan per number. A total that
+is joined back to the rows it sums is written first, so a group with a large share of the rows can be split.
 """
 
 from __future__ import annotations
@@ -220,7 +221,7 @@ def with_share(
 ) -> DataFrame:
     """Percent of the group total beside each row; the total is a pre-aggregated side, not a window."""
     if by:
-        totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
+        totals = stored(df.groupBy(*by).agg(F.sum(value).alias("_total")))
         joined = df.join(totals, list(by))
     else:
         joined = df.withColumn("_total", df.agg(F.sum(value)).scalar())
@@ -291,6 +292,7 @@ def overlap_window(df: DataFrame, side: str, a: str, b: str, year: str = "year")
 def min_points(df: DataFrame, entity: str, n: int = 2, out: str = "years") -> DataFrame:
     """Rows of entities with at least ``n`` rows; the count is a pre-aggregated side, not a window."""
     counts = df.groupBy(F.col(entity).alias("_entity")).agg(F.count("*").alias(out)).where(F.col(out) >= n)
+    counts = stored(counts)
     return df.join(counts, F.col(entity).eqNullSafe(F.col("_entity"))).select(*df.columns, out)
 
 

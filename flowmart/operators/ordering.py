@@ -100,7 +100,7 @@ def rank_rows(
     placed = stored(_number_ranges(base, position, order, by, ranges))
     # Rows of one value are combined before the shuffle, so a value shared by many rows stays cheap.
     keys = [*by, value]
-    top = placed.groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)]).agg(F.min(position).alias(rank))
+    top = stored(placed.groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)]).agg(F.min(position).alias(rank)))
     same = F.lit(True)
     for i, c in enumerate(keys):
         same = same & F.col(c).eqNullSafe(F.col(f"_r{i}"))
