@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
 
+DIGITS = r"^[+-]?[0-9]+\z"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -29,9 +31,14 @@ def to_number(c) -> Column:
 
 
 def to_whole(c, kind: str = "int") -> Column:
-    """Text to a whole number: ``12.0`` gives 12, ``12.5`` and non-numbers give null."""
+    """Text to a whole number: ``12.0`` gives 12, ``12.5`` and non-numbers give null.
+
+    Plain digits, the usual case, are cast directly; only other text goes through the general number test.
+    """
+    text = F.trim(_col(c).cast("string"))
     number = to_number(c)
-    return F.when(number == F.floor(number), number.try_cast(kind))
+    general = F.when(number == F.floor(number), number.try_cast(kind))
+    return F.when(text.rlike(DIGITS), text.try_cast(kind)).otherwise(general)
 
 
 def unscale(value, exponent) -> Column:
