@@ -217,9 +217,13 @@ def global_share(
 
 
 def with_share(
-    df: DataFrame, value: str, by: Sequence[str] = (), out: str = "pct_share", digits: int | None = None
+    df: DataFrame, value: str, by: Sequence[str] = (), out: str = "pct_share", digits: int | None = None, store: bool = True
 ) -> DataFrame:
-    """Percent of the group total beside each row; the total is a pre-aggregated side, not a window."""
+    """Percent of the group total beside each row; the total is a pre-aggregated side, not a window.
+
+    The rows are read twice, so they are stored first; ``store=False`` is for a written table.
+    """
+    df = stored(df) if store else df
     if by:
         totals = stored(df.groupBy(*by).agg(F.sum(value).alias("_total")))
         joined = df.join(totals, list(by))
@@ -289,8 +293,12 @@ def overlap_window(df: DataFrame, side: str, a: str, b: str, year: str = "year")
     return year_window(df.where(F.col(side).isin(a, b)), ends.first_year, ends.last_year, year)
 
 
-def min_points(df: DataFrame, entity: str, n: int = 2, out: str = "years") -> DataFrame:
-    """Rows of entities with at least ``n`` rows; the count is a pre-aggregated side, not a window."""
+def min_points(df: DataFrame, entity: str, n: int = 2, out: str = "years", store: bool = True) -> DataFrame:
+    """Rows of entities with at least ``n`` rows; the count is a pre-aggregated side, not a window.
+
+    The rows are read twice, so they are stored first; ``store=False`` is for a written table.
+    """
+    df = stored(df) if store else df
     counts = df.groupBy(F.col(entity).alias("_entity")).agg(F.count("*").alias(out)).where(F.col(out) >= n)
     counts = stored(counts)
     return df.join(counts, F.col(entity).eqNullSafe(F.col("_entity"))).select(*df.columns, out)
