@@ -3,9 +3,10 @@ import pytest
 from flowmart.operators import enrich
 
 
-def failing(df):
+def failing(build):
+    """The message of a job that must fail, while it is put together (a stored dimension) or when it runs."""
     with pytest.raises(Exception) as e:
-        df.collect()
+        build().collect()
     return str(e.value)
 
 
@@ -14,7 +15,7 @@ def test_lookup_repeated_keys(spark):
     dim = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("n", "NA", 1)], "name STRING, code STRING, at INT")
     last = enrich.lookup(df, dim, "o", "code", "c", key="name", order="at")
     assert {tuple(r) for r in last.collect()} == {("a", "2"), ("b", None), (None, None)}
-    assert "not unique: a" in failing(enrich.lookup(df, dim, "o", "code", "c", key="name"))
+    assert "not unique: a" in failing(lambda: enrich.lookup(df, dim, "o", "code", "c", key="name"))
     same = enrich.lookup(df, dim.where("at = 1").union(dim.where("at = 1")), "o", "code", "c", key="name", default="-")
     assert {tuple(r) for r in same.collect()} == {("a", "1"), ("b", "-"), (None, "-")}
     assert enrich.lookup(df, dim, "o", "code", "o") is df
@@ -31,9 +32,9 @@ def test_guarded_join(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "i INT, region STRING")
     dim = spark.createDataFrame([("a", 10), ("b", 20)], "region STRING, id INT")
     assert {tuple(r) for r in enrich.guarded_join(df, dim, "region").collect()} == {(1, "a", 10), (2, "b", 20)}
-    assert "unmatched key: b" in failing(enrich.guarded_join(df, dim.where("id = 10"), "region"))
+    assert "unmatched key: b" in failing(lambda: enrich.guarded_join(df, dim.where("id = 10"), "region"))
     repeated = dim.union(spark.createDataFrame([("a", 11)], "region STRING, id INT"))
-    assert "not unique: a" in failing(enrich.guarded_join(df, repeated, "region"))
+    assert "not unique: a" in failing(lambda: enrich.guarded_join(df, repeated, "region"))
     with pytest.raises(ValueError, match="1 unmatched keys.*b"):
         enrich.require_matched(df, dim.where("id = 10"), "region")
     enrich.require_matched(df, dim, "region")
@@ -66,7 +67,7 @@ def test_column_merge(spark):
     assert [r.o for r in enrich.merge_columns(df, "a", "b", "o").collect()] == ["x", "y", "z", None]
     bad = df.union(spark.createDataFrame([("p", "q")], "a STRING, b STRING"))
     assert enrich.merge_conflicts(bad, "a", "b").count() == 1
-    assert "p / q" in failing(enrich.merge_columns(bad, "a", "b", "o"))
+    assert "p / q" in failing(lambda: enrich.merge_columns(bad, "a", "b", "o"))
 
 
 def test_dedupe_keeps_first_by_order(spark):
