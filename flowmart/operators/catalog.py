@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from flowmart.schema import DICTIONARY
+from flowmart.schema import DICTIONARY, PREAMBLE_LINES
 from flowmart.session import ship_package
-from flowmart.streams import open_stream
+from flowmart.sources.landing import FILE_TOKEN
+from flowmart.streams import open_stream, xml_events
 
 
 def _cells(df: DataFrame) -> DataFrame:
@@ -24,8 +27,9 @@ def profile(df: DataFrame, sample_n: int = 25, approx: bool = False) -> DataFram
     """Distinct count per column, and its first ``sample_n`` values in text order, nulls first.
 
     Cells are grouped by (column, value) with map-side combining, so a value that fills a third of a column is
-    one row per task before the shuffle. The samples are cut to ``sample_n`` per task before they are brought
-    together. ``approx`` counts with a sketch.
+    one row per task before the shuffle. A column's distinct values are dealt out by their hash, each share is cut to
+    ``sample_n``, and only those meet; so no task sorts a whole column, whatever ``sample_n`` is. ``approx`` counts with a
+    sketch, which does not shuffle cells.
     """
     values = _cells(df).groupBy("column", "value").agg(F.count("*").alias("n"))
     if approx:
@@ -33,8 +37,11 @@ def profile(df: DataFrame, sample_n: int = 25, approx: bool = False) -> DataFram
         counts = _cells(sketches).select("column", F.col("value").cast("long").alias("n_unique"))
     else:
         counts = values.groupBy("column").agg(F.count("value").alias("n_unique"))
-    first = W.partitionBy("column").orderBy(F.asc_nulls_first("value"))
-    shown = values.withColumn("i", F.row_number().over(first)).where(F.col("i") <= sample_n)
+    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.asc_nulls_first("value")
+    own = values.withColumn("share", F.pmod(F.xxhash64("value"), F.lit(shares)))
+    least = own.withColumn("i", F.row_number().over(W.partitionBy("column", "share").orderBy(order))).where(F.col("i") <= sample_n)
+    shown = least.withColumn("i", F.row_number().over(W.partitionBy("column").orderBy(order))).where(F.col("i") <= sample_n)
     samples = shown.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("s"))
     return counts.join(samples, "column").select("column", "n_unique", F.col("s.value").alias("sample_values"))
 
@@ -59,6 +66,14 @@ def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.range(1).select(F.explode(rows).alias("r")).select("r.*")
 
 
+def filled_counts(df: DataFrame) -> DataFrame:
+    """``ordinal, column, n_filled``: how many rows have a value in each column; one aggregate."""
+    names = df.columns
+    seen = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)])
+    rows = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column"), F.col(f"c{i}").alias("n_filled")) for i, c in enumerate(names)])
+    return seen.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def sample_rows(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
     """A random preview."""
     return df.sample(fraction=fraction, seed=seed)
@@ -69,35 +84,74 @@ def layer_of_path(relative: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(relative, "^[^/]+/([^/]+)/", 1), F.lit("")), F.lit("unknown"))
 
 
+def landed_preamble(path: str) -> int:
+    """Lines ahead of the header: landed indicator files have the usual preamble, other files none."""
+    token = unquote(path).rsplit("/", 1)[-1].split("-")[0].strip()
+    return PREAMBLE_LINES if re.fullmatch(FILE_TOKEN.replace("\\z", ""), token) else 0
+
+
+def _delimited_columns(path: str, sep: str, skip_lines: int, all_tabs: bool) -> list[tuple[str, str]]:
+    """The header's names, all text. With ``all_tabs`` every line of the file must have the header's number of tabs."""
+    import csv
+    import io
+
+    with open_stream(path) as f:
+        text = io.TextIOWrapper(f, "utf-8-sig", errors="replace", newline="")
+        for _ in range(skip_lines):
+            text.readline()
+        if not all_tabs:
+            return [(c.strip(), "string") for c in next(csv.reader(text, delimiter=sep), [])]
+        header = text.readline().rstrip("\r\n")
+        tabs = header.count("\t")
+        if not tabs or any(line.count("\t") != tabs for line in text if line.strip()):
+            return []
+        return [(c.strip(), "string") for c in header.split("\t")]
+
+
+def _xml_columns(path: str) -> list[tuple[str, str]]:
+    """Columns of the flattened record, from two streamed passes that hold tag names and depths only.
+
+    The record is the deepest tag that occurs more than once (the first such tag in the file on a tie). Its columns are its ancestors'
+    attributes prefixed by their tag, its own attributes, its children's text, and their attributes prefixed by theirs.
+    """
+    local = lambda tag: tag.split("}")[-1]
+    counts: dict[str, int] = {}
+    depths: dict[str, int] = {}
+    with open_stream(path) as f:
+        for event, node, above in xml_events(f):
+            if event == "start":
+                counts[node.tag] = counts.get(node.tag, 0) + 1
+                depths[node.tag] = max(len(above) + 1, depths.get(node.tag, 0))
+    repeated = [t for t, n in counts.items() if n > 1]
+    if not repeated:
+        return []
+    record = max(repeated, key=lambda t: depths[t])
+    found: dict[str, None] = {}
+    with open_stream(path) as f:
+        for event, node, above in xml_events(f, record):
+            if event == "end" and node.tag == record:
+                for outer in reversed(above):
+                    found.update({f"{local(outer.tag)}_{k}": None for k in outer.attrib})
+                found.update(dict.fromkeys(node.attrib))
+                for child in node:
+                    found[local(child.tag)] = None
+                    found.update({f"{local(child.tag)}_{k}": None for k in child.attrib})
+    return [(c, "string") for c in found]
+
+
 def _columns_of(path: str, kind: str, skip_lines: int) -> list[tuple[str, str]]:
-    """Column names and types of one file, from its footer or its first block only."""
-    import pyarrow.csv as pc
+    """Column names and types of one file. Only Parquet declares types; other files are text until they are read with a schema."""
     import pyarrow.parquet as pq
 
     if kind == ".parquet":
         with open_stream(path, seekable=True) as f:
             return [(c.name, str(c.type)) for c in pq.read_schema(f)]
-    if kind in (".csv", ".csv.gz", ".csv.bz2", ".txt"):
-        sep = "\t" if kind == ".txt" else ","
-        if kind == ".txt":
-            with open_stream(path) as f:
-                head = f.read(1 << 20).decode("utf-8", "replace").split("\n")[:10]
-            tabs = {line.count("\t") for line in head if line.strip()}
-            if len(tabs) != 1 or tabs == {0}:
-                return []
-        with open_stream(path) as f:
-            options = pc.ReadOptions(skip_rows=skip_lines)
-            reader = pc.open_csv(f, read_options=options, parse_options=pc.ParseOptions(delimiter=sep))
-            return [(c.name, str(c.type)) for c in reader.schema]
+    if kind in (".csv", ".csv.gz", ".csv.bz2"):
+        return _delimited_columns(path, ",", skip_lines, False)
+    if kind in (".tsv", ".txt"):
+        return _delimited_columns(path, "\t", skip_lines, True)
     if kind == ".xml":
-        import xml.etree.ElementTree as ET
-
-        depth = 0
-        with open_stream(path) as f:
-            for event, node in ET.iterparse(f, events=("start", "end")):
-                depth += 1 if event == "start" else -1
-                if event == "end" and depth == 1:
-                    return [(child.tag.split("}")[-1], "string") for child in node]
+        return _xml_columns(path)
     return []
 
 
@@ -106,14 +160,15 @@ def data_dictionary(
     root: str,
     ignored: Sequence[str] = (),
     layer_of: Callable[[Column], Column] = layer_of_path,
-    skip_lines: Callable[[str], int] | None = None,
+    skip_lines: Callable[[str], int] = landed_preamble,
     tasks: int | None = None,
 ) -> DataFrame:
-    """Layer, path, type, table, column and column type of every readable file under a folder.
+    """Layer, path, type, table, column and column type of every file under a folder.
 
-    Spark lists the files and its tasks read the footers and headers; contents are not loaded. Folders named in
-    ``ignored`` are left out (as are names that start with ``_`` or ``.``, which Spark never lists), unreadable
-    files are skipped, ``skip_lines`` gives the preamble length of a path.
+    Spark lists the files and its tasks read footers and headers; XML and tab-separated text is streamed whole. Folders
+    named in ``ignored`` are left out (as are names that start with ``_`` or ``.``, which Spark never lists). ``skip_lines``
+    gives the preamble length of a path; by default landed indicator files have one. A file that cannot be read has
+    one row without a column, which says why in ``error``.
     """
     ship_package(spark)
     top = root.rstrip("/").rsplit("/", 1)[-1]
@@ -137,16 +192,20 @@ def data_dictionary(
         for batch in batches:
             rows = []
             for r in batch.itertuples(index=False):
-                lines = skip_lines(r.path) if skip_lines else 0
+                lines, error = skip_lines(r.path), None
                 kinds = (r.table_filetype.lower(), "." + r.table_filetype.lower().rsplit(".", 1)[-1])
                 for kind in dict.fromkeys(kinds):
                     try:
                         found = _columns_of(r.path, kind, lines)
-                    except Exception:
-                        found = []
+                    except Exception as e:
+                        found, error = [], f"{type(e).__name__}: {e}"
+                    own = (r.layer, r.table_path, r.table_filetype, r.table_name)
                     if found:
-                        rows += [(r.layer, r.table_path, r.table_filetype, r.table_name, c, t) for c, t in found]
+                        rows += [(*own, c, t, None) for c, t in found]
+                        error = None
                         break
+                if error is not None:
+                    rows.append((*own, None, None, error))
             yield pd.DataFrame(rows, columns=DICTIONARY.names)
 
     spread = files.repartition(tasks or spark.sparkContext.defaultParallelism)

@@ -208,8 +208,13 @@ class StageTable:
 
 
 def stage_table(df: DataFrame, config: StageTable) -> DataFrame:
-    """Filter by geography and category, undo the scaling, rename, and cast ``year`` and ``dollar_value``."""
-    kept = df.where((F.col(config.geo) == config.geo_value) & F.col(config.category).isin(*config.categories))
+    """Filter by geography and category, undo the scaling, rename, and cast ``year`` and ``dollar_value``.
+
+    Categories are compared with dashes normalized on both sides, so either spelling is found.
+    """
+    wanted = [c.replace("–", "-").replace("—", "-") for c in config.categories]
+    category = fx.plain_dashes(F.col(f"`{config.category}`"))
+    kept = df.where((F.col(config.geo) == config.geo_value) & category.isin(*wanted))
     value = fx.unscale(fx.to_number(config.value), fx.to_number(config.scalar))
     columns = []
     for source, name in config.rename.items():

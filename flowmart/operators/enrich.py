@@ -12,11 +12,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from flowmart import functions as fx
 from flowmart.schema import LABELLED_CLASS_TYPES
-from flowmart.session import stored
+from flowmart.session import shared_dir, stored
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -59,6 +59,12 @@ def unique_dim(dim: DataFrame, keys: Sequence[str], order: str | None = None) ->
     return dim.groupBy(*keys).agg(best.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
+def lookup_side(dim: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
+    """A dimension as a stored table of one ``_value`` per ``_key``, the last by ``order``."""
+    columns = [F.col(key).alias("_key"), F.col(value).alias("_value")] + ([F.col(order).alias("_order")] if order else [])
+    return stored(unique_dim(dim.select(*columns), ["_key"], "_order" if order else None))
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -68,13 +74,16 @@ def lookup(
     default: str | None = None,
     key: str | None = None,
     order: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Add ``out`` = the dimension's ``value`` for ``on``; skipped when ``out`` is already there."""
+    """Add ``out`` = the dimension's ``value`` for ``on``; skipped when ``out`` is already there.
+
+    ``unique`` is for a dimension made by :func:`lookup_side`, which serves several lookups.
+    """
     if out in df.columns:
         return df
-    key = key or on
-    columns = [F.col(key).alias("_key"), F.col(value).alias(out)] + ([F.col(order).alias("_order")] if order else [])
-    side = stored(unique_dim(dim.select(*columns), ["_key"], "_order" if order else None))
+    side = dim if unique else lookup_side(dim, key or on, value, order)
+    side = side.select(F.col("_key"), F.col("_value").alias(out))
     joined = df.join(side, F.col(on) == F.col("_key"), "left").drop("_key")
     return joined if default is None else joined.withColumn(out, F.coalesce(out, F.lit(default)))
 
@@ -146,26 +155,28 @@ def unmatched(df: DataFrame, dim: DataFrame, on) -> DataFrame:
     return keys.join(side, [F.col(a) == F.col(f"_{b}") for a, b in pairs], "left_anti")
 
 
-def require_matched(df: DataFrame, dim: DataFrame, on, shown: int = 50) -> None:
-    """Raise with the unmatched keys (the message lists up to ``shown`` of them, and their count)."""
-    missing = unmatched(df, dim, on)
-    names = missing.columns
-    some = missing.orderBy(*names).limit(shown).collect()
-    if some:
-        listed = "; ".join(", ".join(str(r[c]) for c in names) for r in some)
-        raise ValueError(f"{missing.count()} unmatched keys, load aborted: {listed}")
+def require_matched(df: DataFrame, dim: DataFrame, on) -> None:
+    """Raise when keys are unmatched. All of them are written to a table, which the message names with their count."""
+    path = shared_dir(df.sparkSession, "unmatched")
+    seen = Observation()
+    unmatched(df, dim, on).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    if seen.get["n"]:
+        raise ValueError(f"{seen.get['n']} unmatched keys, load aborted; they are listed in {path}")
 
 
 def guarded_join(df: DataFrame, dim: DataFrame, on) -> DataFrame:
-    """Join that can neither multiply nor lose rows: a repeated dimension key or an unmatched row fails the job."""
+    """Join that can neither multiply nor lose rows: a repeated dimension key or an unmatched row fails the job.
+
+    The check is a filter, so it holds whatever columns are read, and for ``count()``.
+    """
     pairs = _pairs(on)
     rest = [c for c in dim.columns if c not in [b for _, b in pairs]]
     side = stored(unique_dim(dim, [b for _, b in pairs]))
-    side = side.select(*[F.col(b).alias(f"_{b}") for _, b in pairs], F.struct(*rest).alias("_dim"))
+    side = side.select(*[F.col(b).alias(f"_{b}") for _, b in pairs], F.lit(True).alias("_there"), *[F.col(c).alias(f"_dim_{c}") for c in rest])
     joined = df.join(side, [F.col(a) == F.col(f"_{b}") for a, b in pairs], "left")
     key_text = F.concat_ws(", ", *[F.coalesce(F.col(a).cast("string"), F.lit("null")) for a, _ in pairs])
-    found = F.coalesce(F.col("_dim"), F.raise_error(F.concat(F.lit("unmatched key: "), key_text)))
-    return joined.withColumn("_found", found).select(*df.columns, *[F.col(f"_found.{c}").alias(c) for c in rest])
+    fail = F.raise_error(F.concat(F.lit("unmatched key: "), key_text)).cast("boolean")
+    return joined.where(F.coalesce(F.col("_there"), fail)).select(*df.columns, *[F.col(f"_dim_{c}").alias(c) for c in rest])
 
 
 def attach(
@@ -221,11 +232,10 @@ def merge_conflicts(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def merge_columns(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """One column from two; a row in which both have differing values fails the job."""
+    """One column from two; a row in which both have differing values fails the job, whatever columns are read."""
     text = F.concat(F.lit("conflicting values: "), F.col(a).cast("string"), F.lit(" / "), F.col(b).cast("string"))
-    kind = dict(df.dtypes)[a]
-    merged = F.when(_conflict(a, b), F.raise_error(text).cast(kind)).otherwise(F.coalesce(a, b))
-    return df.withColumn(out, merged).drop(*[c for c in (a, b) if c != out])
+    agree = F.when(_conflict(a, b), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return df.where(agree).withColumn(out, F.coalesce(a, b)).drop(*[c for c in (a, b) if c != out])
 
 
 def union_indicators(frames: Mapping[str, DataFrame], name: str = "indicator") -> DataFrame:

@@ -41,7 +41,7 @@ def _not_member(col: str, members: Sequence[str]) -> Column:
 
 
 def _all(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
+    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
 
 
 def flow_filter(
@@ -129,13 +129,17 @@ def rank_of_group(
     exclude_members: Sequence[str] = (),
     fields: Fields = FIELDS,
 ) -> DataFrame:
-    """Rank of a destination group: 1 + the single destinations whose volume beats the group's combined volume."""
+    """Rank of a destination group: 1 + the single destinations whose volume beats the group's combined volume.
+
+    The fact is summed once, to a stored table of one row per group and destination; rows with a null key make a group.
+    """
     rows = flow_filter(df, origins, None, indicators, exclude_members=exclude_members, fields=fields)
-    each = volume(rows, [*by, fields.dest], fields.value, "_vol")
-    group = each.groupBy(*by).agg(
+    each = stored(volume(rows, [*by, fields.dest], fields.value, "_vol"))
+    group = each.groupBy(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]).agg(
         F.coalesce(F.sum(F.when(_among(fields.dest, dests), F.col("_vol"))), F.lit(0.0)).alias("group_volume")
     )
-    return each.join(group, list(by)).groupBy(*by, "group_volume").agg(
+    same = _all([F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)])
+    return each.join(group, same).groupBy(*by, "group_volume").agg(
         (F.count_if(F.col("_vol") > F.col("group_volume")) + 1).alias("group_rank")
     )
 
@@ -217,16 +221,17 @@ def global_share(
 
 
 def with_share(
-    df: DataFrame, value: str, by: Sequence[str] = (), out: str = "pct_share", digits: int | None = None, store: bool = True
+    df: DataFrame, value: str, by: Sequence[str] = (), out: str = "pct_share", digits: int | None = None, store: bool = False
 ) -> DataFrame:
     """Percent of the group total beside each row; the total is a pre-aggregated side, not a window.
 
-    The rows are read twice, so they are stored first; ``store=False`` is for a written table.
+    The rows are read twice; ``store=True`` writes them first, where making them costs more than that. Rows with a null
+    key make a group.
     """
     df = stored(df) if store else df
     if by:
-        totals = stored(df.groupBy(*by).agg(F.sum(value).alias("_total")))
-        joined = df.join(totals, list(by))
+        totals = stored(df.groupBy(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]).agg(F.sum(value).alias("_total")))
+        joined = df.join(totals, _all([F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]))
     else:
         joined = df.withColumn("_total", df.agg(F.sum(value)).scalar())
     share = fx.percent(value, "_total")
@@ -251,7 +256,7 @@ def top_classes(
     """The ``n`` largest classes of a flow in one year, with their percent of all its classes."""
     rows = flow_filter(df, origins, dests, indicators, [year], fields=fields)
     volumes = volume(rows, [class_col], fields.value, "vol").where(F.col("vol").isNotNull())
-    return top_n(with_share(volumes, "vol", digits=2), "vol", n, [class_col])
+    return top_n(with_share(volumes, "vol", digits=2, store=True), "vol", n, [class_col])
 
 
 def rank_by_year(
@@ -261,18 +266,16 @@ def rank_by_year(
     year: str = "year",
     drop_null_values: bool = True,
     exclude_members: Sequence[str] = (),
-    small: int = ordering.SMALL_GROUP,
-    store: bool = True,
 ) -> DataFrame:
     """``rank`` within each year, largest first (ties share the smallest), and unique ``position`` (ties by entity).
 
-    The input is stored once and then ranked; ``store=False`` is for an input that is a written table already.
+    Values of any ordered type are ranked. The rows are written once, in ranges of their order.
     """
     if drop_null_values:
         df = df.where(F.col(value).isNotNull())
     if exclude_members:
         df = exclude(df, entity, exclude_members)
-    return ordering.rank_rows(df, "rank", "position", value, [entity], [year], small, store=store)
+    return ordering.rank_rows(df, "rank", "position", value, [entity], [year])
 
 
 def overlap_years(df: DataFrame, side: str, a: str, b: str, year: str = "year") -> DataFrame:
@@ -293,26 +296,29 @@ def overlap_window(df: DataFrame, side: str, a: str, b: str, year: str = "year")
     return year_window(df.where(F.col(side).isin(a, b)), ends.first_year, ends.last_year, year)
 
 
-def min_points(df: DataFrame, entity: str, n: int = 2, out: str = "years", store: bool = True) -> DataFrame:
+def min_points(
+    df: DataFrame, entity: str, n: int = 2, out: str = "years", store: bool = False, store_counts: bool = True
+) -> DataFrame:
     """Rows of entities with at least ``n`` rows; the count is a pre-aggregated side, not a window.
 
-    The rows are read twice, so they are stored first; ``store=False`` is for a written table.
+    The rows are read twice; ``store=True`` writes them first. The counts are written, so that an entity with very many
+    rows can be split; ``store_counts=False`` is for rows that an entity has few of, such as one for each year.
     """
     df = stored(df) if store else df
     counts = df.groupBy(F.col(entity).alias("_entity")).agg(F.count("*").alias(out)).where(F.col(out) >= n)
-    counts = stored(counts)
+    counts = stored(counts) if store_counts else counts
     return df.join(counts, F.col(entity).eqNullSafe(F.col("_entity"))).select(*df.columns, out)
 
 
 def cohort_pin(
     ranked: DataFrame, entity: str, k: int, first_year: int | None = None, last_year: int | None = None,
-    year: str = "year", position: str = "position", store: bool = True,
+    year: str = "year", position: str = "position", store: bool = False,
 ) -> DataFrame:
     """Pin each entity to a cohort for all its years.
 
     ``last_top`` with ``slot`` = its position in the last year; ``first_top`` for entities in the first year's
     top ``k`` that are not pinned yet, with ``slot`` counted from the lowest placed; ``other`` otherwise.
-    Each pinned list has at most ``k`` rows.
+    Each pinned list has at most ``k`` rows. ``ranked`` is read four times; ``store=True`` writes it first.
     """
     ranked = stored(ranked) if store else ranked
     if first_year is None or last_year is None:
@@ -345,17 +351,16 @@ def ranking_table(
     """The table behind a ranking chart: rank and position per year, shared years, minimum points, cohorts.
 
     With ``side`` and ``sides`` the years are cut to those both sides cover, and ``show`` is the side ranked.
-    Ranks are taken per year over all entities before the cut.
+    Ranks are taken per year over all entities before the cut. The ranked rows are the only written table.
     """
-    base = stored(df)
-    rows = base if side is None else base.where(F.col(side) == show)
-    ranked = rank_by_year(rows, entity, value, year, exclude_members=exclude_members, store=False)
+    rows = df if side is None else df.where(F.col(side) == show)
+    ranked = rank_by_year(rows, entity, value, year, exclude_members=exclude_members)
     if side is not None:
-        ends = overlap_years(base, side, *sides, year=year).first()
+        ends = overlap_years(df, side, *sides, year=year).first()
         ranked = year_window(ranked, ends.first_year, ends.last_year, year)
     if drop_zero:
         ranked = nonzero(ranked, value)
-    return cohort_pin(min_points(ranked, entity), entity, k, first_year, last_year, year)
+    return cohort_pin(min_points(ranked, entity, store_counts=False), entity, k, first_year, last_year, year)
 
 
 def sort_mart(df: DataFrame, keys: Sequence[str]) -> DataFrame:

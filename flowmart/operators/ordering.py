@@ -1,10 +1,10 @@
 """Row numbers and ranks that never put an unbounded group into one task.
 
-A plain window sorts each group in a single task. That is right while groups are small, and fails when one year
-holds a large share of all rows. So the input is stored once, its rows and groups are counted, and when a group is
-above ``SMALL_GROUP`` rows the table is written again in ranges of the sort order, each row with the number of its
-range. Rows are then numbered inside each range and shifted by the rows of the earlier ranges. The written range
-numbers fix the cut, so a repeated task or a second read cannot move it.
+A plain window sorts each group in a single task, which fails when one year holds a large share of all rows. So the
+table is written once in ranges of the sort order, sorted within each, with the number of its range and place. Rows
+are then numbered by their place and shifted by the rows of the group's earlier ranges, so a group, and even one value,
+may lie in many ranges. The written places fix the order: a repeated task or a second read cannot move a row, and
+rows that the order does not tell apart keep the places they were written in.
 """
 
 from __future__ import annotations
@@ -13,94 +13,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from flowmart.session import stored, stored_with_count
-
-SMALL_GROUP = 1_000_000
+from flowmart.session import stored
 
 
 def ascending(c: str) -> list[Column]:
-    """Sort key parts for one column, nulls last."""
-    return [F.col(c).isNull(), F.col(c)]
+    """Sort key for one column, nulls last."""
+    return [F.asc_nulls_last(c)]
 
 
 def descending(c: str) -> list[Column]:
-    """Sort key parts for one numeric column, largest first, nulls last."""
-    return [F.col(c).isNull(), -F.col(c)]
-
-
-def _measured(df: DataFrame, by: Sequence[str], small: int, store: bool) -> tuple[DataFrame, int]:
-    """The input as a written table, and how many ranges it needs (0: its groups suit plain windows)."""
-    total = None
-    if store:
-        df, total = stored_with_count(df)
-    if total is not None and total <= small:
-        return df, 0
-    counts = df.groupBy(*by).agg(F.count("*").alias("n"))
-    seen = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("largest"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
-    if seen.largest <= small:
-        return df, 0
-    return df, max(2, df.sparkSession.sparkContext.defaultParallelism, -(-seen.total // max(small, 1)) if small else 0)
-
-
-def number_rows(
-    df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str] = (), small: int = SMALL_GROUP, store: bool = True
-) -> DataFrame:
-    """Add ``out`` = 1, 2, 3 … within each ``by`` group, in ``order``, which must be total over the group.
+    """Sort key for one column of any type, largest first, nulls last."""
+    return [F.desc_nulls_last(c)]
 
-    ``store=False`` is for an input that is a written table already.
-    """
-    base, ranges = _measured(df, by, small, store)
-    if ranges:
-        return _number_ranges(base, out, order, by, ranges)
-    keys = by if by else [F.lit(1)]
-    return base.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
 
+def _placed(df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str]) -> DataFrame:
+    """``df`` with ``out``, over one written copy in ranges of the sort order.
 
-def _number_ranges(df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str], ranges: int) -> DataFrame:
-    """Row numbers by ordered ranges of the whole table."""
+    The number of ranges is ``spark.sql.shuffle.partitions``. Each range counts its groups; of that there is a row
+    for each group and further range it lies in.
+    """
     by = list(by)
-    cut = df.repartitionByRange(ranges, *[F.col(c) for c in by], *order)
-    ranged = stored(cut.withColumn("_range", F.spark_partition_id()))
-    earlier = W.partitionBy(*(by or [F.lit(1)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*by, "_range")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
-            F.col("_range").alias("_of"),
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        )
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*[F.asc_nulls_last(c) for c in by], *order]
+    cut = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    row = F.monotonically_increasing_id()
+    ranged = stored(cut.select("*", F.shiftrightunsigned(row, 33).alias("_range"), row.alias("_row")))
+    earlier = W.partitionBy(*[f"_by{i}" for i in range(len(by))] or [F.lit(1)]).orderBy("_of").rowsBetween(W.unboundedPreceding, -1)
+    counts = ranged.groupBy(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_range").alias("_of")).agg(
+        F.count("*").alias("_n"), F.min("_row").alias("_first")
+    )
+    shifts = counts.select(
+        *[f"_by{i}" for i in range(len(by))], "_of", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )
     same = F.col("_range") == F.col("_of")
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
-    within = W.partitionBy(*by, "_range").orderBy(*order)
-    return (
-        ranged.join(offsets, same)
-        .withColumn(out, (F.col("_before") + F.row_number().over(within)).cast("long"))
-        .select(*df.columns, out)
-    )
+    return ranged.join(shifts, same).select(*df.columns, (F.col("_row") + F.col("_shift")).alias(out))
+
+
+def number_rows(df: DataFrame, out: str, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
+    """Add ``out`` = 1, 2, 3 … within each ``by`` group, in ``order``."""
+    return _placed(df, out, order, by)
 
 
 def rank_rows(
-    df: DataFrame, rank: str, position: str, value: str, tie: Sequence[str], by: Sequence[str], small: int = SMALL_GROUP,
-    store: bool = True,
+    df: DataFrame, rank: str, position: str, value: str, tie: Sequence[str], by: Sequence[str]
 ) -> DataFrame:
-    """Add ``rank`` (ties share the smallest) and ``position`` (unique, ties broken by ``tie``), largest first."""
-    base, ranges = _measured(df, by, small, store)
-    first, order = descending(value), descending(value) + [part for c in tie for part in ascending(c)]
-    if not ranges:
-        group = W.partitionBy(*by)
-        return base.withColumns(
-            {
-                rank: F.rank().over(group.orderBy(*first)).cast("long"),
-                position: F.row_number().over(group.orderBy(*order)).cast("long"),
-            }
-        )
-    placed = stored(_number_ranges(base, position, order, by, ranges))
-    # Rows of one value are combined before the shuffle, so a value shared by many rows stays cheap.
+    """Add ``rank`` (ties share the smallest) and ``position`` (unique, ties broken by ``tie``), largest first, nulls last."""
+    order = descending(value) + [part for c in tie for part in ascending(c)]
+    placed = _placed(df, position, order, by)
+    # The first position of a value is its rank; rows of one value are combined before the shuffle.
     keys = [*by, value]
-    top = stored(placed.groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)]).agg(F.min(position).alias(rank)))
+    top = placed.groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)]).agg(F.min(position).alias(rank))
     same = F.lit(True)
     for i, c in enumerate(keys):
         same = same & F.col(c).eqNullSafe(F.col(f"_r{i}"))

@@ -1,4 +1,8 @@
-"""Mart jobs: DataFrames in, DataFrames out. Reading and writing happen only in the ``run_…`` functions."""
+"""Mart jobs: DataFrames in, DataFrames out.
+
+Landed files are read and marts written only in the ``run_…`` functions. The others may store small sides and rows that
+they read twice in the shared work folder (``session.stored``).
+"""
 
 from __future__ import annotations
 
@@ -10,15 +14,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowmart import functions as fx, schema, sinks, sources
 from flowmart.operators import conform, enrich, quality, reshape
 from flowmart.operators.conform import StageTable
+from flowmart.session import stored
 
 # ---- wide indicator files → staged rows ----------------------------------------------------
 
 
+def stage_by_class(wide: DataFrame, drop_nulls: bool = False) -> DataFrame:
+    """A class file. Where its headers are not the known ones, its four leading columns count by position: office, its
+    code, origin, class."""
+    leading = [c for c in wide.columns if c not in reshape.year_columns(wide.columns)]
+    if all(c.strip() in schema.HEADER_NAMES for c in leading):
+        return stage_indicator(wide, drop_nulls)
+    if len(leading) != 4 or wide.columns[:4] != leading:
+        raise ValueError(f"a class file needs four columns ahead of the years, not {leading}")
+    return stage_indicator(conform.apply_layout(wide, "by_class"), drop_nulls)
+
+
 def stage_indicator(wide: DataFrame, drop_nulls: bool = False) -> DataFrame:
-    """One wide indicator file (bilateral or by class) to long rows with canonical names and types."""
+    """One wide indicator file (bilateral or by class) to long rows with canonical names and types.
+
+    A leading column that is none of the known ones fails: without it rows could not be told apart.
+    """
     named = wide.toDF(*[c.strip() for c in wide.columns]).withColumnsRenamed(schema.HEADER_NAMES)
     years = reshape.year_columns(named.columns)
     known = [c for c in [*schema.HEADER_NAMES.values(), "class_code"] if c in named.columns]
+    unknown = [c for c in named.columns if c not in known and c not in years]
+    if unknown:
+        raise ValueError(f"unknown columns in an indicator file: {unknown}")
     long = reshape.unpivot_years(named.select(*known, *[F.col(f"`{c}`") for c in years]), known, drop_nulls=drop_nulls)
     texts = {c: fx.blank_to_null(c) for c in known}
     return long.withColumns({**texts, "count": fx.to_number("count")}).select("year", *known, "count")
@@ -45,19 +67,21 @@ def flows_mart(
     ``office_codes`` has ``entity_name, st3_code``; ``supplement`` has ``year, region, direct_apps, madrid_apps``.
     """
     frames = {code: df for code, df in staged.items() if code in indicators}
-    if supplement is not None:
-        extra = supplement.withColumnRenamed("region", "origin").distinct().withColumns(
-            {
-                "destination_office": F.lit(schema.SUPPLEMENT_OFFICE),
-                "destination_office_st3_code": F.lit(schema.SUPPLEMENT_OFFICE_CODE),
-            }
+    counted = {code: column for code, column in schema.SUPPLEMENT_COUNTS.items() if code in frames and supplement is not None}
+    fact = enrich.union_indicators(_mark_codes({c: df for c, df in frames.items() if c not in counted})) if len(frames) > len(counted) else None
+    if counted:
+        # One join for all supplemented indicators together.
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("indicator"), F.col(x).alias("extra")) for c, x in counted.items()]))
+        extra = supplement.withColumnRenamed("region", "origin").distinct().select("year", "origin", each.alias("e")).select(
+            "year", "origin", "e.*", F.lit(schema.SUPPLEMENT_OFFICE).alias("destination_office"),
+            F.lit(schema.SUPPLEMENT_OFFICE_CODE).alias("destination_office_st3_code"),
         )
-        keys = ["year", "origin", "destination_office", "destination_office_st3_code"]
-        for code, column in schema.SUPPLEMENT_COUNTS.items():
-            if code in frames:
-                base = frames[code].select(*keys, "count")
-                frames[code] = enrich.add_counts(base, extra, keys, "count", column)
-    fact = _with_office_codes(enrich.union_indicators(_mark_codes(frames)), office_codes, code_order, {schema.TOTAL: schema.WORLD})
+        keys = ["year", "origin", "destination_office", "destination_office_st3_code", "indicator"]
+        base = enrich.union_indicators({c: frames[c] for c in counted}).select(*keys, "count")
+        more = enrich.add_counts(base, extra, keys, "count", "extra")
+        more = more.withColumns({"_own_origin": F.lit(False), "_own_destination_office": F.lit(True)})
+        fact = more if fact is None else fact.unionByName(more, allowMissingColumns=True)
+    fact = _with_office_codes(fact, office_codes, code_order, {schema.TOTAL: schema.WORLD})
     return conform.to_contract(fact, schema.FLOWS)
 
 
@@ -77,9 +101,10 @@ def _with_office_codes(
 ) -> DataFrame:
     """Member names, then office codes, over the union: one join per name column for all indicators together."""
     df = conform.harmonize(df, list(NAMES), members, ignore_case)
+    side = enrich.lookup_side(office_codes, "entity_name", "st3_code", order)
     for n in names:
         code = f"{n}_st3_code"
-        df = enrich.lookup(df, office_codes, n, "st3_code", f"_code_{n}", key="entity_name", order=order)
+        df = enrich.lookup(df, side, n, "st3_code", f"_code_{n}", unique=True)
         own = F.col(code) if code in df.columns else F.lit(None).cast("string")
         df = df.withColumn(code, fx.blank_to_null(F.when(F.col(f"_own_{n}"), own).otherwise(F.col(f"_code_{n}"))))
         df = conform.fill_code(df, n, code).drop(f"_own_{n}", f"_code_{n}")
@@ -410,6 +435,8 @@ def run_staging(
         wide = sources.read_wide_csv(spark, path)
         if code in schema.UNILATERAL_INDICATORS:
             staged = stage_unilateral(wide, typed=code == "PA3")
+        elif code in schema.CLASS_INDICATORS:
+            staged = stage_by_class(wide)
         else:
             staged = stage_indicator(wide)
         staged.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/indicator={code}")
@@ -446,9 +473,17 @@ def run_class_flows(
     return n
 
 
-def run_residency(spark: SparkSession, paths: DataFrame, out_dir: str, export_dir: str | None = None, **options) -> int:
-    """Landed residency files (``…_office``, ``…_origin``) to the residency fact, and its CSV export."""
-    located = sources.with_indicator(paths, "path", sources.prefix_dim(spark)).where(F.col("location").isin("office", "origin"))
+def run_residency(
+    spark: SparkSession, paths: DataFrame, out_dir: str, export_dir: str | None = None, allow_missing: bool = True, **options
+) -> int:
+    """Landed residency files (``…_office``, ``…_origin``) to the residency fact, and its CSV export.
+
+    Two files for one indicator and location fail; a missing one does where ``allow_missing`` is off.
+    """
+    dim = sources.prefix_dim(spark)
+    manifest = sources.landing_manifest(paths, dim, locations=("office", "origin"))
+    sources.require_landing(manifest, allow_missing)
+    located = sources.with_indicator(paths, "path", dim).where(F.col("location").isin("office", "origin"))
     landed = {r.indicator: r.path for r in located.select("indicator", "path").collect() if r.indicator}
     files = {code: sources.read_wide_csv(spark, path, repair_header=False) for code, path in sorted(landed.items())}
     n = sinks.write_parquet(residency_mart(files, **options), out_dir, ["indicator"], schema.RESIDENCY_FLOWS)
@@ -469,9 +504,29 @@ def run_industry_trade(spark: SparkSession, raw_dir: str, out_dir: str) -> DataF
 
 
 def run_charges(spark: SparkSession, documents_path: str, out_dir: str, expected_rows: int | None = None) -> DataFrame:
-    """SDMX-JSON to the gated charges mart; the constant dimensions and the mart contract are checked before use."""
-    decoded = stage_charges(sources.read_sdmx_json(spark, documents_path))
+    """SDMX-JSON to the gated charges mart.
+
+    Documents are decoded once, to a stored table. The constant dimensions and the mart contract are checked on stored rows,
+    before ``out_dir`` is touched: a mart that fails leaves the old one as it was.
+    """
+    decoded = stored(stage_charges(sources.read_sdmx_json(spark, documents_path)))
     quality.gate(quality.constants(decoded, schema.CHARGES_CONSTANTS))
-    mart = sinks.materialize(ip_charges_mart(clean_charges(decoded)), out_dir, sort=["year", "counterpart_country"])
+    mart = stored(ip_charges_mart(clean_charges(decoded)))
+    quality.gate(quality.report(mart, charges_rules(expected_rows)))
+    return sinks.materialize(mart, out_dir, sort=["year", "counterpart_country"])
+
+
+def run_charges_load(spark: SparkSession, mart_dir: str, regions: DataFrame, out_dir: str, expected_rows: int | None = None) -> DataFrame:
+    """The charges mart to its load table: gate, guarded join to region ids, write, verify; returns the verification row.
+
+    Nothing is written unless the mart passes its contract and every name has a region; all names without one are listed in
+    a table that the error names.
+    """
+    mart = spark.read.parquet(mart_dir)
     quality.gate(quality.report(mart, charges_rules(expected_rows)))
-    return mart
+    rows = stored(charges_load(mart, regions))
+    n = sinks.write_parquet(rows, out_dir, contract=schema.CHARGES_LOAD)
+    verified = sinks.verify_written(spark, out_dir, n)
+    if not verified.first().passed:
+        raise ValueError(f"{out_dir}: the rows found are not those written")
+    return verified

@@ -45,6 +45,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, *parts, uuid.uuid4().hex)
 
 
+_STORED: list[str] = []
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete the folders that ``stored`` wrote in this process; returns how many. Results that read them are void then."""
+    jvm = spark.sparkContext._jvm
+    n = 0
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def stored(df: DataFrame, *parts: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
@@ -58,6 +71,7 @@ def stored_with_count(df: DataFrame, *parts: str) -> tuple[DataFrame, int]:
     """The same, with the row count observed during the write."""
     path, seen = shared_dir(df.sparkSession, *(parts or ("stored",))), Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
 
 

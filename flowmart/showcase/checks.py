@@ -107,11 +107,27 @@ def profile_columns(spark, sf):
     return found.withColumn("sample_values", F.array_join(shown, " | "))
 
 
-@query("table_schema", """SELECT column_name AS "column", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-  WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type FROM (DESCRIBE orders)""")
+@query("table_schema", " UNION ALL ".join(
+    f"""SELECT column_name AS "column", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+  WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type, (SELECT COUNT({c}) FROM orders) AS n_filled FROM (DESCRIBE orders) WHERE column_name='{c}'"""
+    for c in _COLUMNS))
 def table_schema(spark, sf):
-    _, described, _ = catalog.overview(table(spark, sf, "orders"))
-    return described.select("column", "type")
+    orders = table(spark, sf, "orders").select(*_COLUMNS)
+    _, described, _ = catalog.overview(orders)
+    return described.join(catalog.filled_counts(orders), ["ordinal", "column"]).select("column", "type", "n_filled")
+
+
+@query("table_head", "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10")
+def table_head(spark, sf):
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey")
+    _, _, head = catalog.overview(rows, 10)
+    return head
+
+
+@query("sampled_rows")
+def sampled_rows(spark, sf):
+    """A tenth of the orders at random, by a fixed seed; SQL cannot name the rows, a test holds them against the table."""
+    return catalog.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 0.1)
 
 
 @query("table_overview", "SELECT COUNT(*) AS n_rows FROM customer")

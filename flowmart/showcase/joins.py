@@ -131,16 +131,13 @@ def two_path_match(spark, sf):
 
 
 @query("union_indicators", f"""WITH {FLOWS}
-SELECT year, origin, destination_office, "count", 'PA1a' AS indicator FROM flows WHERE indicator='PA1a'
-UNION ALL SELECT year, origin, NULL, "count", 'TM7' FROM flows WHERE indicator='TM1a'""")
+SELECT year, origin, CASE WHEN indicator='TM1a' THEN NULL ELSE destination_office END AS destination_office, "count",
+  CASE WHEN indicator='TM1a' THEN 'TM7' ELSE indicator END AS indicator FROM flows""")
 def union_indicators(spark, sf):
     fact = flows(spark, sf)
-    return enrich.union_indicators(
-        {
-            "PA1a": fact.where(F.col("indicator") == "PA1a").drop("indicator"),
-            "TM7": fact.where(F.col("indicator") == "TM1a").drop("indicator", "destination_office"),
-        }
-    )
+    frames = {code: fact.where(F.col("indicator") == code).drop("indicator") for code in ("PA1a", "PA1b", "TM1b", "ID1a", "ID1b")}
+    frames["TM7"] = fact.where(F.col("indicator") == "TM1a").drop("indicator", "destination_office")
+    return enrich.union_indicators(frames)
 
 
 @query("union_flows", f"""WITH {FLOWS}

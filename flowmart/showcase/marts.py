@@ -74,15 +74,18 @@ def flows_mart(spark, sf):
 
 @query("class_mart", f"""WITH {CLASS_FLOWS.replace('p_type AS class_code', 'p_brand AS class_code')},
 r AS (SELECT year, {_renamed('origin')} AS origin, {_renamed('destination_office')} AS destination_office,
-  CASE indicator WHEN 'PA1a' THEN 'PA5' WHEN 'TM1a' THEN 'TM4a' ELSE 'ID4b' END AS ip_indicator, class_code, "count"
-  FROM class_flows WHERE indicator IN ('PA1a','TM1a','ID1b'))
+  CASE indicator WHEN 'PA1a' THEN 'PA5' WHEN 'PA1b' THEN 'PA4a' WHEN 'TM1a' THEN 'TM4a' WHEN 'TM1b' THEN 'TM4b' WHEN 'ID1a' THEN 'ID4a' ELSE 'ID4b' END AS ip_indicator, class_code, "count"
+  FROM class_flows)
 SELECT year, origin, destination_office, {_coded('destination_office')} AS destination_office_st3_code, ip_indicator,
   CASE substr(ip_indicator, 1, 2) WHEN 'PA' THEN 'Tech field' WHEN 'TM' THEN 'Nice' ELSE 'Locarno' END AS class_type,
-  CASE WHEN ip_indicator='TM4a' AND class_code <> 'Brand#7' THEN CAST(regexp_extract(class_code, '([0-9]+)', 1) AS INT) || ' - ' || class_code
+  CASE WHEN ip_indicator IN ('TM4a','TM4b') AND class_code <> 'Brand#7' THEN CAST(regexp_extract(class_code, '([0-9]+)', 1) AS INT) || ' - ' || class_code
     ELSE class_code END AS class_code, "count" FROM r""")
 def class_mart(spark, sf):
     fact = stored(class_flows(spark, sf, "p_brand"))
-    columns = {"PA5": ("PA1a", "tech_field"), "TM4a": ("TM1a", "nice_class"), "ID4b": ("ID1b", "locarno_class")}
+    columns = {
+        "PA5": ("PA1a", "tech_field"), "PA4a": ("PA1b", "tech_field"), "TM4a": ("TM1a", "nice_class"), "TM4b": ("TM1b", "class_code"),
+        "ID4a": ("ID1a", "locarno_class"), "ID4b": ("ID1b", "locarno_class"),
+    }
     staged = {
         code: fact.where(F.col("indicator") == source).select(
             "year", _member("origin").alias("origin"), F.lower(_member("destination_office")).alias("low"),

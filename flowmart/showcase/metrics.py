@@ -21,9 +21,13 @@ def bilateral_volume(spark, sf):
 
 
 @query("empty_selection", f"""WITH {FLOWS}
-SELECT COALESCE(SUM("count"), 0.0) AS total FROM flows WHERE 1=0""")
+SELECT 'no destination' AS selection, 0.0::DOUBLE AS total
+UNION ALL SELECT 'any destination', COALESCE(SUM("count"), 0.0) FROM flows WHERE origin='NATION_3' AND indicator IN ('PA1a','PA1b')""")
 def empty_selection(spark, sf):
-    return m.total(m.flow_filter(flows(spark, sf), HOME, [], PATENTS))
+    """An empty list selects nothing and gives zero, no list selects all."""
+    def of(name, dests):
+        return m.total(m.flow_filter(flows(spark, sf), HOME, dests, PATENTS)).select(F.lit(name).alias("selection"), "total")
+    return of("no destination", []).unionByName(of("any destination", None))
 
 
 @query("total_volume", f"""WITH {FLOWS}

@@ -20,3 +20,21 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             ORACLE[name] = sql
         return fn
     return register
+
+
+Fixture = Callable[[SparkSession, str], object]
+
+#: Makers of the files that queries read; a benchmark runs them before its clock.
+FIXTURES: list[Fixture] = []
+_MADE: dict[tuple, object] = {}
+
+
+def fixture(fn: Fixture) -> Fixture:
+    """Make a query's input files once for each application and folder of tables."""
+    def made(spark: SparkSession, sf: str):
+        key = (spark.sparkContext.applicationId, fn.__name__, sf)
+        if key not in _MADE:
+            _MADE[key] = fn(spark, sf)
+        return _MADE[key]
+    FIXTURES.append(made)
+    return made

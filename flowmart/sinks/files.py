@@ -22,13 +22,17 @@ def write_parquet(
     rows_per_file: int = 0,
     row_group_bytes: int | None = None,
 ) -> int:
-    """Write Parquet, replacing the folder, and return the row count; with a contract an empty result is an error.
+    """Write Parquet, replacing the folder, and return the row count.
+
+    With a contract an empty result is an error, found before the old folder is touched.
 
     The contract fixes column order and types and fills absent columns with null. Partitioned output is
     rebalanced first: small partitions share tasks, and a partition value with many rows is split over several.
     """
     if contract is not None:
         df = df.to(contract)
+        if df.isEmpty():
+            raise ValueError(f"{path}: nothing was written")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     counted, seen = _counted(df)
@@ -38,10 +42,7 @@ def write_parquet(
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)
-    n = seen.get["n"]
-    if contract is not None and n == 0:
-        raise ValueError(f"{path}: nothing was written")
-    return n
+    return seen.get["n"]
 
 
 def export_csv(df: DataFrame, path: str, gzip: bool = True, quote_all: bool = False) -> None:

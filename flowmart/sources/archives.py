@@ -7,7 +7,6 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from flowmart.operators.conform import to_contract
 from flowmart.session import ship_package
 from flowmart.streams import open_stream
 
@@ -23,27 +22,59 @@ def _spread(spark: SparkSession, zip_paths: DataFrame | Sequence[str]) -> DataFr
     return spark.createDataFrame([(p,) for p in paths], "path STRING").repartition(max(len(paths), 1))
 
 
+FIRST = "*first*"
+
+
 def _pick(names: Sequence[str], member: str | None, path: str) -> str:
+    """The named member, the first one when asked for (``FIRST``), else the only one."""
     csvs = [n for n in names if n.lower().endswith(".csv")]
     if not csvs:
         raise FileNotFoundError(f"{path}: no .csv member")
+    if member == FIRST:
+        return csvs[0]
     if member is not None and member not in csvs:
-        raise FileNotFoundError(f"{path}: no member {member!r} among {csvs[:5]}")
+        raise FileNotFoundError(f"{path}: no member {member!r} among {csvs}")
+    if member is None and len(csvs) > 1:
+        raise ValueError(f"{path}: several .csv members, choose one: {csvs}")
     return member or csvs[0]
 
 
+def _headers(member: str | None, sep: str):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import csv
+        import io
+        import zipfile
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open_stream(path, seekable=True) as f, zipfile.ZipFile(f) as z, z.open(_pick(z.namelist(), member, path)) as stream:
+                    header = next(csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""), delimiter=sep), [])
+                yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
+    return read
+
+
 def read_zip_csv(
     spark: SparkSession,
     zip_paths: DataFrame | Sequence[str],
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     member: str | None = None,
     sep: str = ",",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Rows of the chosen (or first) CSV member of each archive, conformed to ``schema``.
+    """Rows of one CSV member of each archive, unchanged.
 
-    Quoted newlines are allowed. A task holds one block of text at a time.
+    ``member`` names it or is ``FIRST``; by default an archive must have only one. Without ``schema`` all columns of the header come as
+    text, and all archives must have the same header. With it the declared columns are found by name and cast; an
+    absent column and a value that does not cast fail. Text is kept as it is; an empty cell is null. Quoted newlines
+    are allowed. A task holds one block of text at a time.
     """
+    paths = _spread(spark, zip_paths)
+    if schema is None:
+        heads = paths.mapInArrow(_headers(member, sep), "path STRING, header ARRAY<STRING>")
+        found = heads.groupBy("header").agg(F.min("path").alias("path")).limit(2).collect()
+        if len(found) != 1:
+            raise ValueError(f"headers differ between {found[0].path} and {found[1].path}" if found else "no archives")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in found[0].header])
     names = schema.names
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -53,7 +84,7 @@ def read_zip_csv(
         import pyarrow.csv as pc
 
         convert = pc.ConvertOptions(
-            column_types={n: pa.string() for n in names}, include_columns=names, include_missing_columns=True,
+            column_types={n: pa.string() for n in names}, include_columns=names,
             null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=True,
         )
         for batch in batches:
@@ -66,21 +97,23 @@ def read_zip_csv(
                         )
                         yield from reader
 
-    return to_contract(_spread(spark, zip_paths).mapInArrow(read, text), schema)
+    rows = paths.mapInArrow(read, text)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def zip_csv_to_parquet(
     spark: SparkSession,
     zip_paths: DataFrame | Sequence[str],
     out_dir: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     member: str | None = None,
     sep: str = ",",
     codec: str = "snappy",
 ) -> DataFrame:
     """Write the archives' rows as Parquet and return the written table."""
-    read_zip_csv(spark, zip_paths, schema, member, sep).write.mode("overwrite").option("compression", codec).parquet(out_dir)
-    return spark.read.schema(schema).parquet(out_dir)
+    rows = read_zip_csv(spark, zip_paths, schema, member, sep)
+    rows.write.mode("overwrite").option("compression", codec).parquet(out_dir)
+    return spark.read.schema(rows.schema).parquet(out_dir)
 
 
 def extract_zips(

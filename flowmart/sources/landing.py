@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,14 +36,18 @@ def with_indicator(df: DataFrame, path_col: str, dim: DataFrame) -> DataFrame:
     ).withColumn("indicator", F.nullif("_i", F.lit(""))).drop("_i")
 
 
-def landing_manifest(paths: DataFrame, dim: DataFrame, path_col: str = "path") -> DataFrame:
-    """Files per expected prefix: ``prefix, indicator, n_files, status`` (``ok``, ``missing``, ``duplicate``)."""
-    found = (
-        with_indicator(paths, path_col, dim).where(F.col("location").isNull())
-        .groupBy(F.col("indicator").alias("_found")).agg(F.count("*").alias("_n"))
-    )
+def landing_manifest(
+    paths: DataFrame, dim: DataFrame, path_col: str = "path", locations: Sequence[str | None] = (None,)
+) -> DataFrame:
+    """Files per expected prefix and location: ``prefix, indicator, n_files, status`` (``ok``, ``missing``, ``duplicate``).
+
+    ``locations`` are those looked for; the default is files without one. With others, ``indicator`` ends in the location.
+    """
+    found = with_indicator(paths, path_col, dim).groupBy(F.col("indicator").alias("_found")).agg(F.count("*").alias("_n"))
     n = F.coalesce("_n", F.lit(0)).cast("long")
-    return dim.join(found, F.col("indicator") == F.col("_found"), "left").select(
+    at = F.explode(F.array(*[F.lit(x).cast("string") for x in locations]))
+    expected = dim.select("prefix", "indicator", at.alias("_at")).select("prefix", F.concat_ws("_", "indicator", "_at").alias("indicator"))
+    return expected.join(found, F.col("indicator") == F.col("_found"), "left").select(
         "prefix", "indicator", n.alias("n_files"),
         F.when(n == 0, "missing").when(n > 1, "duplicate").otherwise("ok").alias("status"),
     )

@@ -38,10 +38,21 @@ def decode_sdmx(
     """One row per observation: the code of each dimension, a display name, the value and its status code.
 
     Lookups are resolved per document before the observations are exploded, all in one stage with no shuffle.
-    ``status_reported`` tells whether the document carries the status attribute at all.
+    ``status_reported`` tells whether the document carries the status attribute at all. A document that is no JSON, has no
+    observations or lacks a dimension fails, and so does one with several structures or data sets.
     """
-    doc = documents.select(F.from_json(text_col, DOCUMENT).alias("d"))
-    doc = doc.select(F.get("d.data.structures", F.lit(0)).alias("s"), F.get("d.data.dataSets", F.lit(0)).alias("o"))
+    doc = documents.select(F.from_json(text_col, DOCUMENT, {"mode": "FAILFAST"}).alias("d"))
+    def fail(why: str) -> Column:
+        return F.raise_error(F.lit(f"SDMX document: {why}")).cast("boolean")
+    held = F.get("d.data.dataSets", F.lit(0))["observations"]
+    known = F.transform(F.get("d.data.structures", F.lit(0))["dimensions"]["observation"], lambda x: x["id"])
+    sound = (
+        F.when(held.isNull(), fail("no observations"))
+        .when((F.size("d.data.structures") != 1) | (F.size("d.data.dataSets") != 1), fail("several structures or data sets"))
+        .when(~F.coalesce(F.array_size(F.array_intersect(known, F.array(*[F.lit(d) for d in dims]))) == len(dims), F.lit(False)), fail("a dimension is missing"))
+        .otherwise(F.lit(True))
+    )
+    doc = doc.where(sound).select(F.get("d.data.structures", F.lit(0)).alias("s"), F.get("d.data.dataSets", F.lit(0)).alias("o"))
     parts = {}
     for i, name in enumerate(dims):
         found = _named("s.dimensions.observation", name)

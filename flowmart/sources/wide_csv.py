@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart.operators.reshape import looks_like_year
 from flowmart.schema import LEADING_HEADERS, MISSING_HEADER, PREAMBLE_LINES
+from flowmart.session import ship_package
+
+BOM = "\ufeff"
 
 
 def fix_missing_headers(cols: Sequence[str]) -> list[str]:
@@ -22,24 +25,85 @@ def fix_missing_headers(cols: Sequence[str]) -> list[str]:
     return names
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def _from_line(skip: int, only_header: bool):
+    """Task function over text lines in file order: the header of each file, or all lines after it."""
+    def pick(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        file, seen = None, 0
+        for batch in batches:
+            files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
+            keep = []
+            for at, start in zip(files, starts):
+                if at != file:
+                    file, seen = at, 0
+                keep.append(seen == skip and start == 0 if only_header else seen > skip or start > 0)
+                seen += 1
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["value", "file"])
+    return pick
+
+
 def read_wide_csv(
-    spark: SparkSession, path: str, skip_lines: int = PREAMBLE_LINES, repair_header: bool = True, sep: str = ","
+    spark: SparkSession, path: str, skip_lines: int = PREAMBLE_LINES, repair_header: bool = True, sep: str = ",",
+    quoted_newlines: bool = False,
 ) -> DataFrame:
-    """A CSV file (or a folder of files with one header) whose header follows ``skip_lines`` physical lines.
+    """A CSV file, or a folder of files, whose header follows ``skip_lines`` physical lines that differ from file to file.
 
-    The driver sees only those lines and the header. The data stay splittable: every task reads its own part of
-    a file, and the probed lines are dropped from the part that starts the file. All columns are text, unnamed
-    columns (from a trailing separator) are left out, and only an empty cell is null, so the code ``NA`` is kept.
+    Every file drops its own preamble, and all headers must agree. The driver sees only the headers. The data stay
+    splittable: every task reads its own part of a file. All columns are text, unnamed columns (from a trailing
+    separator) are left out, and only an empty cell is null, so the code ``NA`` is kept. A line with too few or too many cells
+    fails. ``quoted_newlines`` allows line ends within quotes; files are then read whole, one in a task.
     """
-    lines = [r.value for r in spark.read.text(path).limit(skip_lines + 1).collect()]
-    if len(lines) <= skip_lines:
+    ship_package(spark)
+    lines = _lines(spark, path)
+    heads = lines.mapInArrow(_from_line(skip_lines, True), "value string, file string")
+    n_files = lines.select("file").distinct()
+    found = heads.select(F.regexp_replace("value", f"^{BOM}", "").alias("value"), "file")
+    lacking = n_files.join(found.select("file"), "file", "left_anti").limit(1).collect()
+    if lacking:
+        raise ValueError(f"{lacking[0].file}: no header after {skip_lines} lines")
+    header_lines = found.groupBy("value").agg(F.min("file").alias("file")).limit(2).collect()
+    if not header_lines:
         raise ValueError(f"{path}: no header after {skip_lines} lines")
-    header = next(csv.reader([lines[skip_lines].lstrip("﻿")], delimiter=sep))
+    if len(header_lines) > 1:
+        raise ValueError(f"headers differ between {header_lines[0].file} and {header_lines[1].file}")
+    header = next(csv.reader([header_lines[0].value], delimiter=sep))
     names = fix_missing_headers(header) if repair_header else [h.strip() for h in header]
     parts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    text = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_start"))
-    preamble = (F.col("_start") == 0) & F.col("value").isin(lines)
-    rows = text.where(~preamble & (F.trim("value") != "")).select(
-        F.from_csv("value", parts.simpleString()[len("struct<"):-1].replace(":", " "), {"sep": sep, "escape": '"'}).alias("r")
-    )
+    if quoted_newlines:
+        rows = _multi_line_rows(spark, path, parts, header, sep)
+    else:
+        text = lines.mapInArrow(_from_line(skip_lines, False), "value string, file string").where(F.trim("value") != "")
+        ddl = ", ".join(f"{n} string" for n in parts.names)
+        rows = text.select(F.from_csv("value", ddl, {"sep": sep, "escape": '"', "mode": "FAILFAST"}).alias("r"))
     return rows.select(*[F.col(f"r.c{i}").alias(name) for i, name in enumerate(names) if name])
+
+
+def _multi_line_rows(spark: SparkSession, path: str, parts: T.StructType, header: Sequence[str], sep: str) -> DataFrame:
+    """The rows of each file after its header, which is found by its cells, by Spark's multi-line reader."""
+    broken = T.StructType([*parts.fields, T.StructField("_broken", T.StringType())])
+    reader = spark.read.schema(broken).option("sep", sep).option("escape", '"').option("multiLine", "true")
+    df = reader.option("columnNameOfCorruptRecord", "_broken").csv(path)
+    cells = [h.lstrip(BOM).strip() for h in header]
+
+    def after(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        file, past = None, False
+        for batch in batches:
+            keep = []
+            for row in batch.to_pylist():
+                if row["file"] != file:
+                    file, past = row["file"], False
+                keep.append(past)
+                if past and row["_broken"] is not None:
+                    raise ValueError(f"{file}: a row does not have {len(cells)} cells: {row['_broken'][:200]!r}")
+                past = past or [(row[n] or "").lstrip(BOM).strip() for n in parts.names] == cells
+            yield batch.filter(pa.array(keep, pa.bool_())).select(parts.names)
+
+    tagged = df.select("*", F.col("_metadata.file_path").alias("file"))
+    return tagged.mapInArrow(after, parts).select(F.struct(*parts.names).alias("r"))

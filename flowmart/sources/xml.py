@@ -6,18 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from flowmart.session import ship_package
+
 TEXT = "_VALUE"
 
 
+class _Unique(dict):
+    """Columns by name; a name that is given twice fails."""
+
+    def __setitem__(self, name, column):
+        if name in self:
+            raise ValueError(f"two parts of a record would share the column {name!r}")
+        super().__setitem__(name, column)
+
+
 def read_xml_records(
     spark: SparkSession, path: str, outer_tag: str, record_path: Sequence[str] = (), schema: T.StructType | None = None
 ) -> DataFrame:
     """One row per record under each ``outer_tag`` element; files are split at that tag.
 
     ``record_path`` leads from the outer element down to the record (empty: the outer element is the record).
-    Attributes of each ancestor become ``<tag>_<attribute>``; the record gives its attributes, its children's
-    text, and ``<child>_<attribute>``. Namespace prefixes are ignored. Without ``schema`` the file is read once
-    more to infer one.
+    Attributes of each ancestor from the outer element down become ``<tag>_<attribute>``; those above it are read by naming a
+    higher outer element. The record gives its attributes, its children's text, and ``<child>_<attribute>``; an attribute and
+    a child that would share a column fail. Namespace prefixes are ignored. Without ``schema`` the file is read once more
+    to infer one.
     """
     reader = spark.read.format("xml").option("rowTag", outer_tag).option("ignoreNamespace", "true")
     reader = reader.option("inferSchema", "false")
@@ -34,7 +46,7 @@ def read_xml_records(
         records = inner if isinstance(kind, T.ArrayType) else F.array(inner)
         node, tag = node.select("*", F.explode(records).alias(f"n{depth + 1}")), child
     record = f"n{len(record_path)}"
-    columns = dict(kept)
+    columns: dict[str, Column] = _Unique(kept)
     kind = node.schema[record].dataType
     if not isinstance(kind, T.StructType):
         columns[tag] = F.col(record)
@@ -53,6 +65,33 @@ def read_xml_records(
 
 
 def tag_counts(spark: SparkSession, path: str) -> DataFrame:
-    """How often each tag opens, which helps to choose the outer and record tags."""
-    tags = F.explode(F.regexp_extract_all("value", F.lit("<([A-Za-z_][^\\s/>]*)"), 1))
-    return spark.read.text(path).select(tags.alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+    """``tag, n, depth`` over all files: how often each tag opens and how deep at most, the root being 1.
+
+    Every file is streamed once in a task of its own, which holds tag names only; comments and texts are no tags.
+    """
+    ship_package(spark)
+
+    def count(batches):
+        import pandas as pd
+
+        from flowmart.streams import open_stream, xml_events
+
+        for batch in batches:
+            for file in batch["path"]:
+                counts: dict[str, list[int]] = {}
+                with open_stream(file) as f:
+                    for event, node, above in xml_events(f):
+                        if event == "start":
+                            seen = counts.setdefault(node.tag.split("}")[-1], [0, 0])
+                            seen[0], seen[1] = seen[0] + 1, max(seen[1], len(above) + 1)
+                yield pd.DataFrame([(t, n, d) for t, (n, d) in counts.items()], columns=["tag", "n", "depth"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    each = files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(count, "tag STRING, n LONG, depth INT")
+    return each.groupBy("tag").agg(F.sum("n").alias("n"), F.max("depth").alias("depth"))
+
+
+def record_tag(spark: SparkSession, path: str) -> str | None:
+    """The deepest tag that occurs more than once, which is taken for the record; the first by name on a tie, None if none."""
+    best = tag_counts(spark, path).where("n > 1").orderBy(F.desc("depth"), "tag").limit(1).collect()
+    return best[0].tag if best else None

@@ -19,3 +19,25 @@ def open_stream(path: str, seekable: bool = False, write: bool = False):
         system.create_dir(where.rsplit("/", 1)[0], recursive=True)
         return system.open_output_stream(where, compression=None)
     return system.open_input_file(where) if seekable else system.open_input_stream(where)
+
+
+def xml_events(file, whole: str | None = None):
+    """(event, element, open ancestors) of an XML stream in constant memory.
+
+    An element is let go when it ends, unless it lies within an element with the tag ``whole``.
+    """
+    import xml.etree.ElementTree as ET
+
+    above: list = []
+    inside = 0
+    for event, node in ET.iterparse(file, events=("start", "end")):
+        if event == "start":
+            yield event, node, above
+            above.append(node)
+            inside += node.tag == whole
+            continue
+        above.pop()
+        inside -= node.tag == whole
+        yield event, node, above
+        if not inside and above:
+            above[-1].remove(node)

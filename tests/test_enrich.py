@@ -102,3 +102,18 @@ def test_unions(spark):
     assert {tuple(r) for r in got.select("year", "o", "indicator").collect()} == {(1, "x", "PA1a"), (2, None, "TM7")}
     assert enrich.union_flows([a, a]).count() == 1
     assert enrich.union_flows([a, a], distinct=False).count() == 2
+
+
+def test_guards_hold_whatever_is_read(spark):
+    import pytest
+
+    facts = spark.createDataFrame([("a", 1), ("z", 2)], "k STRING, n INT")
+    dim = spark.createDataFrame([("a", "A")], "k STRING, name STRING")
+    joined = enrich.guarded_join(facts, dim, "k")
+    for read in (joined.count, joined.select("n").collect):
+        with pytest.raises(Exception, match="unmatched key"):
+            read()
+    clash = enrich.merge_columns(spark.createDataFrame([("x", "y", 1)], "a STRING, b STRING, n INT"), "a", "b", "c")
+    for read in (clash.count, clash.select("n").collect):
+        with pytest.raises(Exception, match="conflicting"):
+            read()

@@ -139,3 +139,34 @@ def test_country_regions(spark):
     clash = codes.replace({"note": "other"}, subset=["Footnotes"])
     with pytest.raises(Exception, match="conflicting values: note / other"):
         jobs.country_regions(social, clash).collect()
+
+
+def test_unknown_leading_columns_fail_and_class_files_go_by_position(spark):
+    import pytest
+
+    wide = spark.createDataFrame([("Canada", "CA", "Total", "Class 1", "5")], "Office STRING, `Office (Code)` STRING, Origin STRING, `Nice class` STRING, `2000` STRING")
+    with pytest.raises(ValueError, match="Nice class"):
+        jobs.stage_indicator(wide)
+    assert [tuple(r) for r in jobs.stage_by_class(wide).select("class_code", "count").collect()] == [("Class 1", 5.0)]
+    with pytest.raises(ValueError, match="four columns"):
+        jobs.stage_by_class(wide.drop("Office (Code)"))
+
+
+def test_two_residency_files_for_one_indicator_fail(spark, tmp_path):
+    import pytest
+
+    for n, name in enumerate(("Canada", "France")):
+        text = "t\n" * 6 + f"Office,Office (Code),Origin,Type,2000\n{name},X,,Total,{n}\n"
+        (tmp_path / f"patent_1a_office- {n}.csv").write_text(text)
+    paths = spark.read.format("binaryFile").load(str(tmp_path)).select("path")
+    with pytest.raises(ValueError, match="duplicate"):
+        jobs.run_residency(spark, paths, str(tmp_path / "out"))
+
+
+def test_either_dash_is_staged(spark):
+    from flowmart.plans.jobs import MACRO_TABLES
+
+    config = MACRO_TABLES["fdi_ultimate"]
+    texts = [config.categories[0], config.categories[0].replace("–", "-"), config.categories[1].replace(" - ", " — ")]
+    raw = spark.createDataFrame([("Canada", t, "2000", "x", "1", "0") for t in texts], f"GEO STRING, `{config.category}` STRING, REF_DATE STRING, `Countries or regions` STRING, VALUE STRING, SCALAR_ID STRING")
+    assert jobs.macro_flows_mart({"fdi_ultimate": raw}).count() == 2

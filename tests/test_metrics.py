@@ -115,3 +115,12 @@ def test_overlap_needs_both_sides(spark):
 def test_sort_puts_nulls_last(spark):
     df = spark.createDataFrame([(None,), (2,), (1,)], "k INT")
     assert [r.k for r in m.sort_mart(df, ["k"]).collect()] == [1, 2, None]
+
+
+def test_null_keys_make_a_group(spark):
+    df = spark.createDataFrame([(2000, "a", 1.0), (None, "b", 2.0), (None, "c", 6.0)], "year INT, destination_office STRING, count DOUBLE")
+    shares = {r.destination_office: r.pct_share for r in m.with_share(df, "count", ["year"]).collect()}
+    assert shares == {"a": 100.0, "b": 25.0, "c": 75.0}
+    flows = df.withColumn("origin", m.F.lit("o")).withColumn("indicator", m.F.lit("i"))
+    ranks = {r.year: (r.group_volume, r.group_rank) for r in m.rank_of_group(flows, ["o"], ["b"]).collect()}
+    assert ranks == {2000: (0.0, 2), None: (2.0, 2)}

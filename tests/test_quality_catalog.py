@@ -106,13 +106,32 @@ def test_dictionary_of_mixed_files(spark, tmp_path):
         f.write("a,b\n1,true\n")
     spark.range(1).write.parquet(str(root / "marts/part"))
     found = catalog.data_dictionary(spark, str(root), ["skip"], skip_lines=lambda p: 2 if "/raw/" in p else 0).collect()
-    got = {(r.layer, r.table_filetype, r.table_name, r.column_name, r.column_dtype) for r in found if r.layer != "marts"}
+    got = {(r.layer, r.table_filetype, r.table_name, r.column_name, r.column_dtype) for r in found if r.layer != "marts" and r.error is None}
+    broken = [r for r in found if r.error is not None]
+    assert [(r.table_name, r.column_name) for r in broken] == [("broken", None)] and "Parquet" in broken[0].error
     assert got == {
-        ("raw", ".csv", "wide", "Office", "string"), ("raw", ".csv", "wide", "1980", "int64"),
-        ("staging", ".txt", "t", "a", "int64"), ("staging", ".txt", "t", "b", "string"),
+        ("raw", ".csv", "wide", "Office", "string"), ("raw", ".csv", "wide", "1980", "string"),
+        ("staging", ".txt", "t", "a", "string"), ("staging", ".txt", "t", "b", "string"),
         ("staging", ".xml", "r", "col1", "string"), ("staging", ".xml", "r", "col2", "string"),
-        ("staging", ".csv.gz", "g.csv", "a", "int64"), ("staging", ".csv.gz", "g.csv", "b", "bool"),
-        ("unknown", ".csv", "top", "a", "double"),
+        ("staging", ".csv.gz", "g.csv", "a", "string"), ("staging", ".csv.gz", "g.csv", "b", "string"),
+        ("unknown", ".csv", "top", "a", "string"),
     }
     marts = [r for r in found if r.layer == "marts"]
     assert marts and marts[0].column_name == "id" and marts[0].table_path.startswith("data/marts/part/")
+
+
+def test_dictionary_of_nested_xml_and_landed_files(spark, tmp_path):
+    root = tmp_path / "data"
+    (root / "raw").mkdir(parents=True)
+    body = "".join(f"<group g='{i}'><rec a='1'><v unit='x'>{i}</v></rec></group>" for i in range(3))
+    (root / "raw/n.xml").write_text(f"<root date='d'><!-- <rec><rec> --><head/>{body}</root>")
+    (root / "raw/patent_1a- x.csv").write_text("p\n" * 6 + "Office,2000\nCanada,1\n")
+    found = catalog.data_dictionary(spark, str(root)).collect()
+    assert [r.column_name for r in found if r.table_name == "n"] == ["rec_a", "group_g", "root_date", "unit"]
+    assert [r.column_name for r in found if r.table_name.startswith("patent")] == ["Office", "2000"]
+
+
+def test_profile_of_long_samples(spark):
+    df = spark.range(6000).select(F.lpad("id", 5, "0").alias("v"))
+    row = catalog.profile(df, sample_n=2500).first()
+    assert row.n_unique == 6000 and row.sample_values == [f"{i:05d}" for i in range(2500)]

@@ -29,7 +29,13 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == {"sampled_rows"}
+
+
+def test_sampled_rows_are_rows_of_the_table(spark):
+    got, orders = QUERIES["sampled_rows"](spark, SF), spark.read.parquet(f"{SF}/orders.parquet")
+    assert 0 < got.count() < orders.count() / 4 and got.distinct().count() == got.count()
+    assert got.join(orders, ["o_orderkey", "o_totalprice"], "left_semi").count() == got.count()
 
 
 def test_entry(spark):

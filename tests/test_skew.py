@@ -64,7 +64,7 @@ def test_shares_split_the_hot_key(hot):
 def test_rank_of_a_hot_value_splits(strict):
     value = F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("id").cast("double"))
     df = strict.range(0, 150_000, 1, 8).select(F.lit(2000).alias("year"), "id", value.alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
-    ranked = ordering.rank_rows(df, "rank", "position", "v", ["id"], ["year"], small=50_000)
+    ranked = ordering.rank_rows(df, "rank", "position", "v", ["id"], ["year"])
     splits(ranked, 150_000)
     zero = ranked.where("v = 0").agg(F.min("rank"), F.max("rank"), F.countDistinct("position")).first()
     assert tuple(zero) == (100_001, 100_001, 50_000)
