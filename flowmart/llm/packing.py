@@ -10,7 +10,7 @@ from flowmart.llm.common import small_batches
 
 WINDOW, END = 4096, 2
 #: Words and pieces whose ids a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 _ENCODERS: dict[str, Callable] = {}
 
@@ -18,40 +18,49 @@ _ENCODERS: dict[str, Callable] = {}
 def encoder(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit numbers, equal to the tokenizer's own.
 
-    The tokenizer's normaliser, pre-tokenizer and model run once for each new word between blanks and the ids are
-    remembered. That is exact because none of its tokens spans a blank; a tokenizer for which this does not hold, and words
-    with the text of a special token, go through the whole tokenizer.
+    Ids are remembered by word between blanks, which is exact because no token of a tokenizer that splits by a pattern
+    without blanks spans one. A new word is cut by that pattern and only new pieces meet the tokenizer's model. That holds
+    for printable Latin words; other words, words with the text of a special token, and tokenizers of another build go through the
+    whole tokenizer.
     """
     if path in _ENCODERS:
         return _ENCODERS[path]
     import json
     import re
+    from array import array
 
     import numpy as np
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
-    normal, pre, model = whole.normalizer, whole.pre_tokenizer, whole.model
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
-    odd = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-    blank = re.compile("[\t\n\x0b\x0c\r ]+")
-    pieces: dict[str, bytes] = {}
 
     def full(text: str) -> bytes:
         return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    pattern = _split_pattern(json.loads(whole.to_str()))
+    if pattern is None:
+        _ENCODERS[path] = full
+        return full
+    model, special = whole.model, [t.content for t in whole.get_added_tokens_decoder().values()]
+    odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    blank = re.compile("[\t\n\x0b\x0c\r ]+")
+    pieces: dict[str, bytes] = {}
+
     def piece(text: str) -> bytes:
         found = pieces.get(text)
         if found is None:
             if len(pieces) >= REMEMBERED:
                 pieces.clear()
-            found = pieces[text] = np.array([t.id for t in model.tokenize(text)], "<u4").tobytes()
+            known = text if text.isascii() else _byte_signs(text)
+            found = pieces[text] = array("I", [t.id for t in model.tokenize(known)]).tobytes()
         return found
 
     def word(text: str) -> bytes:
-        if any(s in text for s in special):
+        low = text.lower()
+        latin = low.isascii() or max(low) < "\u0250"
+        if not latin or not text.isprintable() or any(s in text for s in special):
             return full(text)
-        return b"".join([piece(p) for p, _ in pre.pre_tokenize_str(normal.normalize_str(text))])
+        return b"".join(map(piece, pattern.findall(low)))
 
     class Words(dict):
         def __missing__(self, text: str) -> bytes:
@@ -67,12 +76,33 @@ def encoder(path: str) -> Callable[[str], bytes]:
     def by_word(text: str) -> bytes:
         return b"".join(map(words.__getitem__, blank.split(text) if odd.search(text) else text.split()))
 
-    stages = json.loads(whole.to_str())
-    kinds = {s["type"] for k in ("normalizer", "pre_tokenizer") for s in [stages[k] or {"type": ""}] for s in s.get("normalizers", s.get("pretokenizers", [s]))}
-    splits = normal is not None and pre is not None and kinds <= {"NFC", "Replace", "Lowercase", "Split", "ByteLevel"}
-    sample = "It's a well-known 3rd sample,\n\twith  été & 42 %."
-    _ENCODERS[path] = by_word if splits and by_word(sample) == full(sample) else full
-    return _ENCODERS[path]
+    _ENCODERS[path] = by_word
+    return by_word
+
+
+def _split_pattern(build: dict):
+    """The pattern by which a tokenizer of the expected build cuts a text, else None.
+
+    Expected are NFC, blanks made one, lower case; then matches of a pattern that has no blank, as signs for bytes.
+    """
+    import regex
+
+    normal, pre = build["normalizer"] or {}, build["pre_tokenizer"] or {}
+    steps = [s["type"] for s in normal.get("normalizers", [])]
+    cuts = pre.get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, signs = cuts
+    plain = split["behavior"] == "Removed" and split["invert"] and not signs["add_prefix_space"] and not signs["use_regex"]
+    pattern = regex.compile(split["pattern"].get("Regex", " "))
+    return pattern if plain and not pattern.search(" \t\n") else None
+
+
+def _byte_signs(text: str) -> str:
+    """The signs that byte-level models read for a text's bytes."""
+    from tokenizers import pre_tokenizers
+
+    return pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(text)[0][0]
 
 
 class Packer:
