@@ -118,8 +118,12 @@ class _Lines(html.parser.HTMLParser):
 
 def lines_of(page: str | None) -> list[tuple[str, int, bool, int]]:
     """(text, tags, furniture, container) of each block line; containers of an article or main element are negative."""
+    page = page or ""
+    last = page.rfind("<")
+    if last >= 0 and re.fullmatch("/?[A-Za-z][^>]*", page[last + 1:]):
+        page = page[:last]  # a tag that the page's end cuts off
     parser = _Lines()
-    parser.feed(page or "")
+    parser.feed(page)
     parser.close()
     while parser.path:
         parser._leave()
