@@ -516,14 +516,16 @@ def run_charges(spark: SparkSession, documents_path: str, out_dir: str, expected
     return sinks.materialize(mart, out_dir, sort=["year", "counterpart_country"])
 
 
-def run_charges_load(spark: SparkSession, mart_dir: str, regions: DataFrame, out_dir: str, expected_rows: int | None = None) -> DataFrame:
+def run_charges_load(
+    spark: SparkSession, mart_dir: str, regions: DataFrame, out_dir: str, expected_rows: int | None = None, rules: list | None = None
+) -> DataFrame:
     """The charges mart to its load table: gate, guarded join to region ids, write, verify; returns the verification row.
 
-    Nothing is written unless the mart passes its contract and every name has a region; all names without one are listed in
-    a table that the error names.
+    Nothing is written unless the mart passes its contract (``rules``) and every name has a region; all names without one are
+    listed in a table that the error names.
     """
     mart = spark.read.parquet(mart_dir)
-    quality.gate(quality.report(mart, charges_rules(expected_rows)))
+    quality.gate(quality.report(mart, charges_rules(expected_rows) if rules is None else rules))
     rows = stored(charges_load(mart, regions))
     n = sinks.write_parquet(rows, out_dir, contract=schema.CHARGES_LOAD)
     verified = sinks.verify_written(spark, out_dir, n)

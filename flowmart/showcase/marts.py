@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowmart import schema, sinks
-from flowmart.operators import enrich
+from flowmart.operators import enrich, quality
 from flowmart.plans import jobs
 from flowmart.session import shared_dir, stored
 from flowmart.showcase.columns import INDUSTRY, industry_text
@@ -210,5 +210,11 @@ def charges_load(spark, sf):
         F.col("n_nationkey").alias("macroecon_region_id"),
         F.when(F.col("n_nationkey") == 0, "All countries").otherwise(F.col("n_name")).alias("region"),
     )
-    load = jobs.charges_load(mart, dim, check=False)
-    return load.withColumn("value_cad_millions", F.col("value_cad_millions").cast("double"))
+    mart_dir, out = shared_dir(spark, "charges"), shared_dir(spark, "charges_load")
+    mart.withColumn("flow_type", F.lit(schema.CHARGES_FLOW)).select(*schema.CHARGES.names).write.parquet(mart_dir)
+    rules = [
+        quality.columns_are(schema.CHARGES.names), quality.no_nulls(schema.CHARGES.names), quality.only_value("flow_type", schema.CHARGES_FLOW),
+        quality.with_members("counterpart_country", ["World"]), quality.UniqueKey(("year", "counterpart_country")),
+    ]
+    jobs.run_charges_load(spark, mart_dir, dim, out, rules=rules)
+    return spark.read.parquet(out).withColumn("value_cad_millions", F.col("value_cad_millions").cast("double"))

@@ -79,16 +79,16 @@ def test_landing_tokens(spark):
 
 
 def document(status=True):
-    """Six observations over two areas. The decoded and cleaned rows are known for these."""
+    """Six observations over two areas."""
     codes = lambda *ids: [{"id": i} for i in ids]
     dims = [
-        ("REF_AREA", codes("CAN")), ("COUNTERPART_AREA", [{"id": "USA", "name": "United States"}, {"id": "W", "name": "World"}]),
+        ("REF_AREA", codes("CAN")), ("COUNTERPART_AREA", [{"id": "JPN", "name": "Japan"}, {"id": "W", "name": "World"}]),
         ("MEASURE", codes("SH", "S", "CA")), ("ACCOUNTING_ENTRY", codes("B")), ("FS_ENTRY", codes("T")), ("FREQ", codes("A")),
         ("UNIT_MEASURE", codes("XDC")), ("ADJUSTMENT", codes("N")), ("TIME_PERIOD", codes("2022", "2023")),
     ]
     cells = {
-        "0:0:0:0:0:0:0:0:0": [-4200.0, 0], "0:0:0:0:0:0:0:0:1": [-4325.4, 0], "0:1:0:0:0:0:0:0:0": [-3900.0, 0],
-        "0:0:1:0:0:0:0:0:1": [-20000.0, 0], "0:0:2:0:0:0:0:0:1": [-50000.0, 0], "0:1:0:0:0:0:0:0:1": [-4000.0, 1],
+        "0:0:0:0:0:0:0:0:0": [-317.5, 0], "0:0:0:0:0:0:0:0:1": [-288.25, 0], "0:1:0:0:0:0:0:0:0": [-901.0, 0],
+        "0:0:1:0:0:0:0:0:1": [-12.0, 0], "0:0:2:0:0:0:0:0:1": [-77.0, 0], "0:1:0:0:0:0:0:0:1": [-640.0, 1],
     }
     structure = {"dimensions": {"observation": [{"id": d, "keyPosition": i, "values": v} for i, (d, v) in enumerate(dims)]}}
     if status:
@@ -105,12 +105,12 @@ def test_sdmx(spark, tmp_path):
     rows = decoded.collect()
     assert len(rows) == 6
     assert {r.MEASURE for r in rows} == {"SH", "S", "CA"} and {r.obs_status for r in rows} == {"A", "E"}
-    assert {r.counterpart_country for r in rows if r.COUNTERPART_AREA == "USA"} == {"United States"}
+    assert {r.counterpart_country for r in rows if r.COUNTERPART_AREA == "JPN"} == {"Japan"}
     quality.gate(quality.constants(decoded, schema.CHARGES_CONSTANTS))
     clean = jobs.clean_charges(decoded)
     assert clean.dtypes == [("year", "int"), ("counterpart_area", "string"), ("counterpart_country", "string"), ("value_cad_millions", "double")]
     assert {tuple(r) for r in clean.collect()} == {
-        (2022, "USA", "United States", -4200.0), (2023, "USA", "United States", -4325.4), (2022, "W", "World", -3900.0)
+        (2022, "JPN", "Japan", -317.5), (2023, "JPN", "Japan", -288.25), (2022, "W", "World", -901.0)
     }
 
 
@@ -120,7 +120,7 @@ def test_sdmx_without_status_or_with_gaps(spark):
     del doc["data"]["structures"][0]["dimensions"]["observation"][1]["values"][0]["name"]
     decoded = jobs.stage_charges(spark.createDataFrame([(json.dumps(doc),)], "value STRING"))
     assert {r.status_reported for r in decoded.collect()} == {False}
-    assert {(r.year, r.counterpart_country) for r in jobs.clean_charges(decoded).collect()} == {(2022, "USA"), (2023, "USA"), (2023, "World")}
+    assert {(r.year, r.counterpart_country) for r in jobs.clean_charges(decoded).collect()} == {(2022, "JPN"), (2023, "JPN"), (2023, "World")}
     doc = document()
     doc["data"]["dataSets"][0]["observations"]["0:0:0:0:0:0:0:0:0"] = [-1.0, 0, None]
     decoded = jobs.stage_charges(spark.createDataFrame([(json.dumps(doc),)], "value STRING"))
@@ -129,12 +129,14 @@ def test_sdmx_without_status_or_with_gaps(spark):
 
 def test_charges_end_to_end(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps(document()))
+    spark.range(3).write.parquet(str(tmp_path / "mart"))
     with pytest.raises(ValueError, match="required:counterpart_country"):
         jobs.run_charges(spark, str(tmp_path / "c.json"), str(tmp_path / "mart"))
+    assert spark.read.parquet(str(tmp_path / "mart")).count() == 3  # a mart that fails leaves the old one
     mart = jobs.ip_charges_mart(jobs.clean_charges(jobs.stage_charges(sources.read_sdmx_json(spark, str(tmp_path / "c.json")))))
-    regions = spark.createDataFrame([(1, "United States"), (2, "All countries")], "macroecon_region_id INT, region STRING")
+    regions = spark.createDataFrame([(1, "Japan"), (2, "All countries")], "macroecon_region_id INT, region STRING")
     load = jobs.charges_load(mart, regions)
-    assert {(r.year, r.macroecon_region_id, float(r.value_cad_millions)) for r in load.collect()} == {(2022, 1, -4200.0), (2023, 1, -4325.4), (2022, 2, -3900.0)}
+    assert {(r.year, r.macroecon_region_id, float(r.value_cad_millions)) for r in load.collect()} == {(2022, 1, -317.5), (2023, 1, -288.25), (2022, 2, -901.0)}
     with pytest.raises(ValueError, match="1 unmatched keys.*listed in"):
         jobs.charges_load(mart, regions.where("region <> 'All countries'"))
 
@@ -361,3 +363,18 @@ def test_record_tag_and_root_attributes(spark, tmp_path):
     clash = put(tmp_path / "c.xml", "<root><rec a='1'><a>2</a></rec><rec a='1'><a>2</a></rec></root>")
     with pytest.raises(ValueError, match="share the column"):
         sources.read_xml_records(spark, clash, "rec")
+
+
+def test_charges_load_job(spark, tmp_path):
+    names = [*schema.CHARGES_REQUIRED, "France"]
+    rows = [(2022, n, schema.CHARGES_FLOW, -1.5 - i) for i, n in enumerate(names)]
+    spark.createDataFrame(rows, "year INT, counterpart_country STRING, flow_type STRING, value_cad_millions DOUBLE").write.parquet(str(tmp_path / "mart"))
+    regions = spark.createDataFrame([(i, schema.ALL_COUNTRIES if n == "World" else n) for i, n in enumerate(names)], "macroecon_region_id INT, region STRING")
+    verified = jobs.run_charges_load(spark, str(tmp_path / "mart"), regions, str(tmp_path / "out"), len(names)).first()
+    assert (verified.n_loaded, verified.n_target, verified.passed) == (8, 8, True)
+    with pytest.raises(ValueError, match="listed in") as e:
+        jobs.run_charges_load(spark, str(tmp_path / "mart"), regions.where("region not in ('France', 'China')"), str(tmp_path / "none"))
+    listed = spark.read.parquet(str(e.value).rsplit(" ", 1)[-1])
+    assert sorted(r.region for r in listed.collect()) == ["China", "France"] and not (tmp_path / "none").exists()
+    with pytest.raises(ValueError, match="row_count|rows"):
+        jobs.run_charges_load(spark, str(tmp_path / "mart"), regions, str(tmp_path / "none"), 7)
