@@ -212,9 +212,12 @@ def stage_table(df: DataFrame, config: StageTable) -> DataFrame:
 
     Categories are compared with dashes normalized on both sides, so either spelling is found.
     """
-    wanted = [c.replace("–", "-").replace("—", "-") for c in config.categories]
-    category = fx.plain_dashes(F.col(f"`{config.category}`"))
-    kept = df.where((F.col(config.geo) == config.geo_value) & category.isin(*wanted))
+    # Only a category that has a dash can be spelled in two ways; the others are compared as they are, so the scan can filter.
+    dashed = [c.replace("–", "-").replace("—", "-") for c in config.categories if any(d in c for d in "-–—")]
+    category = F.col(f"`{config.category}`").isin(*[c for c in config.categories if not any(d in c for d in "-–—")])
+    if dashed:
+        category = category | fx.plain_dashes(F.col(f"`{config.category}`")).isin(*dashed)
+    kept = df.where((F.col(config.geo) == config.geo_value) & category)
     value = fx.unscale(fx.to_number(config.value), fx.to_number(config.scalar))
     columns = []
     for source, name in config.rename.items():
