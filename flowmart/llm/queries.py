@@ -61,7 +61,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"))
 
 
-@query("op4_jump_hash")
+def _crc_table() -> str:
+    """The 256 remainders of CRC-32 by its polynomial, for SQL that has no such function."""
+    def remainder(b: int) -> int:
+        for _ in range(8):
+            b = (b >> 1) ^ (0xEDB88320 if b & 1 else 0)
+        return b
+    return "[" + ", ".join(str(remainder(b)) for b in range(256)) + "]"
+
+
+def _jumps(shards: int) -> str:
+    return f"""WITH RECURSIVE j(doc_id, k, b, j) AS (
+    SELECT DISTINCT doc_id, CAST(doc_id AS HUGEINT) + CASE WHEN doc_id < 0 THEN 18446744073709551616 ELSE 0 END, 0::BIGINT, 0::BIGINT FROM documents
+    UNION ALL
+    SELECT doc_id, n, j, CAST(floor((j + 1)::DOUBLE * (2147483648::DOUBLE / ((n // 8589934592)::DOUBLE + 1))) AS BIGINT)
+    FROM (SELECT doc_id, j, (k * 2862933555777941757 + 1) % 18446744073709551616 AS n FROM j WHERE j < {shards}))
+  SELECT doc_id, CAST(b AS INT) AS b FROM j WHERE j >= {shards}"""
+
+
+@query("op4_jump_hash", f"""
+WITH a AS ({_jumps(SHARDS)}), g AS ({_jumps(SHARDS + 1)}),
+d AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(size - 1), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+  lambda x, y: xor(x >> 8, list_extract({_crc_table()}, CAST(xor(x & 255, y) AS BIGINT) + 1))), 4294967295::BIGINT) AS text_crc32 FROM d)
+SELECT c.doc_id, size, text_crc32, 'key' AS law, a.b AS shard,
+  row_number() OVER (PARTITION BY a.b ORDER BY c.doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, g.b AS grown_shard
+FROM c JOIN a ON a.doc_id = c.doc_id JOIN g ON g.doc_id = c.doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.place(read_table(spark, sf_dir, "documents"), SHARDS)
 
