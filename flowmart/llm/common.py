@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.session import shared_dir, stored, stored_with_count
 
-__all__ = ["read_table", "shared_dir", "small_batches", "stored", "stored_with_count", "text_batches", "write_out"]
+__all__ = ["hash_map", "map_has", "read_table", "shared_dir", "small_batches", "stored", "stored_with_count", "text_batches", "write_out"]
 
 #: Rows and bytes that one Arrow batch hands to Python: long texts must not pile up in a worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
@@ -25,6 +25,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bits of a map of hashes, which every task holds: 8 MB, however many hashes are in it.
+MAP_BITS = 26
+
+
+def hash_map(hashes: DataFrame, column: str):
+    """A numpy map of ``2 ** MAP_BITS`` bits with the upper bits of every hash set; at most ``2 ** (MAP_BITS - 6)`` words are gathered."""
+    import numpy as np
+
+    bit = f"shiftrightunsigned(`{column}`, {64 - MAP_BITS})"
+    words = hashes.groupBy(F.expr(f"shiftright({bit}, 6)").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast({bit} & 63 as int))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def map_has(known, hashes):
+    """Which of the unsigned ``hashes`` may be in the map: never false for one that is."""
+    import numpy as np
+
+    bit = hashes >> np.uint64(64 - MAP_BITS)
+    return (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+
+
 def write_out(df: DataFrame, *parts: str) -> str:
     """Write ``df`` to a new folder of the shared place and return its path."""
     path = shared_dir(df.sparkSession, *parts)

@@ -7,15 +7,12 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from flowmart.llm.common import small_batches, stored, text_batches
+from flowmart.llm.common import hash_map, map_has, small_batches, stored, text_batches
 
 #: Tokens to a window, and how many of a template window's tokens must be literal.
 WINDOW, LITERAL = 8, 5
 #: A document is contaminated by an item of which this part of the windows agrees in one alignment, or so many windows.
 PART, ENOUGH = 0.5, 6
-#: Bits of the benchmark's window map, which every task holds: 8 MB whatever the size of the benchmark.
-MAP_BITS = 26
-
 # Units of measure, currencies and spans of time that take a number.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb lbs oz ton tons tonne tonnes ml cl l litre litres "
@@ -153,8 +150,7 @@ def _rows(batches: Iterator, sizes: list[int], literal: int, sent) -> Iterator:
             templates = np.flatnonzero((used > 0) & (size - used >= min(literal, size - 1)))
             for plain, begin, value in ((True, start, _roll(hashes, start, size)), (False, start[templates], _roll(canon, start[templates], size) ^ np.uint64(1))):
                 if known is not None:
-                    bit = value >> np.uint64(64 - MAP_BITS)
-                    may = (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+                    may = map_has(known, value)
                     begin, value = begin[may], value[may]
                 if not len(begin):
                     continue
@@ -175,19 +171,6 @@ def windows(docs: DataFrame, key: str, text: str, sizes: list[int], literal: int
     return rows.mapInArrow(lambda it: _rows(it, sizes, literal, sent), SCHEMA)
 
 
-def _window_map(bench: DataFrame):
-    """The benchmark's window hashes as a map of ``2 ** MAP_BITS`` bits; at most ``2 ** (MAP_BITS - 6)`` words are gathered."""
-    import numpy as np
-
-    bit = F.shiftrightunsigned("hash", 64 - MAP_BITS)
-    words = bench.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - MAP_BITS}) & 63 as int))")).alias("bits")
-    ).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return out
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, part: float = PART, enough: int = ENOUGH,
                  key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, start, windows, item_windows, exact.
@@ -206,7 +189,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     sizes = list(range(literal, window + 1))
     bench = stored(windows(benchmark, item, item_text, sizes, literal).distinct())
     used = sorted(r["size"] for r in bench.select("size").distinct().collect())
-    sent = spark.sparkContext.broadcast(_window_map(bench))
+    sent = spark.sparkContext.broadcast(hash_map(bench, "hash"))
     totals = bench.where("plain").groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("item_windows"))
     found = windows(docs, key, text, used or [window], literal, sent)
     there = bench.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "plain", "hash", F.col("slots").alias("item_slots"))

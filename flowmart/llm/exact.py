@@ -6,19 +6,23 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from flowmart.llm.common import small_batches, stored, stored_with_count
+from flowmart.llm.common import hash_map, map_has, small_batches, stored, stored_with_count
 
 #: Counters that each task keeps, and so the most digests that are ever broadcast (about 60 bytes each).
 COUNTERS = 1024
 
 
-@F.arrow_udf(T.BinaryType())
-def _digest(text):
+def _digests(text) -> list[bytes]:
     import hashlib
 
+    return [hashlib.sha256((t or "").encode().lower()).digest() for t in text.to_pylist()]
+
+
+@F.arrow_udf(T.BinaryType())
+def _digest(text):
     import pyarrow as pa
 
-    return pa.array([hashlib.sha256((t or "").encode().lower()).digest() for t in text.to_pylist()], pa.binary())
+    return pa.array(_digests(text), pa.binary())
 
 
 def text_digest(text) -> F.Column:
@@ -90,31 +94,49 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", c
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", counters: int = COUNTERS) -> DataFrame:
     """``docs`` with all its columns, less the rows that :func:`duplicate_groups` does not keep.
 
-    Copies of frequent texts go map-side. The others meet only a table of the groups that have copies, which Spark
-    broadcasts or merges by its size. Where a kept key occurs on several equal rows, those few rows meet once more.
+    Copies of frequent texts go map-side. Of the others, the pairs of digest and key that go are known as a table and as a map of
+    bits with a fixed size: a row that is not in the map stays where it is, and only rows that may have to go meet the table.
+    Where a kept key occurs on several equal rows, those rows are in the table as well and meet once more.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows_of = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    marked = rows_of.select("row", F.col(f"row.`{key}`").alias("doc_id"), text_digest(F.col(f"row.`{text}`")).alias("digest"))
-    slim, rows = stored_with_count(marked.select("doc_id", "digest", F.monotonically_increasing_id().alias("rid")))
+    keyed = rows_of.select("row", F.col(f"row.`{key}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text"))
+    slim, rows = stored_with_count(keyed.select("doc_id", text_digest("text").alias("digest"), F.monotonically_increasing_id().alias("rid")))
     heavy = heavy_digests(slim, rows, counters)
+    top = heavy.select("digest", F.col("top.doc_id").alias("top_id"))
+    is_top = F.col("doc_id").eqNullSafe(F.col("top_id"))
+    hot = stored(slim.join(F.broadcast(top), "digest").where(is_top).groupBy("digest").agg(F.first("doc_id").alias("top_id"), F.count(F.lit(1)).alias("ties")))
     rest = slim.join(F.broadcast(heavy.select("digest")), "digest", "left_anti").repartition("digest")
     pairs = rest.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("ties"))
-    groups = stored(
-        pairs.groupBy("digest").agg(F.sum("ties").alias("n"), F.max(F.struct("doc_id", "ties")).alias("best")).where("n > 1")
-    )
-    top = heavy.select("digest", F.col("top.doc_id").alias("doc_id"))
-    again = slim.join(F.broadcast(top), "digest").where(slim["doc_id"].eqNullSafe(top["doc_id"])).groupBy("digest").agg(F.count(F.lit(1)).alias("ties"))
-    hot = stored(top.join(again, "digest").select("digest", F.struct(F.col("doc_id").alias("doc_id"), F.col("ties")).alias("top")))
-    left = (
-        marked.join(F.broadcast(hot), "digest", "left")
-        .where(F.col("top").isNull() | F.col("doc_id").eqNullSafe(F.col("top.doc_id")))
-        .join(groups.select("digest", "best"), "digest", "left")
-        .where(F.col("best").isNull() | F.col("doc_id").eqNullSafe(F.col("best.doc_id")))
-        .withColumn("ties", F.coalesce("top.ties", "best.ties", F.lit(1)))
+    best = pairs.groupBy("digest").agg(F.max(F.struct("doc_id")).alias("best"), F.sum("ties").alias("n")).where("n > 1").select("digest", "best.doc_id")
+    best = best.withColumnRenamed("doc_id", "best_id")
+    key_hash = F.xxhash64("doc_id")
+    pair_hash = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").bitwiseXOR(key_hash)
+    listed = stored(
+        pairs.join(best, "digest").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("best_id"))).where("not stays or ties > 1")
+        .select("digest", "doc_id", "stays", pair_hash.alias("hash"))
     )
-    if groups.where("best.ties > 1").isEmpty() and hot.where("top.ties > 1").isEmpty():
-        return left.select("row.*")
-    repeated = left.where("ties > 1").groupBy("digest").agg(F.first("row").alias("row"))
-    return left.where("ties = 1").select("row.*").unionByName(repeated.select("row.*"))
+    sent = spark.sparkContext.broadcast(hash_map(listed, "hash"))
+
+    @F.arrow_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("maybe", T.BooleanType())]))
+    def looked_up(text, key_hashes):
+        import numpy as np
+        import pyarrow as pa
+
+        found = _digests(text)
+        own = np.array([int.from_bytes(d[:8], "big") for d in found], np.uint64) ^ key_hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        return pa.StructArray.from_arrays([pa.array(found, pa.binary()), pa.array(map_has(sent.value, own))], names=["digest", "maybe"])
+
+    left = keyed.select("row", "doc_id", looked_up("text", key_hash).alias("f")).select("row", "doc_id", "f.digest", "f.maybe")
+    left = left.join(F.broadcast(hot), "digest", "left").where(F.col("top_id").isNull() & F.col("ties").isNull() | is_top)
+    sure = left.where(~F.col("maybe") & (F.coalesce("ties", F.lit(1)) == 1)).select("row.*")
+    there = listed.select(F.col("digest").alias("d"), F.col("doc_id").alias("k"), "stays")
+    unsure = left.where(F.col("maybe") | (F.coalesce("ties", F.lit(1)) > 1)).join(
+        there, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("k")), "left"
+    ).where(F.coalesce("stays", F.lit(True)))
+    if hot.where("ties > 1").isEmpty() and listed.where("stays").isEmpty():
+        return sure.unionByName(unsure.select("row.*"))
+    several = F.col("stays").isNotNull() | (F.coalesce("ties", F.lit(1)) > 1)
+    once = unsure.where(several).groupBy("digest").agg(F.first("row").alias("row")).select("row.*")
+    return sure.unionByName(unsure.where(~several).select("row.*")).unionByName(once)

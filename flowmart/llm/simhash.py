@@ -103,9 +103,9 @@ def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFram
     """
     if distance != 3:
         raise ValueError("the keys are laid out for 3 differing bits")
-    entries = _entries(prints)
+    entries = _entries(prints).repartition("part")  # dealt once, for the representatives and for the join
     reps = entries.groupBy("part").agg(F.min("fp").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("part", "rep")
-    shared = stored(entries.join(stored(reps), "part"))
+    shared = stored(entries.join(reps, "part"))
 
     def near(a: Column, b: Column) -> Column:
         return (ring_start(a, b) >= 0) & (F.bit_count(a.bitwiseXOR(b)) <= distance)
