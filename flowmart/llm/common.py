@@ -11,7 +11,7 @@ from flowmart.session import shared_dir, stored, stored_with_count
 __all__ = ["hash_map", "map_has", "read_table", "shared_dir", "small_batches", "stored", "stored_with_count", "text_batches", "write_out"]
 
 #: Rows and bytes that one Arrow batch hands to Python: long texts must not pile up in a worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -25,8 +25,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bits of a map of hashes, which every task holds: 8 MB, however many hashes are in it.
-MAP_BITS = 26
+#: Bits of a map of hashes, which every task holds: 2 MB, however many hashes are in it.
+MAP_BITS = 24
 
 
 def hash_map(hashes: DataFrame, column: str):
@@ -57,7 +57,7 @@ def write_out(df: DataFrame, *parts: str) -> str:
     return path
 
 
-def text_batches(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[list[int], list[str]]]:
+def text_batches(texts: list[str | None], most: int = 500_000) -> Iterator[tuple[list[int], list[str]]]:
     """Runs of (document number, piece of text), each of about ``most`` characters; null counts as empty.
 
     A longer text is cut into several pieces, always after white space (or, in a run without any that is longer than

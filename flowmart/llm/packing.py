@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from flowmart.llm.common import small_batches
 
 WINDOW, END = 4096, 2
-#: Words and pieces whose ids a worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+#: Words, and as many pieces, whose ids a worker remembers: twice so many entries at most, of about 200 bytes.
+REMEMBERED = 100_000
 
 _ENCODERS: dict[str, Callable] = {}
 
@@ -41,37 +41,29 @@ def encoder(path: str) -> Callable[[str], bytes]:
     if pattern is None:
         _ENCODERS[path] = full
         return full
-    model, special = whole.model, [t.content for t in whole.get_added_tokens_decoder().values()]
+    model = whole.model
+    special = re.compile("|".join(re.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or "(?!)").search
     odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
     blank = re.compile("[\t\n\x0b\x0c\r ]+")
-    pieces: dict[str, bytes] = {}
 
-    def piece(text: str) -> bytes:
-        found = pieces.get(text)
-        if found is None:
-            if len(pieces) >= REMEMBERED:
-                pieces.clear()
-            known = text if text.isascii() else _byte_signs(text)
-            found = pieces[text] = array("I", [t.id for t in model.tokenize(known)]).tobytes()
-        return found
+    def piece_ids(text: str) -> bytes:
+        known = text if text.isascii() else _byte_signs(text)
+        return array("I", [t.id for t in model.tokenize(known)]).tobytes()
+
+    pieces = _Recent(piece_ids)
+    piece = pieces.__getitem__
 
-    def word(text: str) -> bytes:
+    def word_ids(text: str) -> bytes:
+        # A comma or point after a letter is a piece of its own.
+        if text[-1] in ",." and text[-2:-1].lower().isalpha():
+            return words[text[:-1]] + piece(text[-1])
         low = text.lower()
         latin = low.isascii() or max(low) < "\u0250"
-        if not latin or not text.isprintable() or any(s in text for s in special):
+        if not latin or not text.isprintable() or special(text):
             return full(text)
-        return b"".join(map(piece, pattern.findall(low)))
+        return piece(low) if low.isalpha() else b"".join(map(piece, pattern.findall(low)))
 
-    class Words(dict):
-        def __missing__(self, text: str) -> bytes:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            ids = word(text)
-            if len(text) <= 64:
-                self[text] = ids
-            return ids
-
-    words = Words()
+    words = _Recent(word_ids)
 
     def by_word(text: str) -> bytes:
         return b"".join(map(words.__getitem__, blank.split(text) if odd.search(text) else text.split()))
@@ -80,6 +72,25 @@ def encoder(path: str) -> Callable[[str], bytes]:
     return by_word
 
 
+class _Recent(dict):
+    """Results of a function by text. When full it becomes the older generation, from which texts in use come back."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make, self.older = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.make(text)
+            if len(text) > 64:
+                return found
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[text] = found
+        return found
+
+
 def _split_pattern(build: dict):
     """The pattern by which a tokenizer of the expected build cuts a text, else None.
 

@@ -32,7 +32,7 @@ def check(rows, got, window):
     return [sum(r.length for r in h) for h in sequences.values()]
 
 
-TEXTS = ["It's well-known: 3rd-rate, don't!", None, "", "Ünïcödé ÉÀ İstanbul ΟΔΟΣ ß", "a\x1cb\x85c d e", "x<|endoftext|>y <|startoftext|>", "नमस्ते 世界 é Å",
+TEXTS = ["It's well-known: 3rd-rate, don't!", None, "", "Ünïcödé ÉÀ İstanbul ΟΔΟΣ ß", "İ, İ. ǆ. á, ª, º. ²,", "a\x1cb\x85c d e", "x<|endoftext|>y <|startoftext|>", "नमस्ते 世界 é Å",
          "word " * 3000, "\n\t ", "9 99 999 a1b2", "\U0001f600 smile", "end."]
 
 
