@@ -10,7 +10,7 @@ from flowmart.llm.common import small_batches
 
 WINDOW, END = 4096, 2
 #: Words, and as many pieces, whose ids a worker remembers: twice so many entries at most, of about 200 bytes.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 
 _ENCODERS: dict[str, Callable] = {}
 
