@@ -29,6 +29,9 @@ FURNITURE_WORDS = re.compile(
 )
 #: Radius of the Gaussian in lines, and the part of the ratios' standard deviation that content must reach.
 RADIUS, PART = 2, 0.5
+#: Ratio that counts at most for that deviation: characters a tag that are prose at any rate, so that one long paragraph does not
+#: raise the threshold over ordinary ones.
+PROSE = 80
 
 
 class _Lines(html.parser.HTMLParser):
@@ -37,28 +40,32 @@ class _Lines(html.parser.HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, int]] = []  # text, tags, furniture, container
-        self.path: list[tuple[str, bool, int]] = []  # open elements: name, skipped or furniture, container
+        # Open elements: name, skipped or furniture, and, as they were outside: container, elements that words mark as furniture.
+        self.path: list[tuple[str, int, int, int]] = []
+        self.sections = [0]  # for the page and each open element: the container of the sections right in it
         self.text: list[str] = []
-        self.tags = self.skips = self.drops = 0
+        self.tags = self.skips = self.drops = self.named = 0
         self.containers = 0
-        self.where, self.depth_of_content = 0, 0
+        self.where, self.depth_of_content, self.articles = 0, 0, 0
 
     def cut(self) -> None:
         line = " ".join("".join(self.text).split())
         if line:
-            self.lines.append((line, self.tags, self.drops > 0, self.where))
+            self.lines.append((line, self.tags, self.drops + self.named > 0, self.where))
         if line or self.tags:
             self.tags = 0
         self.text.clear()
 
     def _leave(self) -> None:
-        name, kind, where = self.path.pop()
+        name, kind, where, named = self.path.pop()
+        self.sections.pop()
         if name in BLOCKS:
             self.cut()
         self.skips -= kind == 1
         self.drops -= kind == 2
         self.depth_of_content -= name in CONTENT
-        self.where = where
+        self.articles -= name == "article"
+        self.where, self.named = where, named
 
     def handle_starttag(self, tag, attrs) -> None:
         if tag in CLOSES_P:
@@ -86,13 +93,28 @@ class _Lines(html.parser.HTMLParser):
             kind = 0 if tag == "header" and self.depth_of_content else 2
         elif tag not in CONTENT and tag not in ("html", "body"):
             named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-            if named and FURNITURE_WORDS.search(named) or any(k == "hidden" for k, _ in attrs):
+            if any(k == "hidden" for k, _ in attrs):
                 kind = 2
-        self.path.append((tag, kind, self.where))
+            elif named and FURNITURE_WORDS.search(named):
+                kind = 3
+        self.path.append((tag, kind, self.where, self.named))
+        siblings = len(self.sections) - 1
+        self.sections.append(0)
+        # Words on what stands around the main element speak of the page's layout.
+        self.named = 0 if tag == "main" else self.named + (kind == 3)
         self.skips += kind == 1
         self.drops += kind == 2
         self.depth_of_content += tag in CONTENT
-        if tag in CONTENT or (tag in ("div", "section", "td", "body", "main") and not self.depth_of_content):
+        if tag == "article":
+            self.articles += 1
+            if self.articles == 1 and self.depth_of_content > 1:
+                return  # the articles of a main element are one container
+        if tag == "section" and not self.depth_of_content:
+            if not self.sections[siblings]:
+                self.containers += 1
+                self.sections[siblings] = self.containers
+            self.where = self.sections[siblings]
+        elif tag in CONTENT or (tag in ("div", "td", "body") and not self.depth_of_content):
             self.containers += 1
             self.where = -self.containers if self.depth_of_content else self.containers
 
@@ -135,7 +157,8 @@ def content_lines(lines: list[tuple[str, int, bool, int]]) -> list[int]:
     """The numbers of the lines that are content.
 
     A line's ratio is its characters over its tags, and nothing for furniture. Ratios are smoothed by a Gaussian; lines
-    at or above a part of their standard deviation form the content cluster. A container that the cluster reaches gives all
+    at or above a part of their standard deviation (ratios over ``PROSE`` count as that) form the content cluster. Sections
+    side by side are one container, and so are the articles of one main element. A container that the cluster reaches gives all
     its lines that are not furniture, so that short headings and last lines stay with their article. Where a page has an
     article or main element that is not empty, other containers count only if no content line stands in one.
     """
@@ -150,7 +173,7 @@ def content_lines(lines: list[tuple[str, int, bool, int]]) -> list[int]:
     at = np.arange(-2 * RADIUS, 2 * RADIUS + 1)
     kernel = np.exp(-at**2 / (2 * RADIUS**2))
     smooth = np.convolve(np.pad(ratio, 2 * RADIUS, mode="edge"), kernel / kernel.sum(), mode="valid")
-    content = plain & (smooth >= PART * ratio.std())
+    content = plain & (smooth >= PART * np.minimum(ratio, PROSE).std())
     if not content.any():
         content = plain
     where = np.array([x[3] for x in lines])

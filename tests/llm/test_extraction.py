@@ -39,3 +39,19 @@ def test_rows(spark):
     got = extraction.extract(df).collect()
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == [("1", "a", 1), ("1", "a", 1), ("None", "", 0)]
     assert extraction.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("around,each", [("<div class=page>{}</div>", "section"), ("<div>{}</div>", "p"), ("<main>{}</main>", "article"),
+                                         ("<div class='layout sidebar'><main>{}</main></div>", "article"), ("<main>{}</main>", "section")])
+def test_one_very_long_paragraph_drops_no_other(around, each):
+    blocks = [f"Part {i}. An ordinary paragraph, long enough to be read as prose." for i in range(30)]
+    blocks[15] = "long text " * 4000
+    blocks[29] = "The end."
+    page = "<nav><a href=/>Home</a></nav>" + around.format("".join(f"<{each}><p>{b}</p></{each}>" if each != "p" else f"<p>{b}</p>" for b in blocks)) + "<footer>f</footer>"
+    assert extraction.main_text(page) == "\n\n".join(b.strip() for b in blocks)
+
+
+def test_plain_blocks_beside_a_very_long_one_stay():
+    blocks = [f"Part {i}. An ordinary paragraph, long enough to be read as prose by anyone who comes along, and a little more." for i in range(11)]
+    blocks[0] = "long text " * 4000
+    assert extraction.main_text("".join(f"<div><p>{b}</p></div>" for b in blocks)) == "\n\n".join(b.strip() for b in blocks)
