@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -12,8 +13,8 @@ from flowmart.llm.common import shared_dir, stored
 RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
 )
-#: Part of a host's score that follows its links, sum of changes at which rounds end, and most rounds.
-DAMPING, CHANGE, ROUNDS = 0.85, 1e-6, 60
+#: Part of a host's score that follows its links, sum of changes at which rounds end, and rounds beyond those that must suffice.
+DAMPING, CHANGE, MARGIN = 0.85, 1e-6, 10
 #: Part of a host's trust and distrust together from which its pages are blocked.
 BLOCK_FROM = 0.6
 
@@ -47,12 +48,14 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.select("src", lower.alias("dst")).where("src != '' and src != dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, change: float = CHANGE, rounds: int = ROUNDS) -> DataFrame:
+def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, change: float = CHANGE, rounds: int | None = None) -> DataFrame:
     """(host, rank): personalised PageRank over ``edges`` (src, dst, n) from ``seeds`` (host, weight).
 
     A walk restarts at the seeds by their weights; what reaches a host without links restarts as well. Ranks sum to the
     weights' sum. They are a written table each round, the next round sees only that, and rounds end when the ranks change
-    by less than the part ``change`` of their sum.
+    by less than the part ``change`` of their sum. Changes shrink by ``damping`` a round from at most twice the sum, so that a number
+    of rounds is certain to do; past it (or past ``rounds``) the ranks are not taken and an error is raised. Hosts that no
+    walk has reached by then have no row: together they hold less than ``change`` / (1 - ``damping``) of the sum.
     No seed gives no rows. Hosts with very many links are split where they are joined and pre-summed where they are grouped.
     """
     spark = edges.sparkSession
@@ -63,7 +66,7 @@ def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, chan
     outs = stored(edges.groupBy("src").agg(F.sum("n").alias("outs")))
     parts = stored(edges.join(outs, "src").select("src", "dst", (F.col("n") / F.col("outs")).alias("part")))
     ranks = start.select("host", F.col("start").alias("rank"))
-    for _ in range(rounds):
+    for _ in range(math.ceil(math.log(change / 2) / math.log(damping)) + MARGIN if rounds is None else rounds):
         sent = ranks.join(parts, ranks["host"] == parts["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("part") * damping).alias("got"))
         passed = stored(sent.groupBy("host").agg(F.sum("got").alias("got")))
         again = 1.0 - (passed.agg(F.sum("got").alias("s")).first()["s"] or 0.0) / total
@@ -73,8 +76,8 @@ def page_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, chan
         new.join(ranks.select("host", F.col("rank").alias("old")), "host", "left").observe(seen, F.sum(moved).alias("moved")).select("host", "rank").write.parquet(path)
         ranks = spark.read.schema("host string, rank double").parquet(path)
         if (seen.get["moved"] or 0.0) < change * total:
-            break
-    return ranks
+            return ranks
+    raise RuntimeError("the ranks still change after the rounds that must suffice")
 
 
 def host_scores(seeds: DataFrame, edges: DataFrame) -> DataFrame:

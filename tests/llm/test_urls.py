@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from flowmart.llm import urls
 
 LINK = '<a class="x" href="{}">t</a>'
@@ -85,3 +87,9 @@ def test_rank_of_a_hub(spark):
 
 def test_empty(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_ranks_that_still_change_are_not_taken(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 1)], "src string, dst string, n long").coalesce(1)
+    with pytest.raises(RuntimeError):
+        urls.page_rank(edges, spark.createDataFrame([("a", 1)], "host string, weight long"), rounds=2)
