@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.session import shared_dir, stored, stored_with_count
 
-__all__ = ["hash_map", "map_has", "read_table", "shared_dir", "small_batches", "stored", "stored_with_count", "text_batches", "write_out"]
+__all__ = ["hash_map", "map_bits", "map_has", "read_table", "shared_dir", "small_batches", "stored", "stored_with_count", "text_batches", "write_out"]
 
 #: Rows and bytes that one Arrow batch hands to Python: long texts must not pile up in a worker.
 BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
@@ -29,15 +29,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 MAP_BITS = 24
 
 
-def hash_map(hashes: DataFrame, column: str):
-    """A numpy map of ``2 ** MAP_BITS`` bits with the upper bits of every hash set; at most ``2 ** (MAP_BITS - 6)`` words are gathered."""
+def map_bits(rows: int, least: int = 16, most: int = 26) -> int:
+    """Bits for a map of ``rows`` hashes: 16 times as many as hashes, between 8 KB and 8 MB in all."""
+    return min(most, max(least, (16 * rows).bit_length()))
+
+
+def hash_map(hashes: DataFrame, column: str, bits: int = MAP_BITS):
+    """A numpy map of ``2 ** bits`` bits with the upper bits of every hash set; at most ``2 ** (bits - 6)`` words are gathered."""
     import numpy as np
 
-    bit = f"shiftrightunsigned(`{column}`, {64 - MAP_BITS})"
+    bit = f"shiftrightunsigned(`{column}`, {64 - bits})"
     words = hashes.groupBy(F.expr(f"shiftright({bit}, 6)").alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast({bit} & 63 as int))")).alias("bits")
     ).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
@@ -46,7 +51,7 @@ def map_has(known, hashes):
     """Which of the unsigned ``hashes`` may be in the map: never false for one that is."""
     import numpy as np
 
-    bit = hashes >> np.uint64(64 - MAP_BITS)
+    bit = hashes >> np.uint64(64 - 6 - (len(known) - 1).bit_length())
     return (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowmart.llm import decontamination, exact, extraction, language, packing, secret_scan, shards, simhash, urls, warc
+from flowmart.llm import (
+    decontamination, exact, extraction, importance, language, packing, secret_scan, shards, simhash, suffix_dedup, urls, warc, whitening,
+)
 from flowmart.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +127,39 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(read_table(spark, sf_dir, "documents"), tokenizer_path())
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
+
+
+@query("op11_importance_resampling", f"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+f AS (SELECT doc_id, f, count(*) AS n FROM (SELECT doc_id, unnest(w) AS f FROM d) GROUP BY ALL),
+g AS (SELECT f, count(*) AS n FROM (SELECT unnest(w) AS f FROM b) GROUP BY ALL),
+h AS (SELECT f, hex(encode(f)) AS x, octet_length(encode(f)) AS size FROM (SELECT f FROM f UNION SELECT f FROM g)),
+k AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(size), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+  lambda x, y: xor(x >> 8, list_extract({_crc_table()}, CAST(xor(x & 255, y) AS BIGINT) + 1))), 4294967295::BIGINT) % 10000 AS bucket FROM h),
+s AS (SELECT bucket, sum(n) AS s FROM f JOIN k USING (f) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM g JOIN k USING (f) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+  / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM s FULL JOIN t USING (bucket)),
+w AS (SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM f JOIN k USING (f) JOIN gain USING (bucket) GROUP BY doc_id),
+a AS (SELECT d.doc_id, len(d.w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+  CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN w USING (doc_id)),
+v AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296::DOUBLE)))::BIGINT AS score FROM a),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM v WHERE n_features >= 20)
+SELECT v.*, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM v LEFT JOIN r USING (doc_id)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_chebyshev_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long")).drop("residual")
+
+
+@query("op13_suffix_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.drop_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
