@@ -9,10 +9,18 @@ from pyspark.sql import DataFrame, functions as F
 from flowmart.llm.common import small_batches
 
 WINDOW, END = 4096, 2
-#: Words, and as many pieces, whose ids a worker remembers: twice so many entries at most, of about 200 bytes.
-REMEMBERED = 150_000
+#: Words, and as many pieces, whose ids a task remembers: twice so many entries at most, of about 200 bytes.
+REMEMBERED = 1_000_000
 
 _ENCODERS: dict[str, Callable] = {}
+_MEMORIES: list[_Recent] = []
+
+
+def forget() -> None:
+    """Empty the memories of all encoders: workers live on from stage to stage."""
+    for memory in _MEMORIES:
+        memory.clear()
+        memory.older = {}
 
 
 def encoder(path: str) -> Callable[[str], bytes]:
@@ -64,6 +72,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
         return piece(low) if low.isalpha() else b"".join(map(piece, pattern.findall(low)))
 
     words = _Recent(word_ids)
+    _MEMORIES.extend([pieces, words])
 
     def by_word(text: str) -> bytes:
         return b"".join(map(words.__getitem__, blank.split(text) if odd.search(text) else text.split()))
@@ -135,12 +144,15 @@ class Packer:
         import numpy as np
 
         last = self.window - size
-        grows = 2 * (self.count[size:] - self.count[: last + 1]) + 2  # from h to h + size
-        grows[last] = 1 - 2 * self.count[last]  # a full window is no longer counted
-        grows[0] = 2 * self.count[size] + 1 if last else 0
-        usable = self.count[: last + 1] > 0
-        usable[0] = True
-        level = int(np.where(usable, grows, np.iinfo(np.int64).max).argmin())
+        levels = np.flatnonzero(self.count[: last + 1])
+        level, least = 0, 2 * self.count[size] + 1 if last else 0  # a new window
+        if len(levels):
+            held = self.count[levels]
+            grows = 2 * (self.count[levels + size] - held) + 2  # from h to h + size
+            if levels[-1] == last:
+                grows[-1] = 1 - 2 * held[-1]  # a full window is no longer counted
+            best = int(grows.argmin())
+            level = int(levels[best]) if grows[best] < least else 0
         items = self.open[level].pop() if level else []
         self.count[level] -= level > 0
         items.append((doc, size))
@@ -219,6 +231,7 @@ def pack_task(batches: Iterator, path: str, window: int, end: int) -> Iterator:
                     room, items = window, []
     if items:
         emit(items)
+    forget()
     if out:
         yield flush()
 

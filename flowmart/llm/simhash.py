@@ -1,22 +1,16 @@
-"""Near duplicates: SimHash fingerprints with pigeonring candidates, and shingle sets whose Jaccard similarity is computed."""
+"""Near duplicates: SimHash fingerprints with pigeonring candidates."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from flowmart.llm.common import hash_map, map_has, small_batches, stored
+from flowmart.llm.common import hash_map, map_bits, map_has, small_batches, stored, stored_with_count
 from flowmart.llm.components import components
 
 #: Bits in which linked fingerprints may differ, and words to a shingle.
 DISTANCE, SHINGLE = 3, 3
 #: The ring: segments of 16 bits. With a budget of 3 over 4 segments, l consecutive ones may differ in 3l/4 bits.
 SEGMENTS, WIDTH = 4, 16
-#: Of the pipeline's stage: words to a shingle, and the Jaccard similarity of shingle sets from which texts are near copies.
-STAGE_SHINGLE, SIMILARITY = 5, 0.8
-#: Min-hashes to a key and keys to a text. Two texts of similarity s share a key but for (1 - s**5)**24 of them: 0.00007 at 0.8.
-MINIMA, KEYS = 5, 24
 
 
 def _shingles(text: str | None, shingle: int) -> list[int]:
@@ -138,6 +132,15 @@ def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFram
     return star.unionByName(rest.distinct())
 
 
+def _with_roots(prints: DataFrame, order: Column) -> DataFrame:
+    """(fp, first, n) for every fingerprint: the least ``order`` over all rows of its component, and how many rows that has."""
+    distinct = stored(prints.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")))
+    label = components(linked_fingerprints(distinct.select("fp")))
+    named = stored(distinct.join(label, distinct["fp"] == label["node"], "left").select("fp", "first", "n", F.coalesce("label", "fp").alias("label")))
+    least = stored(named.groupBy("label").agg(F.min("first").alias("first"), F.sum("n").alias("n")))
+    return stored(named.select("fp", "label").join(least, "label").select("fp", "first", "n"))
+
+
 def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -146,148 +149,35 @@ def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "tex
     other. Repeated rows give repeated rows; an empty table gives none; other columns are not read.
     """
     prints = stored(fingerprints(docs, key, text))
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    label = components(linked_fingerprints(distinct.select("fp")))
-    named = distinct.join(label, distinct["fp"] == label["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    least = stored(named.groupBy("label").agg(F.min("least").alias("component_id")))
-    roots = stored(stored(named.select("fp", "label")).join(least, "label").select("fp", "component_id"))
+    roots = _with_roots(prints, F.col("doc_id")).select("fp", F.col("first").alias("component_id"))
     return prints.join(roots, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def _set_of(text: str | None, shingle: int):
-    """(set's hash, sorted distinct shingle hashes) of one text."""
-    import numpy as np
-    import xxhash
-
-    own = np.unique(np.array(_shingles(text, shingle), np.uint64))
-    return xxhash.xxh64_intdigest(own.tobytes(), 42), own
-
-
-def _keys(own, minima: int = MINIMA, keys: int = KEYS):
-    """The keys of one sorted shingle set: each hashes its number and ``minima`` min-hashes."""
-    import numpy as np
-
-    turns = np.random.default_rng(42).integers(0, 1 << 63, minima * keys, np.uint64) * np.uint64(2) + np.uint64(1)
-    least = np.full(minima * keys, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(own), 2048):
-        least = np.minimum(least, (own[i:i + 2048] * turns[:, None]).min(axis=1))
-    total = np.arange(1, keys + 1, dtype=np.uint64)
-    for part in least.reshape(keys, minima).T:
-        total = (total ^ part) * np.uint64(0x9E3779B97F4A7C15)
-        total ^= total >> np.uint64(29)
-    return total
-
-
-def _text_hash(text: str | None) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest((text or "").encode(), 42)
-
-
-def _sketches(batches: Iterator, shingle: int) -> Iterator:
-    """(doc_id, node, source, keys) of each text: hash of its shingle set, hash of the text, keys of the set."""
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        nodes, sources, keys = [], [], []
-        for text in batch.column(1).to_pylist():
-            node, own = _set_of(text, shingle)
-            nodes.append(node)
-            sources.append(_text_hash(text))
-            keys.append(_keys(own) if len(own) else np.zeros(0, np.uint64))
-        flat = np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
-        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (nodes, sources)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-            names=["doc_id", "node", "source", "keys"],
-        )
-
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all its columns, one row of each component of :func:`near_duplicate_groups`: the one with the smallest key.
 
-def _sets(batches: Iterator, shingle: int, sent) -> Iterator:
-    """(node, shingles) of each text whose hash may be in the map ``sent``."""
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if map_has(sent.value, np.array([_text_hash(text)], np.uint64))[0]:
-                node, own = _set_of(text, shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array([node], np.uint64).view(np.int64)), pa.array([own.view(np.int64)], pa.list_(pa.int64()))], names=["node", "shingles"]
-                )
-
-
-def similar_groups(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, component_id.
-
-    Texts link whose sets of word shingles have a Jaccard similarity of ``similarity`` or more; ``component_id`` is the
-    smallest key reachable over links, itself included (null only if all keys of a component are null). Texts without words are
-    alike. Pairs that share a key of min-hashes are candidates, and every link is checked on the whole sets. A key's members
-    are held against one representative, twice; pairs are formed only of those then in different components.
+    Null keys come last, and of rows that repeat the smallest key the first written stays: it is rows that are decided on, so
+    rows of one key with unrelated texts stay or go apart. Rows are written once with their fingerprints; of those only the ones
+    that may go meet the table of rows that go.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    schema = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL("node long, source long, keys array<long>")])
-    prints = stored(texts.mapInArrow(lambda it: _sketches(it, shingle), schema))
-    distinct = stored(prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.min_by("keys", "source").alias("keys"), F.min("source").alias("source")))
-    entries = distinct.select("node", F.explode("keys").alias("part")).repartition("part")
-    many = entries.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part")
-    shared = stored(entries.join(many, "part"))
-    wanted = distinct.join(shared.select("node").distinct(), "node", "left_semi").select("source")
-    sent = spark.sparkContext.broadcast(hash_map(wanted, "source"))
-    whole = texts.select("text").mapInArrow(lambda it: _sets(it, shingle, sent), "node long, shingles array<long>")
-    sets = stored(whole.groupBy("node").agg(F.first("shingles").alias("shingles")))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        ours = pairs.distinct().join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
-        both = ours.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
-        common, size = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
-        return both.where(common >= (size - common) * similarity - 1e-9).select("a", "b")
-
-    def named(links: DataFrame | None) -> DataFrame:
-        if links is None:
-            return shared.withColumn("mine", F.col("node"))
-        label = components(links)
-        return stored(shared.join(label, "node", "left").select("part", "node", F.coalesce("label", "node").alias("mine")))
-
-    links = None
-    for turn in range(2):
-        rows = named(links)
-        draw = F.xxhash64(F.lit(turn), "node")
-        reps = rows.groupBy("part").agg(F.min_by(F.struct(F.col("node").alias("rep"), F.col("mine").alias("its")), draw).alias("r")).select("part", "r.*")
-        star = linked(rows.join(reps, "part").where("mine != its").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")))
-        links = stored(star if links is None else links.unionByName(star))
-    rows = named(links)
-    open_ = rows.groupBy("part").agg(F.min("mine").alias("low"), F.max("mine").alias("high")).where("low != high").select("part")
-    rows = stored(rows.join(open_, "part"))
-    # Both members of a key's pair that a representative already failed with are compared themselves.
-    others = rows.select("part", F.col("node").alias("b"), F.col("mine").alias("of_b"))
-    rest = rows.select("part", F.col("node").alias("a"), F.col("mine").alias("of_a")).join(others, "part").where("a < b and of_a != of_b").select("a", "b")
-    label = components(links.unionByName(linked(rest)))
-    roots = distinct.join(label, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
-    least = stored(roots.groupBy("label").agg(F.min("least").alias("component_id")))
-    roots = stored(stored(roots.select("node", "label")).join(least, "label").select("node", "component_id"))
-    return prints.join(roots, "node").select("doc_id", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with all its columns, one row of each component of :func:`similar_groups`: the one with the smallest key.
-
-    Rows whose key is null stay, as nothing tells them apart; of rows that repeat a kept key and its component one
-    stays. Rows of one key with unrelated texts go only together.
-    """
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).select("row", F.col(f"row.`{key}`").alias("key"))
-    groups = similar_groups(docs, shingle, similarity, key, text).where("doc_id is not null").withColumn("root", F.col("doc_id") == F.col("component_id"))
-    keys = stored(groups.groupBy(F.col("doc_id").alias("key")).agg(
-        F.max("root").alias("root"), F.count(F.lit(1)).alias("n"), F.min("component_id").eqNullSafe(F.max("component_id")).alias("same")
-    ).where("not root or (n > 1 and same)"))
-    gone, repeated = keys.where("not root").select("key"), keys.where("root").select("key")
-    left = rows.join(gone, "key", "left_anti")
-    if repeated.isEmpty():
-        return left.select("row.*")
-    once = left.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
-    return left.join(repeated, "key", "left_anti").select("row.*").unionByName(once.select("row.*"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    held = stored(rows.select("row", F.col(f"row.`{key}`").alias("doc_id"), _fingerprint(F.col(f"row.`{text}`")).alias("fp"), F.monotonically_increasing_id().alias("rid")))
+    prints = held.select("doc_id", "fp", "rid")
+    roots = _with_roots(prints, F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).where("n > 1").select("fp", F.col("first.rid").alias("stays"))
+    gone, n = stored_with_count(prints.join(roots, "fp").where("rid != stays").select("rid", F.xxhash64("rid").alias("hash")))
+    known = spark.sparkContext.broadcast(hash_map(gone, "hash", map_bits(n)))
+
+    @F.arrow_udf(T.BooleanType())
+    def maybe(hashes):
+        import numpy as np
+        import pyarrow as pa
+
+        return pa.array(map_has(known.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    tagged = held.select("row", "rid", maybe(F.xxhash64("rid")).alias("maybe"))
+    unsure = tagged.where("maybe").join(gone.select("rid"), "rid", "left_anti")
+    return tagged.where("not maybe").select("row.*").unionByName(unsure.select("row.*"))

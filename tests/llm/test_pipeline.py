@@ -62,4 +62,4 @@ def test_stages(spark, steps):
 
 def test_run(spark, steps):
     assert corpus_pipeline.run(spark, SF).count() == steps[-1].count()
-    assert corpus_pipeline.ORACLE_SQL is None and len(QUERIES) == 10
+    assert corpus_pipeline.ORACLE_SQL is None and len(QUERIES) == 13
