@@ -20,7 +20,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) the document with the smallest doc_id stays."""
+    """Of each group of near copies (fingerprints of three-word shingles that differ in 3 bits or fewer) the document with the smallest doc_id stays."""
     return simhash.drop_near_duplicates(docs)
 
 
