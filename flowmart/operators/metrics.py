@@ -266,16 +266,18 @@ def rank_by_year(
     year: str = "year",
     drop_null_values: bool = True,
     exclude_members: Sequence[str] = (),
+    store: bool = True,
 ) -> DataFrame:
     """``rank`` within each year, largest first (ties share the smallest), and unique ``position`` (ties by entity).
 
-    Values of any ordered type are ranked. The rows are written once, in ranges of their order.
+    Values of any ordered type are ranked. The rows are written, and once more in ranges of their order, so they are computed once;
+    ``store=False`` leaves the first copy out and computes them twice.
     """
     if drop_null_values:
         df = df.where(F.col(value).isNotNull())
     if exclude_members:
         df = exclude(df, entity, exclude_members)
-    return ordering.rank_rows(df, "rank", "position", value, [entity], [year])
+    return ordering.rank_rows(df, "rank", "position", value, [entity], [year], store)
 
 
 def overlap_years(df: DataFrame, side: str, a: str, b: str, year: str = "year") -> DataFrame:
@@ -351,16 +353,18 @@ def ranking_table(
     """The table behind a ranking chart: rank and position per year, shared years, minimum points, cohorts.
 
     With ``side`` and ``sides`` the years are cut to those both sides cover, and ``show`` is the side ranked.
-    Ranks are taken per year over all entities before the cut. The ranked rows are the only written table.
+    Ranks are taken per year over all entities before the cut. The ranked rows are written before they are read several times.
     """
+    df = df if side is None else stored(df)
     rows = df if side is None else df.where(F.col(side) == show)
-    ranked = rank_by_year(rows, entity, value, year, exclude_members=exclude_members)
+    ranked = rank_by_year(rows, entity, value, year, exclude_members=exclude_members, store=side is None)
     if side is not None:
         ends = overlap_years(df, side, *sides, year=year).first()
         ranked = year_window(ranked, ends.first_year, ends.last_year, year)
     if drop_zero:
         ranked = nonzero(ranked, value)
-    return cohort_pin(min_points(ranked, entity, store_counts=False), entity, k, first_year, last_year, year)
+    pointed = min_points(ranked, entity, store=True, store_counts=False)
+    return cohort_pin(pointed, entity, k, first_year, last_year, year, store=True)
 
 
 def sort_mart(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -135,7 +135,7 @@ def top_classes(spark, sf):
 @query("share_within_year", f"""WITH {CLASS_FLOWS}, v AS (SELECT year, class_code, SUM("count") AS vol FROM class_flows GROUP BY ALL)
 SELECT year, class_code, vol, vol / SUM(vol) OVER (PARTITION BY year) * 100.0 AS pct_share FROM v""")
 def share_within_year(spark, sf):
-    return m.with_share(m.volume(class_flows(spark, sf), ["year", "class_code"], out="vol"), "vol", ["year"])
+    return m.with_share(m.volume(class_flows(spark, sf), ["year", "class_code"], out="vol"), "vol", ["year"], store=True)
 
 
 _RANKED = """CAST(RANK() OVER (PARTITION BY year ORDER BY volume DESC) AS BIGINT) AS rank,
@@ -204,7 +204,7 @@ FROM r LEFT JOIN last ON r.{e}=last.e LEFT JOIN first ON r.{e}=first.e"""
 {_PINNED.format(e='destination_office')}""")
 def cohort_pin(spark, sf):
     ranked = m.rank_by_year(_dest_volumes(spark, sf), "destination_office", "volume")
-    return m.cohort_pin(ranked, "destination_office", 5)
+    return m.cohort_pin(ranked, "destination_office", 5, store=True)
 
 
 @query("ranking_table", f"""WITH {FLOWS}, d AS (
