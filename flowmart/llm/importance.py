@@ -129,6 +129,6 @@ def resample(
     order = [-F.col("score"), F.col("doc_id").isNull().cast("int"), F.coalesce("doc_id", F.lit(0)).cast("long"), F.col("rid")]
     drawn = (F.col("n_words") >= least_words) & cutoff(fits, order, need)
     out = ["doc_id", "n_features", "weight", "score"]
-    ranked = number_rows(table.where(drawn), "rank", [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("rid")])
+    ranked = number_rows(table.where(drawn), "rank", [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("rid")], store=False)
     rest = table.where(~drawn).select(*out, F.lit(None).cast("long").alias("rank"))
     return ranked.select(*out, F.col("rank").cast("long").alias("rank")).unionByName(rest)
