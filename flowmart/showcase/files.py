@@ -5,6 +5,8 @@ Each query writes to a new folder under the session's shared folder.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart import schema, sinks, sources
@@ -72,10 +74,12 @@ _HEADER = ["Office", "Office (Code)", "Origin", *[str(y) for y in YEARS]]
 
 
 @query("header_repair", f"WITH {FLOWS}, {WIDE} " + " UNION ALL ".join(
-    f"""SELECT {i} AS ordinal, '{c}' AS "column", COUNT({f'"{c}"' if c.isdigit() else '*'}) AS n_filled FROM wide WHERE indicator='PA1a'""" for i, c in enumerate(_HEADER)))
+    f"""SELECT '{code}' AS indicator, {i} AS ordinal, '{c}' AS "column", COUNT({f'"{c}"' if c.isdigit() else '*'}) AS n_filled FROM wide WHERE indicator='{code}'"""
+    for code in _FILES for i, c in enumerate(_HEADER)))
 def header_repair(spark, sf):
-    wide = sources.read_wide_csv(spark, _folder(landed_files(spark, sf), "PA1a"))
-    return catalog.filled_counts(wide)
+    root = landed_files(spark, sf)
+    counts = [catalog.filled_counts(sources.read_wide_csv(spark, _folder(root, code))).select(F.lit(code).alias("indicator"), "*") for code in _FILES]
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 @query("src_wide_csv", f"""WITH {FLOWS}, {WIDE} SELECT destination_office AS "Office", 'NA' AS "Office (Code)", origin AS "Origin",

@@ -330,6 +330,50 @@ def test_wide_lines_that_do_not_parse_fail(spark, tmp_path):
     assert sorted(tuple(r) for r in sources.read_wide_csv(spark, path, 1, quoted_newlines=True).collect()) == [("Can\nada", "1"), ("France", "2")]
 
 
+def test_wide_ranges_give_every_line_once(tmp_path):
+    """Any cut of a file gives its lines, each in the range that it begins in."""
+    import random
+
+    from flowmart.sources.wide_csv import line_blocks, plan_ranges
+
+    rng = random.Random(1)
+    for _ in range(60):
+        lines = ["x" * rng.choice([0, 1, 3, 40, 300]) for _ in range(rng.randint(0, 40))]
+        text = "head\n" + "\n".join(lines) + rng.choice(["", "\n"])
+        path = put(tmp_path / "r.csv", text)
+        size = rng.choice([1, 7, 50, 1000])
+        ranges = [p for r in plan_ranges([(path, len(text), 5)], size, 0) for p in r.parts]
+        got = [b for r in ranges for b in line_blocks(*r, block=rng.choice([3, 64]))]
+        assert b"".join(got).decode() == text[5:]
+        assert all(b.endswith(b"\n") for b in got[:-1])
+
+
+def test_wide_lines_pass_python_once(spark, tmp_path, monkeypatch):
+    """The plan has one scan and no Python beside it, and headers come from a file's first lines."""
+    for k in range(3):
+        put(tmp_path / "w" / f"{k}.csv", f"T{k}\nOffice,2000\n" + "".join(f"O{i},{i}\n" for i in range(1000)))
+    df = sources.read_wide_csv(spark, str(tmp_path / "w"), 1)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "InArrow" not in plan and "EvalPython" not in plan
+    assert df.count() == 3000 and df.selectExpr("sum(cast(`2000` as long))").first()[0] == 3 * sum(range(1000))
+
+
+def test_wide_cells_blank_lines_and_packed_files(spark, tmp_path):
+    import gzip
+
+    text = 'T\r\nOffice,Origin,2000\r\nNA,"",\r\n  \r\n"a ""b"", c", d ,1\r\n\r\n'
+    put(tmp_path / "p" / "a.csv", text)
+    with gzip.open(tmp_path / "p" / "b.csv.gz", "wt", newline="") as f:
+        f.write(text)
+    got = sources.read_wide_csv(spark, str(tmp_path / "p"), 1).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("NA", "", None), ('a "b", c', " d ", "1")] * 2, key=str)
+    put(tmp_path / "q.csv", "Office,2000\na,1\nb\n")
+    with pytest.raises(Exception, match="Expected 2 columns"):
+        sources.read_wide_csv(spark, str(tmp_path / "q.csv"), 0).collect()
+    put(tmp_path / "e.csv", "Office,2000")
+    assert sources.read_wide_csv(spark, str(tmp_path / "e.csv"), 0).collect() == []
+
+
 def test_csv_columns_are_found_by_name(spark, tmp_path):
     path = put(tmp_path / "a.csv", "a,b,c\n1,2,3\n")
     assert sources.read_csv(spark, path, "c INT, a INT").first().asDict() == {"c": 3, "a": 1}
