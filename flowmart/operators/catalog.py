@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from flowmart.schema import DICTIONARY, PREAMBLE_LINES
 from flowmart.session import ship_package
 from flowmart.sources.landing import FILE_TOKEN
-from flowmart.streams import open_stream, xml_events
+from flowmart.streams import open_stream, tag_statistics, xml_events
 
 
 def _cells(df: DataFrame) -> DataFrame:
@@ -28,22 +28,94 @@ def profile(df: DataFrame, sample_n: int = 25, approx: bool = False) -> DataFram
 
     Cells are grouped by (column, value) with map-side combining, so a value that fills a third of a column is
     one row per task before the shuffle. A column's distinct values are dealt out by their hash, each share is cut to
-    ``sample_n``, and only those meet; so no task sorts a whole column, whatever ``sample_n`` is. ``approx`` counts with a
-    sketch, which does not shuffle cells.
+    ``sample_n``, and only those meet; so no task sorts a whole column, whatever ``sample_n`` is. ``approx`` takes both from
+    :func:`sketch`, which shuffles no cells: counts are then estimates, samples are exact.
     """
-    values = _cells(df).groupBy("column", "value").agg(F.count("*").alias("n"))
     if approx:
-        sketches = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in df.columns])
-        counts = _cells(sketches).select("column", F.col("value").cast("long").alias("n_unique"))
-    else:
-        counts = values.groupBy("column").agg(F.count("value").alias("n_unique"))
-    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return from_sketches(sketch(df, sample_n=sample_n), sample_n)
+    values = _cells(df).groupBy("column", "value").agg(F.count("*").alias("n"))
+    counts = values.groupBy("column").agg(F.count("value").alias("n_unique"))
+    return counts.join(_first_values(values, sample_n), "column").select("column", "n_unique", "sample_values")
+
+
+def _first_values(values: DataFrame, n: int) -> DataFrame:
+    """(column, sample_values): the ``n`` first of the distinct (column, value) rows, dealt out by hash and cut before they meet."""
+    shares = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.asc_nulls_first("value")
     own = values.withColumn("share", F.pmod(F.xxhash64("value"), F.lit(shares)))
-    least = own.withColumn("i", F.row_number().over(W.partitionBy("column", "share").orderBy(order))).where(F.col("i") <= sample_n)
-    shown = least.withColumn("i", F.row_number().over(W.partitionBy("column").orderBy(order))).where(F.col("i") <= sample_n)
+    least = own.withColumn("i", F.row_number().over(W.partitionBy("column", "share").orderBy(order))).where(F.col("i") <= n)
+    shown = least.withColumn("i", F.row_number().over(W.partitionBy("column").orderBy(order))).where(F.col("i") <= n)
     samples = shown.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("s"))
-    return counts.join(samples, "column").select("column", "n_unique", F.col("s.value").alias("sample_values"))
+    return samples.select("column", F.col("s.value").alias("sample_values"))
+
+
+#: Buckets of a distinct-count sketch, as a power of two: 4 KB each, standard error 1.6 %.
+SKETCH_LG = 12
+
+
+def _least_values(batches: Iterator, columns: int, n: int) -> Iterator:
+    """One task's ``n`` first distinct values of each text column, held in a buffer of that size, and whether nulls occur."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held = [pa.array([], pa.string())] * columns
+    for batch in batches:
+        for i in range(columns):
+            # Code points and UTF-8 bytes have one order, so text sorts as Spark sorts it.
+            own = pc.unique(pa.concat_arrays([held[i], pc.unique(batch.column(i))]))
+            held[i] = own.take(pc.array_sort_indices(own, null_placement="at_start")).slice(0, n)
+    for i, values in enumerate(held):
+        yield pa.RecordBatch.from_arrays([pa.array([i] * len(values), pa.int32()), values], names=["at", "value"])
+
+
+def sketch(df: DataFrame, by: Sequence[str] = (), sample_n: int = 25) -> DataFrame:
+    """``by``, column, n_rows, n_filled, distinct (a sketch), least: what :func:`from_sketches` needs of each part of ``df``.
+
+    Parts are the values of ``by`` (a partition column, ``_metadata.file_path`` under a name …), or the whole table. A part's counts
+    and sketches come from one native aggregate of which each task passes on one row per part; ``least`` holds the ``sample_n`` first distinct
+    values in text order, nulls first. Without ``by`` they are kept in a buffer of that size in each task, so no cell is shuffled beyond
+    those; with it a part's distinct values are grouped map-side and dealt out. Stored, the sketches of any parts
+    can be merged later without a look at the table.
+    """
+    names = [c for c in df.columns if c not in by]
+    keys = [F.col(f"`{c}`") for c in by]
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    counts = [F.count(F.lit(1)).alias("n_rows")]
+    for i, c in enumerate(names):
+        counts += [F.count(F.col(f"`{c}`")).alias(f"f{i}"), F.hll_sketch_agg(text(c), SKETCH_LG).alias(f"d{i}")]
+    wide = df.groupBy(*keys).agg(*counts)
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(c).alias("column"), F.col(f"f{i}").alias("n_filled"), F.col(f"d{i}").alias("distinct")) for i, c in enumerate(names)])
+    counted = wide.select(*keys, "n_rows", F.explode(cells).alias("c")).select(*keys, "c.at", "c.column", "n_rows", "c.n_filled", "c.distinct")
+    order = lambda v: F.array_sort(v, lambda a, b: F.when(a.isNull() & b.isNull(), 0).when(a.isNull(), -1).when(b.isNull(), 1).when(a < b, -1).when(a > b, 1).otherwise(0))
+    if not by:
+        texts = df.select(*[text(c).alias(f"c{i}") for i, c in enumerate(names)])
+        firsts = texts.mapInArrow(lambda it: _least_values(it, len(names), sample_n), "at int, value string").distinct()
+        named = firsts.select(F.col("at").cast("string").alias("column"), "value")
+        least = _first_values(named, sample_n).select(F.col("column").cast("int").alias("at"), F.col("sample_values").alias("least"))
+        return counted.join(least, "at").select("column", "n_rows", "n_filled", "distinct", "least")
+    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("at"), text(c).alias("value")) for i, c in enumerate(names)]))
+    values = df.select(*[k.alias(f"_by{i}") for i, k in enumerate(keys)], each.alias("c")).select(*[f"_by{i}" for i in range(len(keys))], "c.at", "c.value").distinct()
+    part = [*[f"_by{i}" for i in range(len(keys))], "at"]
+    values = values.withColumn("share", F.pmod(F.xxhash64("value"), F.lit(shares)))
+    for within in ([*part, "share"], part):
+        values = values.withColumn("i", F.row_number().over(W.partitionBy(*within).orderBy(F.asc_nulls_first("value")))).where(F.col("i") <= sample_n)
+    # collect_list leaves nulls out, so they are wrapped.
+    least = values.groupBy(*part).agg(F.collect_list(F.struct("value")).alias("v")).select(*part[:-1], F.col("at").alias("_at"), order(F.col("v.value")).alias("least"))
+    same = F.col("at") == F.col("_at")
+    for i, k in enumerate(by):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_by{i}"))
+    return counted.join(least, same).select(*keys, "column", "n_rows", "n_filled", "distinct", "least")
+
+
+def from_sketches(sketches: DataFrame, sample_n: int = 25) -> DataFrame:
+    """column, n_unique (an estimate), sample_values, from the sketches of any parts of a table: filter them first for a subset.
+
+    Only sketches and first values are read. ``sample_n`` may not be larger than that of the sketches.
+    """
+    counts = sketches.groupBy("column").agg(F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("n_unique"))
+    values = sketches.select("column", F.explode("least").alias("value")).distinct()
+    return counts.join(_first_values(values, sample_n), "column").select("column", "n_unique", "sample_values")
 
 
 def overview(df: DataFrame, n: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -114,18 +186,13 @@ def _xml_columns(path: str) -> list[tuple[str, str]]:
     The record is the deepest tag that occurs more than once (the first such tag in the file on a tie). Its columns are its ancestors'
     attributes prefixed by their tag, its own attributes, its children's text, and their attributes prefixed by theirs.
     """
-    local = lambda tag: tag.split("}")[-1]
-    counts: dict[str, int] = {}
-    depths: dict[str, int] = {}
     with open_stream(path) as f:
-        for event, node, above in xml_events(f):
-            if event == "start":
-                counts[node.tag] = counts.get(node.tag, 0) + 1
-                depths[node.tag] = max(len(above) + 1, depths.get(node.tag, 0))
-    repeated = [t for t, n in counts.items() if n > 1]
+        repeated = {tag: depth for tag, (n, depth) in tag_statistics(f).items() if n > 1}
     if not repeated:
         return []
-    record = max(repeated, key=lambda t: depths[t])
+    deepest = max(repeated.values())
+    record = next(tag for tag, depth in repeated.items() if depth == deepest)
+    local = lambda tag: tag.split("}")[-1]
     found: dict[str, None] = {}
     with open_stream(path) as f:
         for event, node, above in xml_events(f, record):

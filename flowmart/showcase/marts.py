@@ -9,7 +9,7 @@ from flowmart.operators import enrich, quality
 from flowmart.plans import jobs
 from flowmart.session import shared_dir, stored
 from flowmart.showcase.columns import INDUSTRY, industry_text
-from flowmart.showcase.registry import query
+from flowmart.showcase.registry import fixture, query
 from flowmart.showcase.views import CLASS_FLOWS, FLOWS, YEARS, buyers, class_flows, exact_sum, flows, table
 
 CODES = ["PA1a", "PA1b", "TM1a", "TM1b", "ID1a", "ID1b"]
@@ -147,6 +147,7 @@ def naics_mart(spark, sf):
     return sinks.materialize(mart, shared_dir(spark, "naics_mart"), view="fct_trade_by_naics_yearly", sort=jobs.INDUSTRY_ORDER)
 
 
+@fixture
 def sdmx_documents(spark, sf):
     """One SDMX-JSON document per customer: order values by priority, year and status."""
     orders = table(spark, sf, "orders").groupBy(
@@ -174,7 +175,7 @@ def sdmx_documents(spark, sf):
     attributes = F.array(F.struct(F.lit("OBS_STATUS").alias("id"), codes(["A", "E", "M"]).alias("values")))
     structure = F.struct(F.struct(dims.alias("observation")).alias("dimensions"), F.struct(attributes.alias("observation")).alias("attributes"))
     data = F.struct(F.array(structure).alias("structures"), F.array(F.struct("observations")).alias("dataSets"))
-    return cells.select(F.to_json(F.struct(data.alias("data"))).alias("value"))
+    return stored(cells.select(F.to_json(F.struct(data.alias("data"))).alias("value")))
 
 
 _SDMX_DIMS = ["REF_AREA", "COUNTERPART_AREA", "MEASURE", "TIME_PERIOD"]
@@ -196,25 +197,31 @@ def ip_charges_mart(spark, sf):
     return jobs.ip_charges_mart(jobs.clean_charges(jobs.stage_charges(sdmx_documents(spark, sf), _SDMX_DIMS)))
 
 
-@query("charges_load", """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(n_nationkey AS INT) AS macroecon_region_id,
-  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value_cad_millions
-FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey GROUP BY ALL""")
-def charges_load(spark, sf):
-    nation = table(spark, sf, "nation")
+@fixture
+def charges_files(spark, sf):
     name = F.when(F.col("n_nationkey") == 0, "World").otherwise(F.col("n_name"))
     mart = (
         buyers(table(spark, sf, "orders"), spark, sf)
         .groupBy(F.year("o_orderdate").alias("year"), name.alias("counterpart_country")).agg(exact_sum("o_totalprice").alias("value_cad_millions"))
     )
+    path = shared_dir(spark, "charges")
+    mart.withColumn("flow_type", F.lit(schema.CHARGES_FLOW)).select(*schema.CHARGES.names).write.parquet(path)
+    return path
+
+
+@query("charges_load", """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(n_nationkey AS INT) AS macroecon_region_id,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value_cad_millions
+FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey GROUP BY ALL""")
+def charges_load(spark, sf):
+    nation = table(spark, sf, "nation")
     dim = nation.select(
         F.col("n_nationkey").alias("macroecon_region_id"),
         F.when(F.col("n_nationkey") == 0, "All countries").otherwise(F.col("n_name")).alias("region"),
     )
-    mart_dir, out = shared_dir(spark, "charges"), shared_dir(spark, "charges_load")
-    mart.withColumn("flow_type", F.lit(schema.CHARGES_FLOW)).select(*schema.CHARGES.names).write.parquet(mart_dir)
+    mart_dir, out = charges_files(spark, sf), shared_dir(spark, "charges_load")
     rules = [
         quality.columns_are(schema.CHARGES.names), quality.no_nulls(schema.CHARGES.names), quality.only_value("flow_type", schema.CHARGES_FLOW),
         quality.with_members("counterpart_country", ["World"]), quality.UniqueKey(("year", "counterpart_country")),
     ]
     jobs.run_charges_load(spark, mart_dir, dim, out, rules=rules)
-    return spark.read.parquet(out).withColumn("value_cad_millions", F.col("value_cad_millions").cast("double"))
+    return sinks.read_mart(spark, out).withColumn("value_cad_millions", F.col("value_cad_millions").cast("double"))

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart.operators.metrics import sort_mart
-
-
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+from flowmart.sinks.content import Content, Observed, content_of
+from flowmart.sinks.versions import publish, read_mart
 
 
 def write_parquet(
@@ -21,10 +18,11 @@ def write_parquet(
     contract: T.StructType | None = None,
     rows_per_file: int = 0,
     row_group_bytes: int | None = None,
-) -> int:
-    """Write Parquet, replacing the folder, and return the row count.
+    content: bool = False,
+) -> int | Content:
+    """Write Parquet, replacing the folder, and return the row count or, with ``content``, the content, summed during the write.
 
-    With a contract an empty result is an error, found before the old folder is touched.
+    The old folder is gone while the new one is written; marts that are read meanwhile are for :func:`publish`. With a contract an empty result is an error, found before the old folder is touched.
 
     The contract fixes column order and types and fills absent columns with null. Partitioned output is
     rebalanced first: small partitions share tasks, and a partition value with many rows is split over several.
@@ -35,14 +33,15 @@ def write_parquet(
             raise ValueError(f"{path}: nothing was written")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    counted, seen = _counted(df)
-    writer = counted.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by)
+    observed = Observed(df, None if content else {})
+    writer = observed.df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)
-    return seen.get["n"]
+    found = observed.content()
+    return found if content else found.rows
 
 
 def export_csv(df: DataFrame, path: str, gzip: bool = True, quote_all: bool = False) -> None:
@@ -57,17 +56,27 @@ def export_csv(df: DataFrame, path: str, gzip: bool = True, quote_all: bool = Fa
 
 
 def materialize(df: DataFrame, path: str, view: str | None = None, sort: Sequence[str] = ()) -> DataFrame:
-    """Optionally name a view, write (globally sorted when ``sort`` is given), and return the written table."""
+    """Optionally name a view, publish as a new version (globally sorted when ``sort`` is given), and return the written table."""
     if view is not None:
         df.createOrReplaceTempView(view)
         df = df.sparkSession.table(view)
-    (sort_mart(df, sort) if sort else df).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    publish(sort_mart(df, sort) if sort else df, path)
+    return read_mart(df.sparkSession, path)
 
 
-def verify_written(spark: SparkSession, path: str, expected: int) -> DataFrame:
-    """One row comparing the rows found in the target with the rows that were written."""
-    found = spark.read.parquet(path).agg(F.count("*").alias("n_target"))
-    return found.select(
-        F.lit(expected).cast("long").alias("n_loaded"), "n_target", (F.col("n_target") == expected).alias("passed")
-    )
+def verify_written(spark: SparkSession, path: str, expected: int | Content) -> DataFrame:
+    """One row comparing what is found in the target, by the schema of its files, with what was written.
+
+    With a row count only counts are compared. With a :class:`Content` the rows are compared as multisets by the sums of their
+    hashes: ``same_content``, both fingerprints, and the columns that differ (``*`` for values exchanged between rows).
+    """
+    target = read_mart(spark, path)
+    if isinstance(expected, int):
+        found = target.agg(F.count("*").alias("n_target"))
+        return found.select(F.lit(expected).cast("long").alias("n_loaded"), "n_target", (F.col("n_target") == expected).alias("passed"))
+    groups = {name: target.columns if name == "*" else [name] for name in expected.sums}
+    found = content_of(target, {name: [c for c in columns if c in target.columns] for name, columns in groups.items()})
+    row = (expected.rows, found.rows, expected.fingerprint, found.fingerprint, expected.differing(found), found.sums == expected.sums, found == expected)
+    return spark.createDataFrame([row], (
+        "n_loaded long, n_target long, fingerprint_loaded string, fingerprint_target string, differing array<string>, same_content boolean, passed boolean"
+    ))

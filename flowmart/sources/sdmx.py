@@ -41,7 +41,8 @@ def decode_sdmx(
     ``status_reported`` tells whether the document carries the status attribute at all. A document that is no JSON, has no
     observations or lacks a dimension fails, and so does one with several structures or data sets.
     """
-    doc = documents.select(F.from_json(text_col, DOCUMENT, {"mode": "FAILFAST"}).alias("d"))
+    # A row of its own for the parsed document: as a plain column the optimizer would repeat the parse in every use of it.
+    doc = documents.select(F.explode(F.array(F.from_json(text_col, DOCUMENT, {"mode": "FAILFAST"}))).alias("d"))
     def fail(why: str) -> Column:
         return F.raise_error(F.lit(f"SDMX document: {why}")).cast("boolean")
     held = F.get("d.data.dataSets", F.lit(0))["observations"]

@@ -74,17 +74,13 @@ def tag_counts(spark: SparkSession, path: str) -> DataFrame:
     def count(batches):
         import pandas as pd
 
-        from flowmart.streams import open_stream, xml_events
+        from flowmart.streams import open_stream, tag_statistics
 
         for batch in batches:
             for file in batch["path"]:
-                counts: dict[str, list[int]] = {}
                 with open_stream(file) as f:
-                    for event, node, above in xml_events(f):
-                        if event == "start":
-                            seen = counts.setdefault(node.tag.split("}")[-1], [0, 0])
-                            seen[0], seen[1] = seen[0] + 1, max(seen[1], len(above) + 1)
-                yield pd.DataFrame([(t, n, d) for t, (n, d) in counts.items()], columns=["tag", "n", "depth"])
+                    rows = [(tag.split("}")[-1], n, depth) for tag, (n, depth) in tag_statistics(f).items()]
+                yield pd.DataFrame(rows, columns=["tag", "n", "depth"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     each = files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(count, "tag STRING, n LONG, depth INT")

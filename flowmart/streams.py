@@ -41,3 +41,13 @@ def xml_events(file, whole: str | None = None):
         yield event, node, above
         if not inside and above:
             above[-1].remove(node)
+
+
+def tag_statistics(file) -> dict[str, tuple[int, int]]:
+    """How often each tag of an XML stream opens and how deep at most (the root is 1), in the order of first occurrence."""
+    seen: dict[str, tuple[int, int]] = {}
+    for event, node, above in xml_events(file):
+        if event == "start":
+            n, depth = seen.get(node.tag, (0, 0))
+            seen[node.tag] = n + 1, max(depth, len(above) + 1)
+    return seen

@@ -1,6 +1,6 @@
 import pytest
 
-from flowmart import schema
+from flowmart import schema, sinks
 from flowmart.operators import conform, enrich
 from flowmart.plans import jobs
 
@@ -32,7 +32,7 @@ def test_landing_to_marts(spark, tmp_path):
     )
     frames = jobs.staged_frames(spark, staged_dir, ["PA1a", "PA3", "TM1a"])
     n = jobs.run_flows(spark, frames, codes, str(tmp_path / "flows"), str(tmp_path / "export"), supplement)
-    fact = spark.read.parquet(str(tmp_path / "flows")).select(*schema.FLOWS.names)
+    fact = sinks.read_mart(spark, str(tmp_path / "flows")).select(*schema.FLOWS.names)
     assert n == fact.count() == 7
     assert {tuple(r) for r in fact.collect()} == {
         (1980, "World", "WD", "Canada", "CA", "PA1a", 5.0), (1981, "World", "WD", "Canada", "CA", "PA1a", 6.0),
@@ -45,14 +45,14 @@ def test_landing_to_marts(spark, tmp_path):
 
     labels = enrich.class_label_dim(spark.createDataFrame([("7", "Machines")], "Class STRING, Industry STRING"), "Nice")
     jobs.run_class_flows(spark, jobs.staged_frames(spark, staged_dir, ["TM4a"]), codes, labels, str(tmp_path / "classes"))
-    classes = spark.read.parquet(str(tmp_path / "classes")).select(*schema.CLASS_FLOWS.names)
+    classes = sinks.read_mart(spark, str(tmp_path / "classes")).select(*schema.CLASS_FLOWS.names)
     assert {tuple(r) for r in classes.collect()} == {
         (1980, "Japan", "World", "WD", "TM4a", "Nice", "7 - Machines", 3.0), (1980, "World", "Japan", "JP", "TM4a", "Nice", "Other", 1.0)
     }
 
 
     assert jobs.run_residency(spark, paths, str(tmp_path / "residency")) == 1
-    assert spark.read.parquet(str(tmp_path / "residency")).select(*schema.RESIDENCY_FLOWS.names).first() == (1980, "Canada", "Total", "Resident", "PA1a", 1.0)
+    assert sinks.read_mart(spark, str(tmp_path / "residency")).select(*schema.RESIDENCY_FLOWS.names).first() == (1980, "Canada", "Total", "Resident", "PA1a", 1.0)
 
 
 def test_class_files_by_position(spark):

@@ -83,6 +83,30 @@ def test_profile_of_a_dominating_value_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_sketched_profile_shuffles_no_cells(spark, tmp_path):
+    df = spark.range(20_000).select((F.col("id") % 5000).alias("n"), F.when(F.col("id") % 3 > 0, F.lpad(F.col("id"), 6, "0")).alias("s"), F.lit(None).cast("int").alias("e"))
+    got = {r.column: r for r in catalog.profile(df, 4, approx=True).collect()}
+    exact = {r.column: r for r in catalog.profile(df, 4).collect()}
+    for c, r in exact.items():
+        assert abs(got[c].n_unique - r.n_unique) <= 0.06 * r.n_unique and got[c].sample_values == r.sample_values
+    plan = catalog.sketch(df, sample_n=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("hll_sketch_agg") and "Expand" not in plan
+    # What leaves a task: a row of sketches, and at most four values a column.
+    assert df.select(F.col("s")).repartition(6).mapInArrow(lambda it: catalog._least_values(it, 1, 4), "at int, value string").count() <= 24
+
+
+def test_sketches_of_parts_are_merged_for_any_subset(spark, tmp_path):
+    df = spark.range(9000).select((F.col("id") % 3).cast("string").alias("part"), (F.col("id") % 1000 + F.col("id") % 3 * 700).alias("v"), F.when(F.col("id") > 8000, F.lit("x")).alias("w"))
+    catalog.sketch(df, ["part"], 5).write.parquet(str(tmp_path / "s"))
+    table = spark.read.parquet(str(tmp_path / "s"))
+    assert {(r.part, r.column): (r.n_rows, r.n_filled) for r in table.where("column = 'v'").collect()} == {(p, "v"): (3000, 3000) for p in "012"}
+    for parts in (["0"], ["0", "2"], ["0", "1", "2"]):
+        own = df.where(F.col("part").isin(parts)).drop("part")
+        got = {r.column: r for r in catalog.from_sketches(table.where(F.col("part").isin(parts)), 5).collect()}
+        for r in catalog.profile(own, 5).collect():
+            assert abs(got[r.column].n_unique - r.n_unique) <= 0.06 * r.n_unique + 0.5 and got[r.column].sample_values == r.sample_values
+
+
 def test_overview(spark):
     n, described, head = catalog.overview(spark.range(10).withColumn("s", F.lit("x")), 3)
     assert n.first().n_rows == 10 and head.count() == 3
