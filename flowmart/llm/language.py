@@ -11,21 +11,21 @@ from flowmart.llm.common import small_batches, text_batches
 
 #: Hash buckets of character trigrams; a model has so many numbers per language.
 BUCKETS = 1 << 16
-#: Added to every count; rounds and change of a proportion at which EM ends.
-SMOOTHING, ROUNDS, CHANGE = 0.5, 30, 1e-3
+#: Added to every count; change of a proportion below which EM ends.
+SMOOTHING, CHANGE = 0.5, 1e-3
 #: The name of texts without a letter.
 UNKNOWN = "und"
 
 
 @functools.cache
 def _letters():
-    """For each code point whether it is a letter or a mark that belongs to one."""
+    """For each code point: 1 for a letter, 2 for a mark, which belongs to a word but makes none."""
     import unicodedata
 
     import numpy as np
 
-    table = np.zeros(0x110001, bool)
-    table[:0x110000] = [unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)]
+    table = np.zeros(0x110001, np.uint8)
+    table[:0x110000] = ["LM".find(unicodedata.category(chr(c))[0]) + 1 for c in range(0x110000)]
     return table
 
 
@@ -35,7 +35,13 @@ def _trigrams(pieces: list[str]):
 
     low = [p.lower() for p in pieces]
     points = np.frombuffer(("\n" + "\n".join(low) + "\n").encode("utf-32-le", "replace"), "<u4")
-    letter = _letters()[points]
+    kind = _letters()[points]
+    letter = kind > 0
+    if (kind == 2).any():
+        at = np.flatnonzero(letter)
+        word = np.cumsum(~letter[at - 1]) - 1
+        made = np.bincount(word, kind[at] == 1) > 0
+        letter[at[~made[word]]] = False  # marks without a letter
     code = np.where(letter, points, 0).astype(np.uint32)
     at = np.flatnonzero(letter)
     mixed = code[at - 1] * np.uint32(0x9E3779B1) + code[at] * np.uint32(0x85EBCA77) + code[at + 1] * np.uint32(0xC2B2AE3D)
@@ -86,13 +92,17 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang"):
 
 
 def _em(p, owner, starts, n, allowed):
-    """Proportions and log-likelihood gain of each document's mixture over the ``allowed`` languages."""
+    """Proportions and log-likelihood gain of each document's mixture over the ``allowed`` languages.
+
+    A document's rounds go on until none of its proportions moves by more than ``CHANGE``. Every such move raises its likelihood by
+    an amount that is bounded below, so they end.
+    """
     import numpy as np
 
     share = allowed / allowed.sum(axis=1, keepdims=True)
     live = np.arange(len(starts))
     rows, own, at = slice(None), owner, starts
-    for _ in range(ROUNDS):
+    while True:
         part = p[rows] * share[live][own]
         part /= part.sum(axis=1, keepdims=True)
         new = np.add.reduceat(part, at, axis=0) / n[live, None]
@@ -204,10 +214,10 @@ def fold(key: str = "doc_id", folds: int = 3):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def keep_known(docs: DataFrame, least: float = 0.5, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with all its columns, less the rows whose text has no language or none with a share of ``least``.
+def keep_known(docs: DataFrame, least: float = 0.0, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with all its columns, less the rows whose text has no learned language, or none with a share of ``least``.
 
-    Learns from the same rows that it judges; the language column is no input of a prediction.
+    A document in several learned languages stays, however its words are shared among them, unless ``least`` is raised. Learns from the same rows that it judges; the language column is no input of a prediction.
     """
     model = fit(docs, text, lang)
     small_batches(docs.sparkSession)
