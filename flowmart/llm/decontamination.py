@@ -5,12 +5,16 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from flowmart.llm.common import hash_map, map_has, small_batches, stored, text_batches
 
 #: Tokens to a window, and how many of a template window's tokens must be literal.
-WINDOW, LITERAL = 8, 5
+WINDOW, LITERAL = 8, 4
+#: Tokens of the shortest item that is searched for.
+LEAST = 5
+#: Kinds of windows: of plain tokens, of templates whose names stand within sentences, and of templates whose names may begin one.
+PLAIN, WITHIN, ANYWHERE = 0, 1, 2
 #: A document is contaminated by an item of which this part of the windows agrees in one alignment, or so many windows.
 PART, ENOUGH = 0.5, 6
 # Units of measure, currencies and spans of time that take a number.
@@ -92,15 +96,32 @@ def _tokens(pieces: list[str]):
     return np.searchsorted(ends, first - 2, side="right"), hashes, kind[first] == 2, uppers[points[first]], begins
 
 
-def _slots(hashes, number, upper, begins):
-    """The kind of slot that each token is, 0 for a literal: numbers, units beside a number, and names within a sentence."""
+def _templates(owner, hashes, number, upper, begins):
+    """For either kind of template: (kind, owners, values, canonical values, slots) of its tokens.
+
+    Numbers, units beside a number and runs of names are slots; a run is one token, so that a name of two words can stand for one of
+    one. A capital at a sentence's start may or may not be a name, which makes the two kinds. Runs end with their sentence.
+    """
     import numpy as np
 
     unit = np.isin(hashes, _unit_hashes())
     beside = np.zeros(len(hashes), bool)
     beside[1:] |= number[:-1]
     beside[:-1] |= number[1:]
-    return np.where(number, NUMBER, np.where(unit & beside, UNIT, np.where(upper & ~begins & ~unit, NAME, 0))).astype(np.uint8)
+    beside &= unit
+    fresh = begins.copy()  # a run begins anew here
+    fresh[1:] |= owner[1:] != owner[:-1]
+    fresh[:1] = True
+    for kind in (WITHIN, ANYWHERE):
+        name = upper & ~number & ~beside if kind == ANYWHERE else upper & ~begins & ~number & ~beside
+        ahead = np.concatenate([[False], name[:-1]]) & ~fresh
+        held = np.flatnonzero(~(name & ahead))
+        if not len(held):
+            continue
+        place = np.arange(len(hashes)) - np.repeat(held, np.diff(np.append(held, len(hashes))))
+        values = np.add.reduceat(hashes * (np.uint64(2) * place.astype(np.uint64) + np.uint64(1)), held)
+        slot = np.where(number[held], NUMBER, np.where(beside[held], UNIT, np.where(name[held], NAME, 0))).astype(np.uint8)
+        yield kind, owner[held], values, np.where(slot > 0, slot.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), values), slot
 
 
 def _roll(values, start, size: int):
@@ -115,9 +136,6 @@ def _roll(values, start, size: int):
     return total ^ (total >> np.uint64(30))
 
 
-SCHEMA = "id long, pos int, size int, plain boolean, hash long, slots array<long>"
-
-
 def _rows(batches: Iterator, sizes: list[int], literal: int, sent) -> Iterator:
     """Window rows of one task's texts, for every size in ``sizes``.
 
@@ -135,89 +153,96 @@ def _rows(batches: Iterator, sizes: list[int], literal: int, sent) -> Iterator:
             continue
         owner = np.concatenate([own[t[0]] for own, t in parts])
         hashes, number, upper, begins = (np.concatenate([t[k] for _, t in parts]) for k in range(1, 5))
-        slot = _slots(hashes, number, upper, begins)
-        canon = np.where(slot > 0, slot.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), hashes)
-        filled = np.concatenate([[0], np.cumsum(slot > 0)])
-        count = np.bincount(owner, minlength=len(ids))
-        first = np.concatenate([[0], np.cumsum(count)[:-1]])
-        within = np.arange(len(owner)) - first[owner]
-        for size in sizes:
-            fits = within + size <= count[owner]
-            if known is None and size < max(sizes):
-                fits &= count[owner] == size
-            start = np.flatnonzero(fits)
-            used = filled[start + size] - filled[start]
-            templates = np.flatnonzero((used > 0) & (size - used >= min(literal, size - 1)))
-            for plain, begin, value in ((True, start, _roll(hashes, start, size)), (False, start[templates], _roll(canon, start[templates], size) ^ np.uint64(1))):
+        none = np.zeros(len(owner), np.uint8)
+        for kind, own, values, canon, slot in [(PLAIN, owner, hashes, hashes, none), *_templates(owner, hashes, number, upper, begins)]:
+            filled = np.concatenate([[0], np.cumsum(slot > 0)])
+            count = np.bincount(own, minlength=len(ids))
+            first = np.concatenate([[0], np.cumsum(count)[:-1]])
+            within = np.arange(len(own)) - first[own]
+            for size in sizes:
+                fits = within + size <= count[own]
+                if known is None and size < max(sizes):
+                    fits &= count[own] == size
+                begin = np.flatnonzero(fits)
+                if kind != PLAIN:
+                    used = filled[begin + size] - filled[begin]
+                    begin = begin[size - used >= min(literal, size - 1)]
+                value = _roll(canon, begin, size) ^ np.uint64(kind)
                 if known is not None:
                     may = map_has(known, value)
                     begin, value = begin[may], value[may]
                 if not len(begin):
                     continue
-                taken = [[] if plain else [int(hashes[j].view(np.int64)) for j in range(s, s + size) if slot[j]] for s in begin]
+                taken = [[] if kind == PLAIN else values[s:s + size][slot[s:s + size] > 0].view(np.int64).tolist() for s in begin]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(owner[begin])), pa.array(within[begin], pa.int32()), pa.array(np.full(len(begin), size, np.int32)),
-                        pa.array(np.full(len(begin), plain)), pa.array(value.view(np.int64)), pa.array(taken, pa.list_(pa.int64())),
+                        ids.take(pa.array(own[begin])), pa.array(within[begin], pa.int32()), pa.array(np.full(len(begin), size, np.int32)),
+                        pa.array(np.full(len(begin), kind, np.int32)), pa.array(value.view(np.int64)), pa.array(taken, pa.list_(pa.int64())),
                     ],
-                    names=["id", "pos", "size", "plain", "hash", "slots"],
+                    names=["id", "pos", "size", "kind", "hash", "slots"],
                 )
 
 
 def windows(docs: DataFrame, key: str, text: str, sizes: list[int], literal: int = LITERAL, sent=None) -> DataFrame:
-    """(id, pos, size, plain, hash, slots): windows of plain tokens, and of templates that have a slot and enough literals."""
+    """(id, pos, size, kind, hash, slots): windows of plain tokens, and of both templates where they have enough literals."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    return rows.mapInArrow(lambda it: _rows(it, sizes, literal, sent), SCHEMA)
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("pos int, size int, kind int, hash long, slots array<long>")])
+    return rows.mapInArrow(lambda it: _rows(it, sizes, literal, sent), schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, part: float = PART, enough: int = ENOUGH,
                  key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, start, windows, item_windows, exact.
 
-    Texts become lower-case tokens; numbers, units beside a number and names (capitals within a sentence) become typed
-    placeholders. Windows of ``window`` tokens, plain and canonical, meet by their hash. Matches of a document and an item at one
-    distance of positions form an alignment. Its template windows count only if their slots agree: the same value of the item
+    Texts become lower-case tokens; numbers, units beside a number and runs of names become typed placeholders. Templates come in two
+    kinds, as a capital at a sentence's start is a name or is none. Windows of ``window`` tokens, plain and of either kind, meet by their
+    hash. Matches of a document and an item in one kind and at one distance of positions form an alignment; plain windows belong
+    to alignments of their own. Template windows count only if their slots agree: the same value of the item
     always became the same value of the document and the other way round. A document has the item if one alignment
-    has half (``part``) of the item's windows, or ``enough`` of them. ``exact`` tells that plain windows alone suffice.
+    has half (``part``) of the item's windows of that kind, or ``enough`` of them. ``exact`` tells that plain windows alone suffice.
 
-    An item shorter than the window is one window of all its tokens; one of fewer than ``literal`` tokens is not searched
-    for. Null texts have no windows; rows of one key count as one document, as do rows without a key; repeated rows and items
-    change nothing; empty tables give no rows; other columns are not read.
+    An item shorter than the window is one window of all its tokens; one of fewer than ``LEAST`` tokens is not searched
+    for. Null texts have no windows; rows of one key (of any type) count as one document, as do rows without a key; repeated rows and
+    items change nothing; empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    sizes = list(range(literal, window + 1))
+    sizes = list(range(LEAST, window + 1))
     bench = stored(windows(benchmark, item, item_text, sizes, literal).distinct())
     used = sorted(r["size"] for r in bench.select("size").distinct().collect())
     sent = spark.sparkContext.broadcast(hash_map(bench, "hash"))
-    totals = bench.where("plain").groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("item_windows"))
+    totals = bench.groupBy(F.col("id").alias("item_id"), "kind").agg(F.countDistinct("pos").alias("item_windows"))
     found = windows(docs, key, text, used or [window], literal, sent)
-    there = bench.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "plain", "hash", F.col("slots").alias("item_slots"))
+    there = bench.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "kind", "hash", F.col("slots").alias("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     # ``pos`` counts in the text of a row, so rows of one key meet only where they say the same.
-    hits = found.join(there, ["hash", "plain"]).where(F.size("slots") == F.size("item_slots")).select(
-        F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("start"), "item_pos", "plain", pairs.alias("pairs")
+    hits = found.join(there, ["hash", "kind"]).where(F.size("slots") == F.size("item_slots")).select(
+        F.col("id").alias("doc_id"), "item_id", "kind", (F.col("pos") - F.col("item_pos")).alias("start"), "item_pos", pairs.alias("pairs")
     )
-    lines = hits.groupBy("doc_id", "item_id", "start").agg(
-        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
-        F.collect_set(F.when(F.col("plain"), F.col("item_pos"))).alias("plain"),
-        F.collect_set("item_pos").alias("any"),
+    lines = hits.groupBy("doc_id", "item_id", "kind", "start").agg(
+        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"), F.count_distinct("item_pos").alias("windows")
     )
     size = F.size("pairs")
     agree = (size == F.size(F.array_distinct(F.col("pairs.i")))) & (size == F.size(F.array_distinct(F.col("pairs.d"))))
-    need = F.least(F.lit(enough), F.ceil(F.col("item_windows") * part)).cast("int")
-    judged = lines.join(totals, "item_id").select(
-        "doc_id", "item_id", "start", F.when(agree, F.size("any")).otherwise(F.size("plain")).alias("windows"), "item_windows",
-        (F.size("plain") >= need).alias("exact"), need.alias("need"),
-    ).where("windows >= need")
-    best = F.max(F.struct("windows", (-F.col("start")).alias("back"), "exact", "item_windows"))
+    need = F.least(F.lit(enough), F.ceil(F.col("item_windows") * part))
+    judged = lines.where(agree).join(totals, ["item_id", "kind"]).where(F.col("windows") >= need)
+    exact = F.col("kind") == PLAIN
+    best = F.max(F.struct(exact.alias("exact"), "windows", (-F.col("start")).alias("back"), "item_windows"))
     return judged.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", (-F.col("best.back")).alias("start"), F.col("best.windows").cast("long").alias("windows"), "best.item_windows", "best.exact"
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with all its columns, less the rows whose key :func:`contaminated` reports; rows with a null key stay."""
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).select("row", F.col(f"row.`{key}`").alias("key"))
-    bad = stored(contaminated(docs, benchmark, key=key, text=text).select(F.col("doc_id").alias("key")).distinct())
-    return rows.join(bad, "key", "left_anti").select("row.*")
+    """``docs`` with all its columns, less the rows whose text has an item by :func:`contaminated`.
+
+    Texts are judged, whatever their rows' keys: rows with a null key, or with one that others bear, go or stay by their own text. Texts are
+    named by two 64-bit hashes. Rows with a null text stay.
+    """
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    body = F.col(f"row.`{text}`")
+    named = F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b"))
+    found = contaminated(rows.select(named.alias("id"), body.alias("text")), benchmark, key="id", text="text")
+    bad = stored(found.select(F.col("doc_id.a").alias("a"), F.col("doc_id.b").alias("b")).distinct())
+    named_rows = rows.select("row", named.alias("id"))
+    return named_rows.join(bad, (F.col("id.a") == F.col("a")) & (F.col("id.b") == F.col("b")), "left_anti").select("row.*")

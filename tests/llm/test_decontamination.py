@@ -50,7 +50,7 @@ def test_driver_documents_by_brute_force(spark):
 def test_drop_and_empty(make_docs, items):
     docs = make_docs([(1, ITEM), (2, "clean"), (None, ITEM), (3, None)])
     left = dec.drop_contaminated(docs, items)
-    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["2", "3", "None"]
+    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["2", "3"]
     assert dec.contaminated(make_docs([]), items).collect() == [] and dec.contaminated(docs, items.limit(0)).collect() == []
 
 
@@ -64,3 +64,42 @@ def test_long_texts_lose_no_window_at_a_cut(make_docs, items, monkeypatch):
     cut = [b.to_pylist() for b in dec._rows(iter([batch]), [8], 5, None)]
     plain = lambda rows: [(r["pos"], r["hash"]) for r in rows[0]]
     assert plain(whole) == plain(cut)
+
+
+def test_names_at_sentence_starts_and_names_of_several_words(spark, make_docs):
+    items = spark.createDataFrame([
+        ("a", "Tom has 5 apples. Tom buys 3 more. Tom gives 2 to Ann. How many apples does Tom have now?"),
+        ("b", "A train leaves Berlin at 14 and travels 120 km in 2 hours, then Maria waits until Maria gets 14 more tickets from Peter."),
+    ], "item_id string, text string")
+    rows = [
+        (1, "So. Eve has 8 apples. Eve buys 6 more. Eve gives 4 to Sam. How many apples does Eve have now? Right."),
+        (2, "A train leaves New York at 9 and travels 300 miles in 3 hours, then Anna Lee waits until Anna Lee gets 9 more tickets from Paul."),
+        (3, "Eve has 8 apples. Bob buys 6 more. Max gives 4 to Sam. How many apples does Jim have now?"),
+        (4, "Mary Ann Smith has 8 apples. Mary Ann Smith buys 6 more. Mary Ann Smith gives 4 to Sam. How many apples does Mary Ann Smith have now?"),
+        (5, "Tom has a house. Tom buys bread and more. Tom gives it to Ann. How many people does Tom know now?"),
+    ]
+    got = {(r.doc_id, r.item_id): r.exact for r in dec.contaminated(make_docs(rows), items).collect()}
+    assert got == {(1, "a"): False, (2, "b"): False, (4, "a"): False}
+
+
+def test_generated_changes_of_names_and_numbers_are_found(spark, make_docs):
+    import random
+
+    rng = random.Random(2)
+    nouns = "apples stones letters coins books cards shells stamps".split()
+    verbs = "finds loses sells buys collects paints counts carries".split()
+    names = ["Ann", "Bob", "Carla", "New York", "Dan Brown", "Eve", "Old Tom Bombadil", "Finn"]
+    def story(steps, people, numbers):
+        return " ".join(f"{people[p]} {v} {numbers[n]} {o} while the others only look at them." for p, v, n, o in steps)
+    items, rows = [], []
+    for i in range(25):
+        steps = [(rng.randrange(2), rng.choice(verbs), k, rng.choice(nouns)) for k in range(3)]
+        items.append((i, story(steps, rng.sample(names, 2), rng.sample(range(2, 99), 3))))
+        rows.append((i, "Before it. " + story(steps, rng.sample(names, 2), rng.sample(range(2, 99), 3)) + " After it."))
+    found = {(r.doc_id, r.item_id) for r in dec.contaminated(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(i, i) for i in range(25)} <= found
+
+
+def test_rows_are_dropped_by_their_own_text(make_docs, items):
+    docs = make_docs([(1, ITEM), (1, "clean"), (2, "clean"), (2, "clean"), (None, "clean"), (None, ITEM)])
+    assert sorted((str(r.doc_id), r.text) for r in dec.drop_contaminated(docs, items).collect()) == [("1", "clean"), ("2", "clean"), ("2", "clean"), ("None", "clean")]
