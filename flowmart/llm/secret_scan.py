@@ -12,10 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowmart.llm.common import shared_dir, stored
 
-#: A candidate is a run of at least so many of these signs with a digit in it.
-LEAST = 12
-RUN = r"[A-Za-z0-9_+/=.@:~-]"
-CANDIDATE = rf"(?<!{RUN})(?={RUN[:-1]}]*+)(?=[A-Za-z_+/=.@:~-]*+[0-9]){RUN}{{{LEAST},}}+"
 #: Characters of context on either side that hold the neighbouring words.
 CONTEXT = 80
 #: Labelled rows, by label, that the forest is fitted on: those with the least hash.
@@ -26,6 +22,7 @@ THRESHOLD = 0.5
 
 # Words that name a credential, words that name other long values, and formats that providers publish.
 CREDENTIAL = "password passwd pwd pass secret token apikey api_key key auth authorization bearer credential credentials access_key private signature"
+ASSIGNABLE = "password passwd pwd passphrase pass secret token apikey api_key api-key key auth authorization bearer credential credentials access_key access-key private_key private-key"
 HARMLESS = "commit sha sha1 sha256 md5 hash checksum digest uuid guid id version build revision rev etag isbn phone tel call card order invoice"
 PROVIDERS = (
     r"^AKIA[0-9A-Z]{16}$", r"^ASIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$", r"^AIza[0-9A-Za-z_-]{35}$",
@@ -35,6 +32,14 @@ EMAIL = r"^[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+\.?$"
 ADDRESS = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}[.,:]?[0-9]*$"
 DIGITS = r"^[0-9 .:/_+-]+$"
 
+#: A candidate is a run of at least so many of these signs with a digit in it,
+LEAST = 12
+RUN = r"[A-Za-z0-9_+/=.@:~-]"
+LONG_RUN = rf"(?<!{RUN})(?={RUN[:-1]}]*+)(?=[A-Za-z_+/=.@:~-]*+[0-9]){RUN}{{{LEAST},}}+"
+#: or whatever stands after the name of a credential and a sign of assignment, of any length and with any signs.
+NAMED = rf"(?<![A-Za-z0-9])(?i:{'|'.join(ASSIGNABLE.split())})[\"'`]?[ \t]*+[=:]++>?[ \t]*+[\"'`]?"
+CANDIDATE = rf"{NAMED}[^\s\"'`]++|{LONG_RUN}"
+
 FEATURES = [
     "length", "upper", "lower", "digits", "signs", "changes", "rare_changes", "kinds", "distinct", "coverage", "in_path", "dots", "credential", "harmless",
     "assigned", "quoted",
@@ -48,8 +53,9 @@ def _words(text: str) -> str:
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, value, before, after): every candidate of every whole text, ``start`` in code points from 0.
 
-    A name and a sign of assignment in front of a value, as in ``password=``, belong to ``before``. Texts without candidates
-    leave after one pass of the expression. Null texts give nothing.
+    A name and a sign of assignment in front of a value, as in ``password=``, belong to ``before``. Such a value is a candidate whatever
+    it looks like; elsewhere a candidate is a long run with a digit. Points, commas and brackets after a value are not its own. Texts
+    without candidates leave after one pass of the expression. Null texts give nothing.
     """
     body = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), body.alias("text")).where(body.rlike(CANDIDATE))
@@ -59,12 +65,14 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.col("found").alias("run"), F.slice("between", 1, F.size("found")).alias("before"), F.slice("between", 2, F.size("found")).alias("after"),
         _running("lead", "sizes").alias("start"),
     )).alias("at", "c")).select("doc_id", "c.*")
-    name = F.regexp_extract("run", r"^([A-Za-z_][A-Za-z0-9_.-]*[=:]+)(?=.{6,})", 1)
-    value = F.regexp_replace(F.substr("run", F.char_length(name) + 1), r"[.:=,]+$", "")
+    named = F.regexp_extract("run", f"^({NAMED})", 1)
+    name = F.when(named != "", named).otherwise(F.regexp_extract("run", r"^([A-Za-z_][A-Za-z0-9_.-]*[=:]+)(?=.{6,})", 1))
+    value = F.regexp_replace(F.substr("run", F.char_length(name) + 1), r"[.:=,;)\]}]+$", "")
     return each.select(
         "doc_id", (F.col("start") + F.char_length(name)).alias("start"), value.alias("value"),
         F.concat(F.right("before", F.lit(CONTEXT)), name).alias("before"), F.left("after", F.lit(CONTEXT)).alias("after"),
-    ).where((F.char_length("value") >= 8) & F.col("value").rlike("[0-9]"))
+        (named != "").alias("named"),
+    ).where((F.char_length("value") > 0) & (F.col("named") | (F.char_length("value") >= 8) & F.col("value").rlike("[0-9]"))).drop("named")
 
 
 def _running(lead: str, sizes: str) -> Column:
@@ -118,13 +126,16 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def with_rule_label(found: DataFrame) -> DataFrame:
-    """``found`` with ``label``: 1 for a provider's format or a value assigned to a credential, 0 for addresses, numbers and
-    values that a harmless word introduces, null where no rule speaks. The labels stand for findings that people have judged."""
+    """``found`` (with features) with ``label``: 1 for a provider's format, or a value assigned to a credential that has a digit, or eight
+    signs that are not words; 0 for addresses, numbers, values that a harmless word introduces, and assigned words of a dictionary; null where no
+    rule speaks. The labels stand for findings that people have judged."""
     value, before = F.col("value"), F.lower("before")
     provider = functools.reduce(lambda a, b: a | b, [value.rlike(p) for p in PROVIDERS])
-    assigned = before.rlike(rf"(?<![a-z0-9])(?:{_words(CREDENTIAL)})\s*[=:]+\s*[\"'`]?$")
+    assigned = before.rlike(rf"(?<![a-z0-9])(?:{_words(ASSIGNABLE)})[\"'`]?\s*[=:]+>?\s*[\"'`]?$")
     plain = value.rlike(EMAIL) | value.rlike(ADDRESS) | value.rlike(DIGITS) | before.rlike(rf"(?<![a-z0-9])(?:{_words(HARMLESS)})[\s:=#]+$")
-    return found.withColumn("label", F.when(provider | (assigned & ~value.rlike(EMAIL)), 1.0).when(plain, 0.0))
+    odd = value.rlike("[0-9]") & (F.char_length(value) >= 6) | (F.char_length(value) >= 8) & (F.col("coverage") < 0.5)
+    word = value.rlike("^[A-Za-z]+$") & (F.col("coverage") > 0.99) | (F.char_length(value) < 4)
+    return found.withColumn("label", F.when(provider | (assigned & odd & ~value.rlike(EMAIL)), 1.0).when(plain | (assigned & word), 0.0))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> RandomForestClassificationModel | None:
