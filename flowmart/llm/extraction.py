@@ -20,13 +20,18 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - frozenset("dd dt li td th tr tbody thead tfoot option optgroup body html summary legend figcaption".split())
 CONTENT = frozenset(("article", "main"))
-#: Words in class, id or role that name furniture of a page.
-FURNITURE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert(?:s|isement|ising)?|banner|breadcrumbs?|comments?|disqus|complementary|contentinfo|consent|cookies?|"
-    r"copyright|dialog|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo|promoted|"
-    r"related|replies|reviews|search|share|sharing|sidebar|social|sponsor(?:ed|s)?|subscribe|subscription|tags|toolbar|widgets?)(?:$|[\s_-])",
-    re.IGNORECASE,
+# Words of names in class, id or role that stand for furniture of a page.
+FURNITURE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments disqus complementary contentinfo consent cookie cookies "
+    "copyright dialog footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted related replies "
+    "reviews search share sharing sidebar social sponsor sponsored sponsors subscribe subscription tags toolbar widget widgets".split()
 )
+# Of these, what holds articles of others: such names count around an article, too.
+OTHERS = frozenset("comment comments disqus replies reviews related promo promoted sponsor sponsored sponsors ad ads advert adverts advertisement".split())
+# Words that make a name speak of a page's layout or state: in front, and at the end.
+STATE_FIRST = frozenset("has have with without no is not show hide enable".split())
+STATE_LAST = frozenset("on off enabled disabled active inactive open closed visible layout story page template theme".split())
+NAME = re.compile("[a-z0-9]+")
 #: Radius of the Gaussian in lines, and the part of the ratios' standard deviation that content must reach.
 RADIUS, PART = 2, 0.5
 #: Ratio that counts at most for that deviation: characters a tag that are prose at any rate, so that one long paragraph does not
@@ -34,13 +39,32 @@ RADIUS, PART = 2, 0.5
 PROSE = 80
 
 
+def furniture_name(names: str) -> int:
+    """How surely the names of an element's class, id and role mark furniture: 0 not, 1 by a later word of a name, 2 by its first, 3 as others'.
+
+    ``sidebar-left`` starts with what it is; ``content-sidebar-wrap`` may be a page's layout and counts for less. Names of a state or layout
+    (``has-sidebar``, ``related-posts-on``) do not count.
+    """
+    most = 0
+    for name in names.split():
+        words = NAME.findall(name.lower())
+        if not words or words[0] in STATE_FIRST or words[-1] in STATE_LAST or FURNITURE_WORDS.isdisjoint(words):
+            continue
+        most = max(most, 3 if words[0] in OTHERS or words[-1] in OTHERS else 2 if words[0] in FURNITURE_WORDS else 1)
+    return most
+
+
+#: Whether a line is content's, furniture by names alone that an article may overrule, or furniture.
+PLAIN, NAMED, DROPPED = 0, 1, 2
+
+
 class _Lines(html.parser.HTMLParser):
     """Text lines from parser events: one for each block, with its tag count, and the container that it stands in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int]] = []  # text, tags, furniture, container
-        # Open elements: name, skipped or furniture, and, as they were outside: container, elements that words mark as furniture.
+        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, furniture, container
+        # Open elements: name, skipped or furniture, and, as they were outside: container, how surely names mark furniture.
         self.path: list[tuple[str, int, int, int]] = []
         self.sections = [0]  # for the page and each open element: the container of the sections right in it
         self.text: list[str] = []
@@ -51,7 +75,7 @@ class _Lines(html.parser.HTMLParser):
     def cut(self) -> None:
         line = " ".join("".join(self.text).split())
         if line:
-            self.lines.append((line, self.tags, self.drops + self.named > 0, self.where))
+            self.lines.append((line, self.tags, DROPPED if self.drops or self.named == 3 else NAMED if self.named else PLAIN, self.where))
         if line or self.tags:
             self.tags = 0
         self.text.clear()
@@ -85,7 +109,7 @@ class _Lines(html.parser.HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        kind = 0
+        kind = sure = 0
         if tag in SKIPPED:
             kind = 1
         elif tag in FURNITURE:
@@ -95,13 +119,13 @@ class _Lines(html.parser.HTMLParser):
             named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
             if any(k == "hidden" for k, _ in attrs):
                 kind = 2
-            elif named and FURNITURE_WORDS.search(named):
-                kind = 3
+            elif named:
+                sure = furniture_name(named)
         self.path.append((tag, kind, self.where, self.named))
         siblings = len(self.sections) - 1
         self.sections.append(0)
-        # Words on what stands around the main element speak of the page's layout.
-        self.named = 0 if tag == "main" else self.named + (kind == 3)
+        # Names of what stands around the main element, and a name's later words around an article, speak of the page's layout.
+        self.named = 0 if tag == "main" or tag == "article" and self.named == 1 else max(self.named, sure)
         self.skips += kind == 1
         self.drops += kind == 2
         self.depth_of_content += tag in CONTENT
@@ -138,7 +162,7 @@ class _Lines(html.parser.HTMLParser):
             self.text.append(data)
 
 
-def lines_of(page: str | None) -> list[tuple[str, int, bool, int]]:
+def lines_of(page: str | None) -> list[tuple[str, int, int, int]]:
     """(text, tags, furniture, container) of each block line; containers of an article or main element are negative."""
     page = page or ""
     last = page.rfind("<")
@@ -153,30 +177,33 @@ def lines_of(page: str | None) -> list[tuple[str, int, bool, int]]:
     return parser.lines
 
 
-def content_lines(lines: list[tuple[str, int, bool, int]]) -> list[int]:
+def content_lines(lines: list[tuple[str, int, int, int]]) -> list[int]:
     """The numbers of the lines that are content.
 
     A line's ratio is its characters over its tags, and nothing for furniture. Ratios are smoothed by a Gaussian; lines
     at or above a part of their standard deviation (ratios over ``PROSE`` count as that) form the content cluster. Sections
     side by side are one container, and so are the articles of one main element. A container that the cluster reaches gives all
     its lines that are not furniture, so that short headings and last lines stay with their article. Where a page has an
-    article or main element that is not empty, other containers count only if no content line stands in one.
+    article or main element that is not empty, other containers count only if no content line stands in one. Where names
+    alone mark all lines of all articles and main elements as furniture, the names are not believed.
     """
     import numpy as np
 
     if not lines:
         return []
-    plain = np.array([not x[2] for x in lines])
+    marks, where = np.array([x[2] for x in lines]), np.array([x[3] for x in lines])
+    plain = marks == PLAIN
+    if not (plain & (where < 0)).any():
+        plain |= (marks == NAMED) & (where < 0)
     if not plain.any():
         return []
-    ratio = np.array([0.0 if x[2] else len(x[0]) / max(1, x[1]) for x in lines])
+    ratio = np.array([len(x[0]) / max(1, x[1]) if p else 0.0 for x, p in zip(lines, plain)])
     at = np.arange(-2 * RADIUS, 2 * RADIUS + 1)
     kernel = np.exp(-at**2 / (2 * RADIUS**2))
     smooth = np.convolve(np.pad(ratio, 2 * RADIUS, mode="edge"), kernel / kernel.sum(), mode="valid")
     content = plain & (smooth >= PART * np.minimum(ratio, PROSE).std())
     if not content.any():
         content = plain
-    where = np.array([x[3] for x in lines])
     found = set(where[content].tolist())
     inside = {w for w in found if w < 0}
     found = inside or found

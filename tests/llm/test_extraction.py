@@ -55,3 +55,20 @@ def test_plain_blocks_beside_a_very_long_one_stay():
     blocks = [f"Part {i}. An ordinary paragraph, long enough to be read as prose by anyone who comes along, and a little more." for i in range(11)]
     blocks[0] = "long text " * 4000
     assert extraction.main_text("".join(f"<div><p>{b}</p></div>" for b in blocks)) == "\n\n".join(b.strip() for b in blocks)
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div class='has-sidebar'><article><p>{PROSE}</article></div>", PROSE),
+    (f"<div id='content-sidebar-wrap'><article><p>{PROSE}</article><div class='sidebar'><p>{PROSE}x</div></div>", PROSE),
+    (f"<body class='content-sidebar'><article><p>{PROSE}</article><aside>a</aside>", PROSE),
+    (f"<article><div class='share-story'><p>{PROSE}</div></article>", PROSE),
+    (f"<article><div class='related-posts-on'><p>{PROSE}</div><div class='related-posts'><p>{PROSE}</div></article>", PROSE),
+    (f"<div class='sidebar'><article><p>{PROSE}</article></div><nav>m</nav>", PROSE),
+    (f"<article><p>{PROSE}</article><div class='sidebar'><article><p>Teaser. {PROSE}</article></div>", PROSE),
+    (f"<article><p>{PROSE}</article><div class='comments'><article><p>I think. {PROSE}</article></div>", PROSE),
+    (f"<div class='comment-list'><article><p>{PROSE}</article></div>", ""),
+    (f"<article><div class='article-sidebar'><p>{PROSE}</div><p>{PROSE}</article>", PROSE),
+    (f"<div class='no-sidebar page'><p>{PROSE}</p></div><div class='cookie-notice'>{PROSE}</div>", PROSE),
+])
+def test_names_of_layout_do_not_drop_the_article(page, text):
+    assert extraction.main_text(page) == text
