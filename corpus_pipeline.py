@@ -10,7 +10,7 @@ from flowmart.llm.queries import tokenizer_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without a letter, or without a language that half their words are in, go."""
+    """Documents in one or several learned languages; those without a letter go."""
     return language.keep_known(docs)
 
 
