@@ -3,7 +3,8 @@
 Windows are dealt out by their minimizer: of the anchors (short substrings) in a window the one with the smallest hash. Equal windows have
 equal minimizers, so windows of one anchor can be judged apart from all others. Consecutive windows with one minimizer form a
 piece. Pieces whose anchor occurs once are never sent anywhere. Equal pieces collapse to the earliest; the
-distinct pieces of an anchor are sorted by their suffixes in a task, one symbol of every piece a round.
+distinct pieces of an anchor are sorted by their suffixes in a task, one symbol of every piece a round. There the anchor, which all windows
+of a piece hold whole, is written as a short number.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart.llm.common import hash_map, map_bits, map_has, small_batches, stored, stored_with_count
 
-#: Bytes of a window that count as a repeat, and of an anchor (a power of two).
-WINDOW, ANCHOR = 100, 32
+#: Bytes of a window that count as a repeat, and of an anchor.
+WINDOW, ANCHOR = 100, 48
+#: Symbols of anchors' numbers: the bytes that UTF-8 never has, plus one.
+NUMBER_FROM, NUMBERS = 249, 7
 #: Starts of windows that are hashed at once; their place is the low bits of the key that finds a minimizer.
 PLACE_BITS = 20
 #: Bytes of the pieces that are sorted together, and distinct pieces of one anchor from which windows are grouped by Spark instead.
@@ -26,9 +29,16 @@ def _anchor_hashes(data, anchor: int):
     """A 64-bit hash of the ``anchor`` bytes from each place, by doubling."""
     import numpy as np
 
-    h, turn, length = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93, 1
-    while length < anchor:
-        h = h[:-length] * np.uint64(turn) + h[length:]
+    part, turn, length = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93, 1
+    h, held = None, 0  # of the first ``held`` bytes
+    places = len(data) - anchor + 1
+    while True:
+        if anchor & length:
+            h = part[:places].copy() if h is None else h * np.uint64(turn) + part[held:held + places]
+            held += length
+        if 2 * length > anchor:
+            break
+        part = part[:-length] * np.uint64(turn) + part[length:]
         turn, length = turn * turn % (1 << 64), 2 * length
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
@@ -49,7 +59,7 @@ def _least(values, width: int):
 
 
 def pieces_of(data, ends, window: int = WINDOW, anchor: int = ANCHOR):
-    """(start, windows, anchor) of all pieces of texts that lie one after another in ``data`` and end at ``ends``.
+    """(start, windows, anchor, anchor's start) of all pieces of texts that lie one after another in ``data`` and end at ``ends``.
 
     A piece is a run of window starts with one minimizer (of equal hashes the leftmost), so it has at most
     ``window - anchor + 1`` starts. Anchors are hashed anew, since minimizers alone crowd the low numbers.
@@ -79,13 +89,15 @@ def pieces_of(data, ends, window: int = WINDOW, anchor: int = ANCHOR):
         sizes = np.diff(np.concatenate([starts, [len(least)]]))
         good = least[starts] != none
         starts, sizes = starts[good], sizes[good]
-        ids = h[(least[starts] & place).astype(np.int64)]
+        spots = (least[starts] & place).astype(np.int64)
+        ids = h[spots]
         ids = (ids ^ (ids >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
         ids ^= ids >> np.uint64(28)
         ids *= np.uint64(0xC2B2AE3D27D4EB4F)
-        out.append((starts + at, sizes, ids))
+        out.append((starts + at, sizes, ids, spots + at))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), none
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -121,32 +133,67 @@ def _place_hash(anchors, sources, starts):
     return h ^ (h >> np.uint64(32))
 
 
-def _chosen(batches: Iterator, known, by_place: bool, window: int, anchor: int) -> Iterator:
-    """The pieces of (doc_id, source, text) rows that may be in the map: with a digest, or with their bytes if chosen ``by_place``."""
+def _shared_pieces(batches: Iterator, often, window: int, anchor: int) -> Iterator:
+    """(anchor, digest, doc_id, source, start, windows) of the pieces of (doc_id, source, text) rows whose anchor may occur more than once."""
     import numpy as np
     import pyarrow as pa
     import xxhash
 
     for batch in batches:
         data, ends = _bytes_of(batch.column(2))
-        starts, sizes, ids = pieces_of(data, ends, window, anchor)
-        doc = np.searchsorted(ends, starts, "right")
-        sources = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)[doc]
-        local = starts - np.concatenate([[0], ends[:-1]])[doc] if len(ends) else starts
-        place = _place_hash(ids, sources, local)
-        keep = map_has(known.value, place if by_place else ids)
+        starts, sizes, ids, _ = pieces_of(data, ends, window, anchor)
+        keep = map_has(often.value, ids)
+        starts, sizes, ids = starts[keep], sizes[keep], ids[keep]
+        doc, source, local = _owners(batch, ends, starts)
         raw = memoryview(data)
-        cuts = zip(starts[keep].tolist(), (starts + sizes + window - 1)[keep].tolist())
-        held = [bytes(raw[i:j]) if by_place else xxhash.xxh3_128_digest(raw[i:j]) for i, j in cuts]
+        digests = [xxhash.xxh3_128_digest(raw[i:j]) for i, j in zip(starts.tolist(), (starts + sizes + window - 1).tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids.view(np.int64)), pa.array(digests, pa.binary()), batch.column(0).take(pa.array(doc)), pa.array(source), pa.array(local), pa.array(sizes)],
+            names=["anchor", "digest", "doc_id", "source", "start", "windows"],
+        )
+
+
+def _owners(batch, ends, starts):
+    """(row, its text's hash, start within the text) for each start in the batch's bytes."""
+    import numpy as np
+
+    doc = np.searchsorted(ends, starts, "right")
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    return doc, batch.column(1).to_numpy(zero_copy_only=False)[doc], starts - begins[doc]
+
+
+def _wanted_pieces(batches: Iterator, anchors, places, window: int, anchor: int) -> Iterator:
+    """(anchor, held, at, doc_id, source, start): the bytes of the pieces that may be in both maps, and where in them the anchor begins."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        data, ends = _bytes_of(batch.column(2))
+        found = pieces_of(data, ends, window, anchor)
+        keep = map_has(anchors.value, found[2])
+        starts, sizes, ids, spots = (x[keep] for x in found)
+        doc, source, local = _owners(batch, ends, starts)
+        keep = map_has(places.value, _place_hash(ids, source.view(np.uint64), local))
+        raw = memoryview(data)
+        held = [bytes(raw[i:j]) for i, j in zip(starts[keep].tolist(), (starts + sizes + window - 1)[keep].tolist())]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(ids[keep].view(np.int64)), pa.array(held, pa.binary()), batch.column(0).take(pa.array(doc[keep])),
-                pa.array(sources[keep].view(np.int64)), pa.array(local[keep]), pa.array(sizes[keep]), pa.array(place[keep].view(np.int64)),
+                pa.array(ids[keep].view(np.int64)), pa.array(held, pa.binary()), pa.array((spots - starts)[keep].astype(np.int32)),
+                batch.column(0).take(pa.array(doc[keep])), pa.array(source[keep]), pa.array(local[keep]),
             ],
-            names=["anchor", "held", "doc_id", "source", "start", "windows", "place"],
+            names=["anchor", "held", "at", "doc_id", "source", "start"],
         )
 
 
+@F.arrow_udf(T.LongType())
+def _place(anchor, source, start):
+    import numpy as np
+    import pyarrow as pa
+
+    a, b, c = (x.to_numpy(zero_copy_only=False) for x in (anchor, source, start))
+    return pa.array(_place_hash(a.view(np.uint64), b.view(np.uint64), c).view(np.int64))
+
+
 def suffix_order(flat, ends, most: int):
     """(owner, length, common prefix) of every suffix of several strings, sorted, but only of suffixes of ``most`` or more symbols.
 
@@ -161,7 +208,8 @@ def suffix_order(flat, ends, most: int):
     m = len(ends)
     sizes = np.diff(np.concatenate([[0], ends]))
     transform = flat[ends - 1].copy()
-    common = np.zeros(m, np.uint8)
+    kind = np.uint8 if most < 256 else np.uint16
+    common = np.zeros(m, kind)
     doc, spot = np.arange(m), np.arange(m)  # strings that may grow, by their place in the order
     for taken in range(1, int(sizes.max()) + 1):
         symbol = transform[spot]
@@ -176,7 +224,7 @@ def suffix_order(flat, ends, most: int):
         size = m + len(order) - done
         old = np.ones(size, bool)
         old[spot] = False
-        grown, prefix = np.empty(size, np.uint8), np.empty(size, np.uint8)
+        grown, prefix = np.empty(size, np.uint8), np.empty(size, kind)
         grown[old], prefix[old] = transform, common
         more = sizes[doc] > taken
         grown[spot] = np.where(more, flat[np.where(more, ends[doc] - taken - 1, 0)], 0)
@@ -210,12 +258,27 @@ def suffix_order(flat, ends, most: int):
     return owner, length, common
 
 
-def later_windows(strings: list[bytes], window: int = WINDOW):
-    """(string, offset) of every window that equals one of an earlier string, or of the same string further left."""
+def numbered(held: list[bytes], at: list[int], anchor: int) -> tuple[list[bytes], int]:
+    """The pieces with every byte raised by one and the anchor in them replaced by its number, and the number's length.
+
+    Equal numbers stand for equal bytes. Numbers have symbols that no text has, so equal strings have their anchors at one place.
+    """
+    numbers: dict[bytes, int] = {}
+    which = [numbers.setdefault(h[i:i + anchor], len(numbers)) for h, i in zip(held, at)]
+    width = 1
+    while NUMBERS**width < len(numbers):
+        width += 1
+    codes = [bytes(NUMBER_FROM + k // NUMBERS**j % NUMBERS for j in range(width)) for k in range(len(numbers))]
+    up = bytes(min(255, b + 1) for b in range(256))
+    return [h[:i].translate(up) + codes[k] + h[i + anchor:].translate(up) for h, i, k in zip(held, at, which)], width
+
+
+def later_windows(strings: list[bytes], window: int):
+    """(string, offset) of every window that equals one of an earlier string, or of the same string further left; no symbol is 0."""
     import numpy as np
 
     ends = np.cumsum([len(s) for s in strings])
-    owner, length, common = suffix_order(np.frombuffer(b"".join(strings), np.uint8) + np.uint8(1), ends, window)
+    owner, length, common = suffix_order(np.frombuffer(b"".join(strings), np.uint8), ends, window)
     joined = common >= window
     member = joined.copy()
     member[:-1] |= joined[1:]
@@ -230,13 +293,14 @@ def later_windows(strings: list[bytes], window: int = WINDOW):
     return rank >> 32, rank & 0xFFFFFFFF
 
 
-def _sorted_spans(batches: Iterator, window: int, schema) -> Iterator:
+def _sorted_spans(batches: Iterator, window: int, anchor: int, schema) -> Iterator:
     """The spans that the windows of pieces make which are not the earliest of their kind; rows come by anchor, then in order."""
     import numpy as np
     import pyarrow as pa
 
     def judged(rows: pa.Table):
-        who, offset = later_windows(rows["held"].to_pylist(), window)
+        strings, width = numbered(rows["held"].to_pylist(), rows["at"].to_pylist(), anchor)
+        who, offset = later_windows(strings, window - anchor + width)
         if not len(who):
             return
         cut = np.flatnonzero((who[1:] != who[:-1]) | (offset[1:] != offset[:-1] + 1)) + 1
@@ -292,11 +356,10 @@ def _rank() -> F.Column:
 
 
 def _later(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(all rows that are not the earliest of their group, the earliest of each group with the group's size)."""
-    first = stored(rows.groupBy(*by).agg(F.min(F.struct(_rank().alias("rank"), *[c for c in rows.columns if c not in by])).alias("f"), F.count(F.lit(1)).alias("n")))
-    many = first.where("n > 1").select(*by, F.col("f.rank").alias("first"))
-    later = rows.join(many, by).where(~_rank().eqNullSafe(F.col("first"))).select(*rows.columns)
-    return later, first.select(*by, "n", *[F.col(f"f.{c}").alias(c) for c in rows.columns if c not in by])
+    """(all rows that are not the earliest of their group, each group with its earliest row's ``first`` and its size ``n``)."""
+    groups = stored(rows.groupBy(*by).agg(F.min(_rank()).alias("first"), F.count(F.lit(1)).alias("n")))
+    later = rows.join(groups.where("n > 1").select(*by, "first"), by).where(~_rank().eqNullSafe(F.col("first"))).select(*rows.columns)
+    return later, groups
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
@@ -307,32 +370,30 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     """
     spark: SparkSession = texts.sparkSession
     small_batches(spark)
-    key = texts.schema["doc_id"].dataType.simpleString()
-    pieces_schema = f"anchor long, held binary, doc_id {key}, source long, start long, windows long, place long"
-    spans_schema = T.StructType.fromDDL(f"doc_id {key}, source long, begin long, end long")
-
-    def chosen(known, by_place: bool) -> DataFrame:
-        return texts.mapInArrow(lambda it: _chosen(it, known, by_place, window, anchor), pieces_schema)
+    key = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, source long, start long"
+    spans_schema = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL("source long, begin long, end long")])
 
-    def mapped(rows: DataFrame, column: str, n: int):
-        return spark.sparkContext.broadcast(hash_map(rows, column, map_bits(n)))
+    def mapped(rows: DataFrame, column: str):
+        held, n = stored_with_count(rows.select(column))
+        return spark.sparkContext.broadcast(hash_map(held, column, map_bits(n)))
 
     counted = texts.select("text").mapInArrow(lambda it: _count_anchors(it, window, anchor), "anchor long, n long")
-    often, n = stored_with_count(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
-    pieces = stored(chosen(mapped(often, "anchor", n), False))
-    later, first = _later(pieces, ["anchor", "held"])
+    often = mapped(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "anchor")
+    pieces = stored(texts.mapInArrow(lambda it: _shared_pieces(it, often, window, anchor), f"anchor long, digest binary, {key}, windows long"))
+    later, groups = _later(pieces, ["anchor", "digest"])
     spans = later.select("doc_id", "source", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
     # Anchors of several distinct pieces: their windows have to be compared.
-    several = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
-    places, n = stored_with_count(first.join(several, "anchor").select("place"))
-    distinct = stored(chosen(mapped(places, "place", n), True))
+    several = stored(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    anchors = mapped(several, "anchor")
+    places = mapped(groups.join(several, "anchor").select(_place("anchor", "first.source", "first.start").alias("place")), "place")
+    distinct = stored(texts.mapInArrow(lambda it: _wanted_pieces(it, anchors, places, window, anchor), f"anchor long, held binary, at int, {key}"))
     crowded = several.where(F.col("kinds") > hot).select("anchor")
     common = distinct.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions(
         "anchor", F.asc_nulls_last("doc_id"), "source", "start"
     )
-    spans = spans.unionByName(common.mapInArrow(lambda it: _sorted_spans(it, window, spans_schema), spans_schema))
+    spans = spans.unionByName(common.mapInArrow(lambda it: _sorted_spans(it, window, anchor, spans_schema), spans_schema))
     crowd = distinct.join(crowded, "anchor", "left_semi").select("held", "doc_id", "source", "start")
-    each = stored(crowd.mapInArrow(lambda it: _each_window(it, window), f"digest binary, doc_id {key}, source long, start long"))
+    each = stored(crowd.mapInArrow(lambda it: _each_window(it, window), f"digest binary, {key}"))
     again, _ = _later(each, ["digest"])
     return spans.unionByName(again.select("doc_id", "source", F.col("start").alias("begin"), (F.col("start") + window).alias("end")))
 

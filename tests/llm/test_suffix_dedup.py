@@ -88,16 +88,32 @@ def test_suffixes_are_sorted_and_prefixes_right():
         assert common.tolist()[len(strings):] == shared
 
 
+def test_numbers_keep_windows_apart():
+    rng = random.Random(6)
+    held, at = [], []
+    for _ in range(400):
+        anchor = bytes(rng.choices(b"xy", k=4)) * 12
+        left = rng.randint(0, 52)
+        held.append(bytes(rng.choices(b"ab", k=left)) + anchor + bytes(rng.choices(b"ab", k=52 - left)))
+        at.append(left)
+    strings, width = sd.numbered(held, at, 48)
+    assert width == 2 and {len(s) for s in strings} == {54} and all(0 not in s for s in strings)
+    assert len({(h, i) for h, i in zip(held, at)}) == len(set(strings))
+
+
 def test_pieces_hold_every_window_once():
     rng = random.Random(3)
     texts = ["".join(rng.choices("ab c", k=k)).encode() for k in (0, 5, 99, 100, 101, 700, 0, 320)]
-    starts, sizes, _ = sd.pieces_of(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]))
+    data = b"".join(texts)
+    starts, sizes, ids, spots = sd.pieces_of(np.frombuffer(data, np.uint8), np.cumsum([len(t) for t in texts]))
+    assert ((spots >= starts + sizes - 1) & (spots + 48 <= starts + 100)).all()
+    assert len({(i, data[p:p + 48]) for i, p in zip(ids.tolist(), spots.tolist())}) == len(set(ids.tolist()))
     covered = [s + i for s, n in zip(starts.tolist(), sizes.tolist()) for i in range(n)]
     base, want = 0, []
     for t in texts:
         want += range(base, base + max(0, len(t) - 99))
         base += len(t)
-    assert covered == want and sizes.max() <= 69
+    assert covered == want and sizes.max() <= 53
 
 
 def test_empty_table(spark, make_docs):
