@@ -17,10 +17,13 @@ _MEMORIES: list[_Recent] = []
 
 
 def forget() -> None:
-    """Empty the memories of all encoders: workers live on from stage to stage."""
+    """Empty the memories of all encoders and hand unused memory back: workers live on from stage to stage."""
+    import pyarrow as pa
+
     for memory in _MEMORIES:
         memory.clear()
         memory.older = {}
+    pa.default_memory_pool().release_unused()
 
 
 def encoder(path: str) -> Callable[[str], bytes]:
@@ -69,7 +72,9 @@ def encoder(path: str) -> Callable[[str], bytes]:
         latin = low.isascii() or max(low) < "\u0250"
         if not latin or not text.isprintable() or special(text):
             return full(text)
-        return piece(low) if low.isalpha() else b"".join(map(piece, pattern.findall(low)))
+        if not low.isalpha():
+            return b"".join(map(piece, pattern.findall(low)))
+        return piece_ids(low) if low == text else words[low]  # a word is remembered once
 
     words = _Recent(word_ids)
     _MEMORIES.extend([pieces, words])
