@@ -1,13 +1,15 @@
-"""Zipped CSV. A zip member cannot be split, so the unit of work is one archive per task, streamed by block."""
+"""Zipped CSV. A zip member cannot be split, so the unit of work is one member per task, streamed by block."""
 
 from __future__ import annotations
 
+import fnmatch
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from flowmart.session import ship_package
+from flowmart.session import ship_package, stored_with_count
 from flowmart.streams import open_stream
 
 BLOCK_BYTES = 16 << 20
@@ -39,7 +41,18 @@ def _pick(names: Sequence[str], member: str | None, path: str) -> str:
     return member or csvs[0]
 
 
-def _headers(member: str | None, sep: str):
+def _chosen(names: Sequence[str], member: str | None, path: str) -> list[str]:
+    """The members to read: all that a pattern (with ``*``, ``?`` or ``[``) matches, else the one of :func:`_pick`."""
+    if member is None or member == FIRST or not re.search(r"[*?\[]", member) or member in names:
+        return [_pick(names, member, path)]
+    found = fnmatch.filter(names, member)
+    if not found:
+        raise FileNotFoundError(f"{path}: no member matches {member!r}")
+    return found
+
+
+def _members(member: str | None, sep: str):
+    """Task function over archive paths: a row for each member to read, with its bytes and its header."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import csv
         import io
@@ -47,9 +60,11 @@ def _headers(member: str | None, sep: str):
 
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                with open_stream(path, seekable=True) as f, zipfile.ZipFile(f) as z, z.open(_pick(z.namelist(), member, path)) as stream:
-                    header = next(csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""), delimiter=sep), [])
-                yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
+                with open_stream(path, seekable=True) as f, zipfile.ZipFile(f) as z:
+                    for name in _chosen(z.namelist(), member, path):
+                        with z.open(name) as stream:
+                            header = next(csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""), delimiter=sep), [])
+                        yield pa.RecordBatch.from_pydict({"path": [path], "member": [name], "n_bytes": [z.getinfo(name).file_size], "header": [header]})
     return read
 
 
@@ -61,20 +76,23 @@ def read_zip_csv(
     sep: str = ",",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Rows of one CSV member of each archive, unchanged.
+    """Rows of the chosen CSV members of each archive, unchanged.
 
-    ``member`` names it or is ``FIRST``; by default an archive must have only one. Without ``schema`` all columns of the header come as
-    text, and all archives must have the same header. With it the declared columns are found by name and cast; an
+    ``member`` names one, is ``FIRST``, or is a pattern such as ``data/*.csv``, which may choose several; by default an archive must have only one.
+    Archives are listed first, by their central directories, and every member is then a partition of its own, the largest first: an archive
+    of 200 members uses 200 tasks. Without ``schema`` all columns of the header come as
+    text, and all members must have the same header. With it the declared columns are found by name and cast; an
     absent column and a value that does not cast fail. Text is kept as it is; an empty cell is null. Quoted newlines
     are allowed. A task holds one block of text at a time.
     """
-    paths = _spread(spark, zip_paths)
+    listed, n = stored_with_count(_spread(spark, zip_paths).mapInArrow(_members(member, sep), "path STRING, member STRING, n_bytes LONG, header ARRAY<STRING>"))
     if schema is None:
-        heads = paths.mapInArrow(_headers(member, sep), "path STRING, header ARRAY<STRING>")
-        found = heads.groupBy("header").agg(F.min("path").alias("path")).limit(2).collect()
+        found = listed.groupBy("header").agg(F.min("path").alias("path"), F.min_by("member", "path").alias("member")).limit(2).collect()
         if len(found) != 1:
-            raise ValueError(f"headers differ between {found[0].path} and {found[1].path}" if found else "no archives")
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in found[0].header])
+            raise ValueError(f"headers differ between {' and '.join(f'{r.member} of {r.path}' for r in found)}" if found else "no archives")
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in found[0].header])
+    place = F.row_number().over(W.orderBy(F.desc("n_bytes"), "path", "member")) - 1
+    members = listed.select("path", "member", place.alias("at")).repartitionById(max(n, 1), "at").select("path", "member")
     names = schema.names
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -88,16 +106,16 @@ def read_zip_csv(
             null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=True,
         )
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with open_stream(path, seekable=True) as f, zipfile.ZipFile(f) as z:
-                    with z.open(_pick(z.namelist(), member, path)) as stream:
+                    with z.open(name) as stream:
                         reader = pc.open_csv(
                             stream, read_options=pc.ReadOptions(block_size=block_bytes),
                             parse_options=pc.ParseOptions(delimiter=sep, newlines_in_values=True), convert_options=convert,
                         )
                         yield from reader
 
-    rows = paths.mapInArrow(read, text)
+    rows = members.mapInArrow(read, text)
     return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

@@ -5,16 +5,28 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 
-def open_stream(path: str, seekable: bool = False, write: bool = False):
-    """A binary stream for a local path or a URI; readers decompress by suffix unless ``seekable``."""
+def file_system(path: str):
+    """(file system, place on it) of a local path or a URI."""
     from pyarrow import fs
 
     if path.startswith("file:"):
-        system, where = fs.LocalFileSystem(), unquote("/" + path[len("file:"):].lstrip("/"))
-    elif "://" in path:
-        system, where = fs.FileSystem.from_uri(path)
-    else:
-        system, where = fs.LocalFileSystem(), path
+        return fs.LocalFileSystem(), unquote("/" + path[len("file:"):].lstrip("/"))
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def list_files(folder: str) -> list[tuple[str, int]]:
+    """(path below the folder, bytes) of every file under it, in order of path; none if there is no folder."""
+    from pyarrow import fs
+
+    system, where = file_system(folder)
+    found = system.get_file_info(fs.FileSelector(where, recursive=True, allow_not_found=True))
+    start = len(where.rstrip("/")) + 1
+    return sorted((f.path[start:], f.size) for f in found if f.is_file)
+
+
+def open_stream(path: str, seekable: bool = False, write: bool = False):
+    """A binary stream for a local path or a URI; readers decompress by suffix unless ``seekable``."""
+    system, where = file_system(path)
     if write:
         system.create_dir(where.rsplit("/", 1)[0], recursive=True)
         return system.open_output_stream(where, compression=None)

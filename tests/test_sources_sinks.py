@@ -289,6 +289,19 @@ def test_rows_verified_after_a_write(spark, tmp_path):
     assert not sinks.verify_written(spark, str(tmp_path / "v"), n + 1).first().passed
 
 
+def test_zip_members_are_partitions(spark, tmp_path):
+    many = archive(tmp_path / "m.zip", {f"d/{k:03d}.csv": f"a,b\n{k},x\n" for k in range(40)} | {"notes.txt": "no", "other.csv": "z\n1\n"})
+    rows = sources.read_zip_csv(spark, [many], member="d/*.csv")
+    assert sorted(int(r.a) for r in rows.collect()) == list(range(40))
+    assert rows.rdd.getNumPartitions() == 40 and max(rows.rdd.glom().map(len).collect()) == 1
+    with pytest.raises(Exception, match="no member matches"):
+        sources.read_zip_csv(spark, [many], member="e/*.csv")
+    with pytest.raises(ValueError, match="headers differ"):
+        sources.read_zip_csv(spark, [many], member="*.csv")
+    one = sources.read_zip_csv(spark, [many], schema.contract(a="int"), member="d/007.csv")
+    assert [r.a for r in one.collect()] == [7]
+
+
 def test_zip_text_is_unchanged_and_columns_are_kept(spark, tmp_path):
     path = archive(tmp_path / "a.zip", {"a.csv": "DocId,text\n1,  padded \n2, \n3,\n"})
     every = sources.read_zip_csv(spark, [path])
