@@ -15,7 +15,7 @@ from pyspark.sql.datasource import (
 )
 
 from flowmart.llm.common import shared_dir, small_batches, stored
-from flowmart.streams import open_stream
+from flowmart.streams import file_system, list_files, open_stream
 
 #: Columns of a record. ``payload`` comes last and is the only one that needs the record's body decoded.
 SCHEMA = (
@@ -27,7 +27,7 @@ HEADERS = {
     "record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "date": "warc-date",
     "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to",
 }
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
 #: A task reads files of about so many bytes together; a writer starts a new file beyond it.
 FILE_BYTES = 128 << 20
 #: Bytes of a body that are inflated or skipped at a time.
@@ -285,8 +285,13 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         root = self.options["path"].rstrip("/")
-        with open_stream(f"{root}/{MANIFEST}") as manifest:
-            files = json.loads(manifest.read())
+        found = list_files(root)
+        manifests = [name for name, _ in found if name.startswith(MANIFEST)]
+        # Archives that this source did not write have no manifest: then every archive of the folder counts.
+        files = [(name, size) for name, size in found if name.lower().endswith((".warc", ".warc.gz"))] if not manifests else []
+        for name in manifests:
+            with open_stream(f"{root}/{name}") as manifest:
+                files += json.loads(manifest.read())
         groups: list[list[str]] = []
         room = 0
         for name, size in sorted(files, key=lambda x: (-x[1], x[0])):
@@ -325,10 +330,10 @@ class _Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Each task attempt writes files of its own; the manifest names those of the attempts that count."""
+    """Each task attempt writes files of its own; a manifest of the write names those of the attempts that count."""
 
-    def __init__(self, options: dict) -> None:
-        self.options = options
+    def __init__(self, options: dict, overwrite: bool = False) -> None:
+        self.options, self.overwrite = options, overwrite
 
     def write(self, iterator: Iterator) -> _Written:
         from pyspark import TaskContext
@@ -360,8 +365,13 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list) -> None:
         files = [f for m in messages if m is not None for f in m.files]
-        with open_stream(f"{self.options['path'].rstrip('/')}/{MANIFEST}", write=True) as out:
+        root, own = self.options["path"].rstrip("/"), f"{MANIFEST}-{uuid.uuid4().hex}.json"
+        older = [name for name, _ in list_files(root) if name.startswith(MANIFEST)] if self.overwrite else []
+        with open_stream(f"{root}/{own}", write=True) as out:
             out.write(json.dumps(files).encode())
+        for name in older:
+            system, where = file_system(f"{root}/{name}")
+            system.delete_file(where)
 
     def abort(self, messages: list) -> None:
         """Nothing counts without a manifest."""
@@ -370,7 +380,8 @@ class WarcWriter(DataSourceArrowWriter):
 class WarcSource(DataSource):
     """``spark.read.format("warc").load(folder)`` and ``df.write.format("warc").mode("append").save(folder)``.
 
-    Reading: ``payload=false`` leaves bodies undecoded. Writing takes page_id long, url string, record_type string,
+    Every write adds a manifest of its own, so appending adds records; ``mode("overwrite")`` makes those before it count no more. A folder without
+    a manifest is read as a listing of its ``.warc`` and ``.warc.gz`` files. Reading: ``payload=false`` leaves bodies undecoded. Writing takes page_id long, url string, record_type string,
     refers_to long, payload binary; options ``compression`` (gzip or none) and ``date``.
     """
 
@@ -385,7 +396,7 @@ class WarcSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:

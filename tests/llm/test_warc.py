@@ -98,3 +98,23 @@ def test_wanted():
 
 def test_empty(spark, pages):
     assert warc.round_trip(pages.limit(0)).collect() == []
+
+
+def test_appending_adds_records_and_foreign_folders_are_listed(spark, tmp_path):
+    import shutil
+
+    def pages(keys):
+        return spark.createDataFrame([(k, f"http://h/{k}", f"page {k}") for k in keys], "page_id long, url string, html string")
+
+    folder = str(tmp_path / "w")
+    warc.archive(pages([1, 2, 3]), folder)
+    warc.archive(pages([4, 5]), folder)
+    assert sorted(r.page_id for r in warc.read(spark, folder).collect()) == [1, 2, 3, 4, 5]
+    other = tmp_path / "other" / "deep"
+    other.mkdir(parents=True)
+    for f in (tmp_path / "w").glob("*.warc*"):
+        shutil.copy(f, other)
+    assert sorted((r.page_id, bytes(r.payload)) for r in warc.read(spark, str(tmp_path / "other")).collect()) == [(k, f"page {k}".encode()) for k in range(1, 6)]
+    assert warc.read(spark, str(tmp_path / "other")).where("record_type = 'revisit'").count() == 0
+    rows = warc.read(spark, folder).limit(0)
+    assert rows.collect() == []
