@@ -32,8 +32,8 @@ class Content:
 
 
 def by_column(df: DataFrame) -> dict[str, list[str]]:
-    """A group for each column, and ``*`` for all together, which tells rows whose values were exchanged."""
-    return {**{c: [c] for c in df.columns}, "*": df.columns}
+    """A group for each column, and ``*`` for all together (by name, as partition columns move), which tells rows whose values were exchanged."""
+    return {**{c: [c] for c in df.columns}, "*": sorted(df.columns)}
 
 
 def content_sums(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> list[Column]:

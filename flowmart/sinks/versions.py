@@ -83,7 +83,8 @@ def read_mart(spark: SparkSession, path: str, version: str | None = None) -> Dat
         raise ValueError(f"{path}: version {version} is not kept")
     schema = T.StructType.fromJson(known["schema"]) if version in (None, known["id"]) else None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{path.rstrip('/')}/{VERSIONS}/{version or known['id']}")
+    found = reader.parquet(f"{path.rstrip('/')}/{VERSIONS}/{version or known['id']}")
+    return found if schema is None else found.select(*[f"`{c}`" for c in schema.names])
 
 
 def publish(

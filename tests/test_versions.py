@@ -88,7 +88,8 @@ def test_contract_partitions_and_plain_folders(spark, tmp_path):
     want = schema.contract(year="int", label="string", count="double", more="int")
     sinks.publish(df, path, ["label"], want)
     got = sinks.read_mart(spark, path)
-    assert dict(got.dtypes)["label"] == "string"
+    assert dict(got.dtypes)["label"] == "string" and got.columns == want.names
+    assert sinks.verify_written(spark, path, sinks.content_of(df.to(want))).first().passed
     assert sorted(((r.year or 0), r.label, r["count"], r.more) for r in got.collect()) == [(0, "1", None, None), (2000, "1", 1.0, None), (2001, "02", 2.0, None)]
     with pytest.raises(ValueError, match="nothing was written"):
         sinks.publish(df.limit(0), path, contract=want)
