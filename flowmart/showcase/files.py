@@ -229,8 +229,17 @@ def xml_flatten(spark, sf):
     return sources.read_xml_records(spark, path, "order", ["group", "record"], declared)
 
 
+@query("xml_split_records", """SELECT 'orders' AS orders_source, CAST(o_orderkey AS VARCHAR) AS order_key, o_orderpriority AS group_priority, kind, amount, amount_unit
+FROM (SELECT o_orderkey, o_orderpriority, 'price' AS kind, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount, 'XDC' AS amount_unit FROM orders
+UNION ALL SELECT o_orderkey, o_orderpriority, 'customer', CAST(o_custkey AS VARCHAR), 'id' FROM orders)""")
+def xml_split_records(spark, sf):
+    """The same files split at their innermost records, with an attribute of the root on each row."""
+    declared = T.StructType.fromDDL("_kind STRING, amount STRUCT<_VALUE: STRING, _unit: STRING>")
+    return sources.read_split_records(spark, xml_orders(spark, sf), "record", schema=declared, span=1 << 20)
+
+
 def _write_xml(spark: SparkSession, sf: str, path: str) -> None:
-    """Orders as nested XML with attributes on two levels above the records."""
+    """Orders as nested XML with attributes on the root and on two levels above the records."""
     def record(kind: str, value, unit: str):
         amount = F.struct(value.cast("string").alias("_VALUE"), F.lit(unit).alias("_unit"))
         return F.struct(F.lit(kind).alias("_kind"), amount.alias("amount"))
@@ -238,7 +247,7 @@ def _write_xml(spark: SparkSession, sf: str, path: str) -> None:
     records = F.array(record("price", F.col("o_totalprice").cast("decimal(18,2)"), "XDC"), record("customer", F.col("o_custkey"), "id"))
     nested = F.struct(F.col("o_orderpriority").alias("_priority"), records.alias("record"))
     orders = table(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)
-    orders.select(F.col("o_orderkey").alias("_key"), nested.alias("group")).write.format("xml").option("rowTag", "order").save(path)
+    orders.select(F.col("o_orderkey").alias("_key"), nested.alias("group")).write.format("xml").option("rootTag", "orders source='orders'").option("rowTag", "order").save(path)
 
 
 @fixture

@@ -8,10 +8,11 @@ from flowmart.sources.sdmx import decode_sdmx, read_sdmx_json
 from flowmart.sources.staged import project_existing, read_staged
 from flowmart.sources.wide_csv import fix_missing_headers, read_wide_csv
 from flowmart.sources.xml import read_xml_records, record_tag, tag_counts
+from flowmart.sources.xml_split import read_split_records, record_intervals
 
 __all__ = [
     "decode_sdmx", "extract_zips", "fix_missing_headers", "is_tab_separated", "landing_manifest", "prefix_dim",
-    "project_existing", "read_any", "read_csv", "read_delimited", "read_jdbc", "read_sdmx_json", "read_staged",
-    "read_wide_csv", "read_xml_records", "read_zip_csv", "record_tag", "require_landing", "tag_counts", "with_indicator",
-    "zip_csv_to_parquet",
+    "project_existing", "read_any", "read_csv", "read_delimited", "read_jdbc", "read_sdmx_json", "read_split_records",
+    "read_staged", "read_wide_csv", "read_xml_records", "read_zip_csv", "record_intervals", "record_tag", "require_landing",
+    "tag_counts", "with_indicator", "zip_csv_to_parquet",
 ]

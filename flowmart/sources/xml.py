@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from flowmart.session import ship_package
 
@@ -20,6 +20,31 @@ class _Unique(dict):
         super().__setitem__(name, column)
 
 
+def xml_reader(spark: SparkSession, tag: str) -> DataFrameReader:
+    """A reader of one row per element with the tag, all values as text."""
+    reader = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true")
+    return reader.option("inferSchema", "false")
+
+
+def record_columns(record: str, kind: T.DataType, tag: str, kept: Mapping[str, Column]) -> dict[str, Column]:
+    """The kept columns and those of a record: its attributes, its children's text, and ``<child>_<attribute>``."""
+    columns: dict[str, Column] = _Unique(kept)
+    if not isinstance(kind, T.StructType):
+        columns[tag] = F.col(record)
+        return columns
+    for f in kind.fields:
+        at = F.col(f"{record}.{f.name}")
+        if f.name.startswith("_"):
+            columns[tag if f.name == TEXT else f.name[1:]] = at
+        elif isinstance(f.dataType, T.StructType):
+            for g in f.dataType.fields:
+                name = f.name if g.name == TEXT else f"{f.name}_{g.name.lstrip('_')}"
+                columns[name] = at[g.name]
+        else:
+            columns[f.name] = at
+    return columns
+
+
 def read_xml_records(
     spark: SparkSession, path: str, outer_tag: str, record_path: Sequence[str] = (), schema: T.StructType | None = None
 ) -> DataFrame:
@@ -27,12 +52,11 @@ def read_xml_records(
 
     ``record_path`` leads from the outer element down to the record (empty: the outer element is the record).
     Attributes of each ancestor from the outer element down become ``<tag>_<attribute>``; those above it are read by naming a
-    higher outer element. The record gives its attributes, its children's text, and ``<child>_<attribute>``; an attribute and
+    higher outer element, or by :func:`read_split_records`, which splits at the record itself. The record gives its attributes, its children's text, and ``<child>_<attribute>``; an attribute and
     a child that would share a column fail. Namespace prefixes are ignored. Without ``schema`` the file is read once more
     to infer one.
     """
-    reader = spark.read.format("xml").option("rowTag", outer_tag).option("ignoreNamespace", "true")
-    reader = reader.option("inferSchema", "false")
+    reader = xml_reader(spark, outer_tag)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
     kept: dict[str, Column] = {}
     node, tag = df.select(F.struct(*df.columns).alias("n0")), outer_tag
@@ -46,21 +70,7 @@ def read_xml_records(
         records = inner if isinstance(kind, T.ArrayType) else F.array(inner)
         node, tag = node.select("*", F.explode(records).alias(f"n{depth + 1}")), child
     record = f"n{len(record_path)}"
-    columns: dict[str, Column] = _Unique(kept)
-    kind = node.schema[record].dataType
-    if not isinstance(kind, T.StructType):
-        columns[tag] = F.col(record)
-    else:
-        for f in kind.fields:
-            at = F.col(f"{record}.{f.name}")
-            if f.name.startswith("_"):
-                columns[tag if f.name == TEXT else f.name[1:]] = at
-            elif isinstance(f.dataType, T.StructType):
-                for g in f.dataType.fields:
-                    name = f.name if g.name == TEXT else f"{f.name}_{g.name.lstrip('_')}"
-                    columns[name] = at[g.name]
-            else:
-                columns[f.name] = at
+    columns = record_columns(record, node.schema[record].dataType, tag, kept)
     return node.select(*[c.alias(n) for n, c in columns.items()])
 
 
