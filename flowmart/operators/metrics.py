@@ -238,6 +238,40 @@ def with_share(
     return joined.withColumn(out, share if digits is None else F.bround(share, digits)).select(*df.columns, out)
 
 
+def with_shares(
+    df: DataFrame, value: str, shares: Mapping[str, Sequence[str]], digits: int | None = None, store: bool = False
+) -> DataFrame:
+    """Percents of several group totals beside each row: ``shares`` names each new column's group, an empty one being all rows.
+
+    One aggregate over grouping sets gives all totals in one scan; they are stored once and joined null-safe, so rows with a null
+    key make a group, which is not the total over that key. The rows are read twice; ``store=True`` writes them first.
+    """
+    df = stored(df) if store else df
+    keys = list(dict.fromkeys(c for by in shares.values() for c in by))
+    if not keys:
+        return reduce(lambda out, name: with_share(out, value, out=name, digits=digits), shares, df)
+    named = {c: f"_by{i}" for i, c in enumerate(keys)}
+    sets = list(dict.fromkeys(tuple(sorted(named[c] for c in by)) for by in shares.values()))
+    cells = df.select(*[F.col(c).alias(n) for c, n in named.items()], F.col(value).alias("_part"))
+    sums = cells.groupingSets([[F.col(c) for c in s] for s in sets], *named.values())
+    totals = stored(sums.agg(F.grouping_id().alias("_set"), F.sum("_part").alias("_total")))
+
+    out = df
+    for name, by in shares.items():
+        # A bit of the set's number, the first key's being the highest, says that the key is summed over.
+        number = int("".join("0" if c in by else "1" for c in keys), 2)
+        mine = totals.where(F.col("_set") == number)
+        if by:
+            side = mine.select(*[F.col(named[c]) for c in by], "_total")
+            joined = out.join(side, _all([F.col(c).eqNullSafe(F.col(named[c])) for c in by]))
+        else:
+            joined = out.withColumn("_total", mine.select("_total").scalar())
+        share = fx.percent(value, "_total")
+        joined = joined.withColumn(name, share if digits is None else F.bround(share, digits))
+        out = joined.select(*out.columns, name)
+    return out
+
+
 def top_n(df: DataFrame, value: str, n: int, tie: Sequence[str]) -> DataFrame:
     """The ``n`` rows with the largest value; ties by key."""
     return df.orderBy(F.desc_nulls_last(value), *tie).limit(n)

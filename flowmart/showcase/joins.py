@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowmart import sinks
 from flowmart.operators import enrich
 from flowmart.plans import jobs
-from flowmart.session import stored
-from flowmart.showcase.registry import query
+from flowmart.session import shared_dir, stored
+from flowmart.showcase.registry import fixture, query
 from flowmart.showcase.views import CLASS_FLOWS, FLOWS, class_flows, flows, table
 
 KEYS = ["year", "origin", "destination_office"]
@@ -221,3 +222,24 @@ def area_codes(spark, sf):
     supplier = table(spark, sf, "supplier")
     ids = F.explode(F.array(F.concat(F.lit("A"), "s_suppkey"), F.concat(F.lit("X"), "s_suppkey")))
     return jobs.area_codes(m49, supplier.select(ids.alias("id"), F.col("s_name").alias("name")))
+
+
+@fixture
+def bucketed_lines(spark, sf):
+    """Order lines bucketed by part, and two dimensions bucketed like them; one part in three lines is the same, so it is cut."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_partkey")).alias("l_partkey"))
+    paths = tuple(shared_dir(spark, "bucketed") for _ in range(3))
+    sinks.write_bucketed(lines, paths[0], ["l_partkey"], spark.sparkContext.defaultParallelism)
+    parts = table(spark, sf, "part")
+    sinks.write_bucketed_dim(parts.select("p_partkey", "p_brand", "p_size"), paths[1], paths[0], {"l_partkey": "p_partkey"})
+    sizes = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n_lines"))
+    sinks.write_bucketed_dim(sizes, paths[2], paths[0])
+    return paths
+
+
+@query("bucketed_lookup", """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS l_partkey, l_orderkey, l_linenumber, p_brand, p_size, n_lines
+FROM lineitem l LEFT JOIN part ON p_partkey = CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END
+LEFT JOIN (SELECT l_partkey AS k, COUNT(*) AS n_lines FROM lineitem GROUP BY 1) ON k = CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l.l_partkey END""")
+def bucketed_lookup(spark, sf):
+    """Two lookups by the key that fact and dimensions are bucketed by."""
+    return sinks.join_bucketed(spark, *bucketed_lines(spark, sf))

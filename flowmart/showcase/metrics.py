@@ -138,6 +138,15 @@ def share_within_year(spark, sf):
     return m.with_share(m.volume(class_flows(spark, sf), ["year", "class_code"], out="vol"), "vol", ["year"], store=True)
 
 
+@query("share_of_each_total", f"""WITH {CLASS_FLOWS}, v AS (SELECT year, class_code, SUM("count") AS vol FROM class_flows GROUP BY ALL)
+SELECT year, class_code, vol, vol / SUM(vol) OVER (PARTITION BY year) * 100.0 AS pct_of_year,
+  vol / SUM(vol) OVER (PARTITION BY class_code) * 100.0 AS pct_of_class, vol / SUM(vol) OVER () * 100.0 AS pct_of_all FROM v""")
+def share_of_each_total(spark, sf):
+    """Shares of the year, of the class and of everything, from one aggregate."""
+    shares = {"pct_of_year": ["year"], "pct_of_class": ["class_code"], "pct_of_all": []}
+    return m.with_shares(m.volume(class_flows(spark, sf), ["year", "class_code"], out="vol"), "vol", shares, store=True)
+
+
 _RANKED = """CAST(RANK() OVER (PARTITION BY year ORDER BY volume DESC) AS BIGINT) AS rank,
   CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY volume DESC, {e}) AS BIGINT) AS position"""
 _BY_DEST = 'v AS (SELECT year, destination_office, SUM("count") AS volume FROM flows GROUP BY ALL)'

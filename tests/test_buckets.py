@@ -1,0 +1,115 @@
+"""Bucketed facts: lookups without an exchange, keys cut into parts, versions."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowmart import sinks
+from flowmart.operators import metrics as m
+
+BUCKETS = 8
+
+
+@pytest.fixture
+def merged(spark):
+    """Joins may not broadcast, as with dimensions of any size."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield spark
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.fixture
+def fact(spark):
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 500)
+    return spark.range(0, 40_000, 1, 4).select(key.cast("long").alias("k"), "id")
+
+
+@pytest.fixture
+def written(spark, fact, tmp_path):
+    paths = [str(tmp_path / name) for name in ("fact", "names", "sizes")]
+    assert sinks.write_bucketed(fact, paths[0], ["k"], BUCKETS) == 40_000
+    names = spark.range(0, 450).select(F.col("id").cast("int").alias("code"), F.concat(F.lit("n"), "id").alias("name"))
+    assert sinks.write_bucketed_dim(names, paths[1], paths[0], {"k": "code"}) > 450
+    sinks.write_bucketed_dim(spark.range(0, 600).select(F.col("id").alias("k"), (F.col("id") * 2).alias("size")), paths[2], paths[0])
+    return paths
+
+
+def test_repeated_lookups_move_no_rows(merged, written, fact):
+    joined = sinks.join_bucketed(merged, *written)
+    joined.write.format("noop").mode("overwrite").save()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") >= 2
+    rows = {(r.id, r.k, r.name, r.size) for r in joined.collect()}
+    assert rows == {(r.id, r.k, None if r.k is None or r.k >= 450 else f"n{r.k}", None if r.k is None else r.k * 2) for r in fact.collect()}
+    inner = sinks.join_bucketed(merged, *written, how="inner")
+    assert inner.count() == fact.where("k < 450").count()
+
+
+def test_hot_and_null_keys_are_cut(spark, written):
+    from flowmart.sinks.buckets import PART, _known, _open
+
+    table = _open(spark, written[0], _known(spark, written[0]))
+    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) <= BUCKETS and sum(sizes) == 40_000
+    largest = table.groupBy("k", PART).count().agg(F.max("count")).first()[0]
+    assert largest < 1.1 * 40_000 / BUCKETS and table.where("k = 7").select(PART).distinct().count() == 3
+    assert table.where("k is null").select(PART).distinct().count() == 1 or table.where("k is null").count() > 40_000 / BUCKETS
+
+
+def test_reading_without_the_catalog_entry(spark, written, fact, rows):
+    from flowmart.sinks.buckets import _known
+
+    for path in written:
+        spark.sql(f"DROP TABLE `{_known(spark, path)['id']}`")
+    assert rows(sinks.read_bucketed(spark, written[0])) == rows(fact)
+    assert sinks.read_bucketed(spark, written[1]).count() == 450
+    assert sinks.join_bucketed(spark, *written).count() == 40_000
+
+
+def test_what_does_not_fit_fails(spark, written, tmp_path):
+    with pytest.raises(ValueError, match="left or inner"):
+        sinks.join_bucketed(spark, *written, how="full")
+    with pytest.raises(ValueError, match="no bucketed table"):
+        sinks.read_bucketed(spark, str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="columns of these names"):
+        sinks.write_bucketed_dim(spark.range(3).selectExpr("id AS k", "id"), str(tmp_path / "d"), written[0])
+    with pytest.raises(Exception, match="not unique"):
+        sinks.write_bucketed_dim(spark.sql("SELECT * FROM VALUES (1, 'a'), (1, 'b') AS t(k, v)"), str(tmp_path / "d"), written[0])
+    sinks.write_bucketed(spark.range(10).selectExpr("id AS k"), written[0], ["k"], 2)
+    with pytest.raises(ValueError, match="another version"):
+        sinks.join_bucketed(spark, *written)
+
+
+def test_an_empty_fact(spark, tmp_path, rows):
+    fact, dim = str(tmp_path / "f"), str(tmp_path / "d")
+    assert sinks.write_bucketed(spark.range(0).selectExpr("id AS k"), fact, ["k"], 2) == 0
+    sinks.write_bucketed_dim(spark.range(3).selectExpr("id AS k", "id AS v"), dim, fact)
+    assert rows(sinks.join_bucketed(spark, fact, dim)) == []
+
+
+def test_several_totals_from_one_aggregate(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 'a', 10.0D), (1, 'b', 30.0D), (2, 'a', 20.0D), (NULL, 'a', 40.0D), (2, NULL, 100.0D) AS t(y, c, v)")
+    out = m.with_shares(df, "v", {"of_y": ["y"], "of_c": ["c"], "of_both": ["c", "y"], "of_all": []})
+    assert out.columns == ["y", "c", "v", "of_y", "of_c", "of_both", "of_all"]
+    got = {(r.y, r.c): (r.of_y, round(r.of_c, 4), r.of_both, r.of_all) for r in out.collect()}
+    assert got == {
+        (1, "a"): (25.0, 14.2857, 100.0, 5.0), (1, "b"): (75.0, 100.0, 100.0, 15.0), (2, "a"): (20 / 120 * 100, 28.5714, 100.0, 10.0),
+        (None, "a"): (100.0, 57.1429, 100.0, 20.0), (2, None): (100 / 120 * 100, 100.0, 100.0, 50.0),
+    }
+    assert m.with_shares(df, "v", {"all": []}).where("all = 50").count() == 1
+    assert m.with_shares(df.where("false"), "v", {"of_y": ["y"], "of_all": []}).count() == 0
+
+
+def test_totals_read_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(1000).selectExpr("id % 3 AS a", "id % 5 AS b", "id AS v").mapInPandas(count, "a LONG, b LONG, v LONG")
+    m.with_shares(df, "v", {"x": ["a"], "y": ["b"], "z": []}, store=True).collect()
+    assert seen.value == 1000
