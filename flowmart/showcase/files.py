@@ -238,8 +238,8 @@ def xml_split_records(spark, sf):
     return sources.read_split_records(spark, xml_orders(spark, sf), "record", schema=declared, span=1 << 20)
 
 
-def _write_xml(spark: SparkSession, sf: str, path: str) -> None:
-    """Orders as nested XML with attributes on the root and on two levels above the records."""
+def _write_xml(spark: SparkSession, sf: str, path: str, root: str = "ROWS") -> None:
+    """Orders as nested XML with attributes on two levels above the records, and those that ``root`` gives."""
     def record(kind: str, value, unit: str):
         amount = F.struct(value.cast("string").alias("_VALUE"), F.lit(unit).alias("_unit"))
         return F.struct(F.lit(kind).alias("_kind"), amount.alias("amount"))
@@ -247,13 +247,13 @@ def _write_xml(spark: SparkSession, sf: str, path: str) -> None:
     records = F.array(record("price", F.col("o_totalprice").cast("decimal(18,2)"), "XDC"), record("customer", F.col("o_custkey"), "id"))
     nested = F.struct(F.col("o_orderpriority").alias("_priority"), records.alias("record"))
     orders = table(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)
-    orders.select(F.col("o_orderkey").alias("_key"), nested.alias("group")).write.format("xml").option("rootTag", "orders source='orders'").option("rowTag", "order").save(path)
+    orders.select(F.col("o_orderkey").alias("_key"), nested.alias("group")).write.format("xml").option("rootTag", root).option("rowTag", "order").save(path)
 
 
 @fixture
 def xml_orders(spark: SparkSession, sf: str) -> str:
     path = shared_dir(spark, "xml")
-    _write_xml(spark, sf, path)
+    _write_xml(spark, sf, path, "orders source='orders'")
     return path
 
 
