@@ -4,30 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from flowmart.llm.common import hash_map, map_has, small_batches, stored, stored_with_count
+from flowmart.llm.common import hash_map, map_bits, map_has, small_batches, stored, stored_with_count
 
 #: Counters that each task keeps, and so the most digests that are ever broadcast (about 60 bytes each).
 COUNTERS = 1024
 
 
-def _digests(text) -> list[bytes]:
-    import hashlib
-
-    return [hashlib.sha256((t or "").encode().lower()).digest() for t in text.to_pylist()]
-
-
-@F.arrow_udf(T.BinaryType())
-def _digest(text):
-    import pyarrow as pa
-
-    return pa.array(_digests(text), pa.binary())
-
-
-def text_digest(text) -> F.Column:
+def text_digest(text: Column) -> Column:
     """SHA-256 of the text in UTF-8 after lower-casing A-Z only; null counts as empty."""
-    return _digest(text)
+    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.unhex(F.sha2(lower, 256))
 
 
 def _frequent(batches: Iterator, counters: int) -> Iterator:
@@ -95,14 +83,14 @@ def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", co
     """``docs`` with all its columns, less the rows that :func:`duplicate_groups` does not keep.
 
     Copies of frequent texts go map-side. Of the others, the pairs of digest and key that go are known as a table and as a map of
-    bits with a fixed size: a row that is not in the map stays where it is, and only rows that may have to go meet the table.
+    bits (8 MB at most): a row that is not in the map stays where it is, and only rows that may have to go meet the table.
     Where a kept key occurs on several equal rows, those rows are in the table as well and meet once more.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows_of = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     keyed = rows_of.select("row", F.col(f"row.`{key}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text"))
-    slim, rows = stored_with_count(keyed.select("doc_id", text_digest("text").alias("digest"), F.monotonically_increasing_id().alias("rid")))
+    slim, rows = stored_with_count(keyed.select("doc_id", text_digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("rid")))
     heavy = heavy_digests(slim, rows, counters)
     top = heavy.select("digest", F.col("top.doc_id").alias("top_id"))
     is_top = F.col("doc_id").eqNullSafe(F.col("top_id"))
@@ -113,22 +101,20 @@ def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", co
     best = best.withColumnRenamed("doc_id", "best_id")
     key_hash = F.xxhash64("doc_id")
     pair_hash = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long").bitwiseXOR(key_hash)
-    listed = stored(
+    listed, n = stored_with_count(
         pairs.join(best, "digest").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("best_id"))).where("not stays or ties > 1")
         .select("digest", "doc_id", "stays", pair_hash.alias("hash"))
     )
-    sent = spark.sparkContext.broadcast(hash_map(listed, "hash"))
+    sent = spark.sparkContext.broadcast(hash_map(listed, "hash", map_bits(n)))
 
-    @F.arrow_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("maybe", T.BooleanType())]))
-    def looked_up(text, key_hashes):
+    @F.arrow_udf(T.BooleanType())
+    def maybe(hashes):
         import numpy as np
         import pyarrow as pa
 
-        found = _digests(text)
-        own = np.array([int.from_bytes(d[:8], "big") for d in found], np.uint64) ^ key_hashes.to_numpy(zero_copy_only=False).view(np.uint64)
-        return pa.StructArray.from_arrays([pa.array(found, pa.binary()), pa.array(map_has(sent.value, own))], names=["digest", "maybe"])
+        return pa.array(map_has(sent.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
 
-    left = keyed.select("row", "doc_id", looked_up("text", key_hash).alias("f")).select("row", "doc_id", "f.digest", "f.maybe")
+    left = keyed.select("row", "doc_id", text_digest(F.col("text")).alias("digest")).withColumn("maybe", maybe(pair_hash))
     left = left.join(F.broadcast(hot), "digest", "left").where(F.col("top_id").isNull() & F.col("ties").isNull() | is_top)
     sure = left.where(~F.col("maybe") & (F.coalesce("ties", F.lit(1)) == 1)).select("row.*")
     there = listed.select(F.col("digest").alias("d"), F.col("doc_id").alias("k"), "stays")
