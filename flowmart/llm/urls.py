@@ -31,9 +31,9 @@ def path_of(url: Column) -> Column:
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Column]:
-    """(rule, verdict) of the longest rule that fits, else nulls. A rule fits its host and all subdomains, if the path starts with its path."""
+    """(rule, verdict) of the longest rule (host and path together) that fits, else nulls. A rule fits its host and all subdomains, if the path starts with its path."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for kind, text in sorted(rules, key=lambda r: (len(r[1].partition("/")[0]), len(r[1]))):
+    for kind, text in sorted(rules, key=lambda r: len(r[1])):
         name, _, tail = text.partition("/")
         fits = ((host == name) | host.endswith("." + name)) & path.startswith("/" + tail)
         rule, verdict = F.when(fits, text).otherwise(rule), F.when(fits, kind).otherwise(verdict)
