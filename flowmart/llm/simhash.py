@@ -86,33 +86,36 @@ def ring_start(a: Column, b: Column, distance: int = DISTANCE) -> Column:
 
 
 def _entries(prints: DataFrame) -> DataFrame:
-    """(part, fp, exact): the keys of every fingerprint, 17 for each start of a chain.
+    """(fp, part): one row per start of a chain and left-out quarter of the segment after it.
 
-    A chain that keeps its budget has an equal first segment and at most one differing bit in the second. ``part`` numbers
-    the start and holds both segments, once as they are (``exact``) and once with each bit of the second flipped: of two
-    fingerprints with such a chain, one has an exact key that is among the other's, and 32 bits must be equal.
+    A chain that keeps its budget has an equal first segment and at most one differing bit in the second, which
+    therefore agrees outside one of its quarters: 28 bits must be equal. ``part`` numbers start and quarter above those bits.
+    Longer keys would need many more rows each (one per flipped bit for 32); with these the rows cost about as much as the
+    chance pairs at 10^10 fingerprints, and either is a small part of reading the texts.
     """
-    own = F.array(*[
-        F.lit(k << 2 * WIDTH).cast("long") + F.shiftleft(_segment(F.col("fp"), k), WIDTH) + _segment(F.col("fp"), k + 1) for k in range(SEGMENTS)
-    ])
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(WIDTH)])
-    return prints.select("fp", F.explode(own).alias("own")).select("fp", "own", F.explode(flips).alias("flip")).select(
-        F.col("own").bitwiseXOR(F.col("flip")).alias("part"), "fp", (F.col("flip") == 0).alias("exact")
-    )
+    quarter = WIDTH // 4
+    keys = []
+    for k in range(SEGMENTS):
+        after = _segment(F.col("fp"), k + 1)
+        for q in range(4):
+            low = after.bitwiseAND((1 << quarter * q) - 1)
+            rest = F.shiftleft(F.shiftright(after, quarter * (q + 1)), quarter * q) + low
+            keys.append(F.lit(4 * k + q << WIDTH + 3 * quarter).cast("long") + F.shiftleft(_segment(F.col("fp"), k), 3 * quarter) + rest)
+    return prints.select("fp", F.explode(F.array(*keys)).alias("part"))
 
 
 def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b): links between distinct fingerprints that give the same components as all pairs within ``distance`` bits.
 
-    ``prints`` holds distinct ``fp``. Of the entries that share a key, each exact one is a candidate of every other. Each entry
-    is first held against one representative of its key, an exact entry, which already joins most of a dense group. Pairs of a key are
-    compared only where one of the two is not yet in the representative's component, so the pairs of a dense group are never emitted.
+    ``prints`` holds distinct ``fp``. Entries that share a key are candidates. Each is first held against one
+    representative of its key, which already joins most of a dense group. Pairs of a key are compared only
+    where one of the two is not yet in the representative's component, so the pairs of a dense group are never emitted.
     """
     if distance != 3:
         raise ValueError("the keys are laid out for 3 differing bits")
     entries = _entries(prints).repartition("part")  # dealt once, for the representatives and for the join
-    reps = entries.groupBy("part").agg(F.min(F.when(F.col("exact"), F.col("fp"))).alias("rep"), F.count(F.lit(1)).alias("n"))
-    shared = stored(entries.join(reps.where("n > 1 and rep is not null").select("part", "rep"), "part"))
+    reps = entries.groupBy("part").agg(F.min("fp").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("part", "rep")
+    shared = stored(entries.join(reps, "part"))
 
     def near(a: Column, b: Column) -> Column:
         return (ring_start(a, b) >= 0) & (F.bit_count(a.bitwiseXOR(b)) <= distance)
@@ -120,21 +123,16 @@ def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFram
     star = stored(shared.where((F.col("fp") != F.col("rep")) & near(F.col("fp"), F.col("rep"))).select(F.col("rep").alias("a"), F.col("fp").alias("b")).distinct())
     label = components(star)
     named = shared.join(label.select(F.col("node").alias("fp"), F.col("label").alias("mine")), "fp", "left").select(
-        "part", "fp", "exact", "rep", F.coalesce("mine", "fp").alias("mine")
+        "part", "fp", "rep", F.coalesce("mine", "fp").alias("mine")
     )
     named = stored(
         named.join(label.select(F.col("node").alias("rep"), F.col("label").alias("its")), "rep", "left").select(
-            "part", "fp", "exact", "mine", F.coalesce("its", "rep").alias("its")
+            "part", "fp", "mine", F.coalesce("its", "rep").alias("its")
         )
     )
-    apart = stored(named.where("mine != its").select("part", "exact", F.col("fp").alias("a"), F.col("mine").alias("of_a")))
-    others = named.select("part", "exact", F.col("fp").alias("b"), F.col("mine").alias("of_b"))
-
-    def links(left: DataFrame, right: DataFrame) -> DataFrame:
-        found = left.drop("exact").join(right.drop("exact"), "part")
-        return found.where((F.col("of_a") != F.col("of_b")) & near(F.col("a"), F.col("b"))).select("a", "b")
-
-    rest = links(apart, others.where("exact")).unionByName(links(apart.where("exact"), others.where("not exact")))
+    apart = stored(named.where("mine != its").select("part", F.col("fp").alias("a"), F.col("mine").alias("of_a")))
+    others = named.select("part", F.col("fp").alias("b"), F.col("mine").alias("of_b"))
+    rest = apart.join(others, "part").where((F.col("of_a") != F.col("of_b")) & near(F.col("a"), F.col("b"))).select("a", "b")
     return star.unionByName(rest.distinct())
 
 
