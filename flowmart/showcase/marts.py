@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowmart import schema, sinks
+from flowmart import schema, sinks, sources
 from flowmart.operators import enrich, quality
 from flowmart.plans import jobs
 from flowmart.session import shared_dir, stored
@@ -191,6 +191,41 @@ def sdmx_decode(spark, sf):
     return jobs.stage_charges(sdmx_documents(spark, sf), _SDMX_DIMS)
 
 
+@fixture
+def sdmx_files(spark, sf):
+    """One SDMX-JSON file per order year, its observations (order values by customer, priority and status) ahead of its structure."""
+    orders = table(spark, sf, "orders").groupBy(
+        "o_custkey", F.col("o_orderpriority").alias("p"), F.year("o_orderdate").alias("y"), F.col("o_orderstatus").alias("s")
+    ).agg(exact_sum("o_totalprice").alias("v"))
+    at = lambda names, c: F.array_position(F.array(*[F.lit(n) for n in names]), F.col(c)) - 1
+    priority, status = at(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], "p"), at(["F", "O", "P"], "s")
+    cells = stored(orders.select("y", F.format_string('"%d:%d:%d:0":[%s,%d]', "o_custkey", priority, status, F.col("v").cast("string"), status).alias("cell")))
+    first = cells.groupBy("y").agg(F.min("cell").alias("first"))
+    comma = F.when(F.col("cell") == F.col("first"), "").otherwise(",")
+    lines = cells.join(first, "y").select("y", F.when(comma == "", 1).otherwise(2).alias("place"), F.concat(comma, "cell").alias("value"))
+    last = orders.agg(F.max("o_custkey")).first()[0]
+    customers = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(last)), lambda c: F.format_string('{"id":"%d"}', c)), ",")
+    named = ",".join(f'{{"id":"{i}"' + (f',"name":"{n}"}}' if n else "}") for i, n in zip("UHMNL", ["Urgent", "High", "Medium", None, "Low"]))
+    head = '{"meta":{"note":"a \\"}]\\" in a text"},"data":{"dataSets":[{"action":"Information","observations":{'
+    tail = F.concat(
+        F.lit('}}],"structures":[{"dimensions":{"observation":[{"id":"REF_AREA","keyPosition":0,"values":['), customers,
+        F.lit(f']}},{{"id":"COUNTERPART_AREA","keyPosition":1,"values":[{named}]}},{{"id":"MEASURE","keyPosition":2,"values":[{{"id":"SH"}},{{"id":"S"}},{{"id":"CA"}}]}},'
+              '{"id":"TIME_PERIOD","keyPosition":3,"values":[{"id":"'), F.col("y").cast("string"),
+        F.lit('"}]}]},"attributes":{"observation":[{"id":"OBS_STATUS","values":[{"id":"A"},{"id":"E"},{"id":"M"}]}]}}]}}'),
+    )
+    years = first.select("y")
+    ends = years.select("y", F.lit(3).alias("place"), tail.alias("value"))
+    parts = lines.unionByName(years.select("y", F.lit(0).alias("place"), F.lit(head).alias("value"))).unionByName(ends)
+    path = shared_dir(spark, "sdmx")
+    parts.repartition("y").sortWithinPartitions("y", "place").select("y", "value").write.partitionBy("y").text(path)
+    return path
+
+
+@query("sdmx_stream", _SDMX)
+def sdmx_stream(spark, sf):
+    return sources.stream_sdmx_json(spark, sdmx_files(spark, sf), _SDMX_DIMS, "COUNTERPART_AREA", value_out="value_cad_millions")
+
+
 @query("ip_charges_mart", f"""WITH d AS ({_SDMX}) SELECT CAST(TIME_PERIOD AS INT) AS year, counterpart_country,
   'Charges for use of IP - Balance' AS flow_type, value_cad_millions FROM d WHERE MEASURE='SH' AND obs_status='A'""")
 def ip_charges_mart(spark, sf):
