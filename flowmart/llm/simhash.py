@@ -90,7 +90,7 @@ def _entries(prints: DataFrame) -> DataFrame:
 
     A chain that keeps its budget has an equal first segment and at most one differing bit in the second, which
     therefore agrees outside one of its quarters: 28 bits must be equal. ``part`` numbers start and quarter above those bits.
-    Longer keys would need many more rows each (one per flipped bit for 32); with these the rows cost about as much as the
+    Longer keys would need many more rows each (one per flipped bit for 32); with these the rows cost, by estimate, about as much as the
     chance pairs at 10^10 fingerprints, and either is a small part of reading the texts.
     """
     quarter = WIDTH // 4
