@@ -134,7 +134,10 @@ def _place_hash(anchors, sources, starts):
 
 
 def _shared_pieces(batches: Iterator, often, window: int, anchor: int) -> Iterator:
-    """(anchor, digest, doc_id, source, start, windows) of the pieces of (doc_id, source, text) rows whose anchor may occur more than once."""
+    """(anchor, high, low, doc_id, source, start, windows, again, place) of the pieces of (doc_id, source, text) rows whose anchor may occur more than once.
+
+    ``high`` and ``low`` are the digest, ``again`` says that the same row holds an equal piece further left, ``place`` is one number for the piece.
+    """
     import numpy as np
     import pyarrow as pa
     import xxhash
@@ -147,9 +150,16 @@ def _shared_pieces(batches: Iterator, often, window: int, anchor: int) -> Iterat
         doc, source, local = _owners(batch, ends, starts)
         raw = memoryview(data)
         digests = [xxhash.xxh3_128_digest(raw[i:j]) for i, j in zip(starts.tolist(), (starts + sizes + window - 1).tolist())]
+        high, low = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2).T.copy()
+        order = np.lexsort((low, high, doc))
+        again = np.zeros(len(doc), bool)
+        again[order[1:]] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (low, high, doc)])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids.view(np.int64)), pa.array(digests, pa.binary()), batch.column(0).take(pa.array(doc)), pa.array(source), pa.array(local), pa.array(sizes)],
-            names=["anchor", "digest", "doc_id", "source", "start", "windows"],
+            [
+                pa.array(ids.view(np.int64)), pa.array(high), pa.array(low), batch.column(0).take(pa.array(doc)), pa.array(source), pa.array(local),
+                pa.array(sizes), pa.array(again), pa.array(_place_hash(ids, source.view(np.uint64), local).view(np.int64)),
+            ],
+            names=["anchor", "high", "low", "doc_id", "source", "start", "windows", "again", "place"],
         )
 
 
@@ -185,15 +195,6 @@ def _wanted_pieces(batches: Iterator, anchors, places, window: int, anchor: int)
         )
 
 
-@F.arrow_udf(T.LongType())
-def _place(anchor, source, start):
-    import numpy as np
-    import pyarrow as pa
-
-    a, b, c = (x.to_numpy(zero_copy_only=False) for x in (anchor, source, start))
-    return pa.array(_place_hash(a.view(np.uint64), b.view(np.uint64), c).view(np.int64))
-
-
 def suffix_order(flat, ends, most: int):
     """(owner, length, common prefix) of every suffix of several strings, sorted, but only of suffixes of ``most`` or more symbols.
 
@@ -273,8 +274,12 @@ def numbered(held: list[bytes], at: list[int], anchor: int) -> tuple[list[bytes]
     return [h[:i].translate(up) + codes[k] + h[i + anchor:].translate(up) for h, i, k in zip(held, at, which)], width
 
 
-def later_windows(strings: list[bytes], window: int):
-    """(string, offset) of every window that equals one of an earlier string, or of the same string further left; no symbol is 0."""
+def later_windows(strings: list[bytes], window: int, document, row, start):
+    """(string, offset) of every window that equals one of an earlier document, or of the same row further left; no symbol is 0.
+
+    ``document``, ``row`` and ``start`` have a number for each string: both numbers never fall from a string to the next, rows of
+    one number are one row (or the same row twice), and strings of a row are in the order of their starts in it and share no window's start.
+    """
     import numpy as np
 
     ends = np.cumsum([len(s) for s in strings])
@@ -286,21 +291,33 @@ def later_windows(strings: list[bytes], window: int):
     own, offset = owner[member].astype(np.int64), (np.diff(np.concatenate([[0], ends]))[owner[member]] - length[member]).astype(np.int64)
     if not len(run):
         return own, offset
-    rank = (own << 32) + offset
-    begins = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    first = np.repeat(np.minimum.reduceat(rank, begins), np.diff(np.concatenate([begins, [len(run)]])))
-    rank = np.sort(rank[rank != first])
-    return rank >> 32, rank & 0xFFFFFFFF
+    most = int(offset.max()) + 1
+    run, rank = np.divmod(np.sort(run * (len(strings) * most) + own * most + offset), len(strings) * most)
+    own, offset = np.divmod(rank, most)
+    runs = run[1:] != run[:-1]
+
+    def firsts(values, changes):
+        begins = np.flatnonzero(np.concatenate([[True], changes]))
+        return np.repeat(values[begins], np.diff(np.concatenate([begins, [len(values)]])))
+
+    place = start[own] + offset
+    late = document[own] > firsts(document[own], runs)
+    late |= place > firsts(place, runs | (row[own][1:] != row[own][:-1]))
+    rank = np.sort(rank[late])
+    return np.divmod(rank, most)
 
 
 def _sorted_spans(batches: Iterator, window: int, anchor: int, schema) -> Iterator:
-    """The spans that the windows of pieces make which are not the earliest of their kind; rows come by anchor, then in order."""
+    """The spans that the windows of pieces make which start earlier too; rows come by anchor, then in order."""
     import numpy as np
     import pyarrow as pa
 
     def judged(rows: pa.Table):
         strings, width = numbered(rows["held"].to_pylist(), rows["at"].to_pylist(), anchor)
-        who, offset = later_windows(strings, window - anchor + width)
+        key, source, start = rows["doc_id"].combine_chunks().dictionary_encode("encode").indices.to_numpy(), rows["source"].to_numpy(), rows["start"].to_numpy()
+        other = key[1:] != key[:-1]
+        document, row = (np.concatenate([[0], np.cumsum(x)]) for x in (other, other | (source[1:] != source[:-1])))
+        who, offset = later_windows(strings, window - anchor + width, document, row, start)
         if not len(who):
             return
         cut = np.flatnonzero((who[1:] != who[:-1]) | (offset[1:] != offset[:-1] + 1)) + 1
@@ -350,23 +367,16 @@ def _each_window(batches: Iterator, window: int) -> Iterator:
         )
 
 
-def _rank() -> F.Column:
-    """The order of starts: by key, nulls last, then text, then place."""
-    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "source", "start")
-
-
-def _later(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(all rows that are not the earliest of their group, each group with its earliest row's ``first`` and its size ``n``)."""
-    groups = stored(rows.groupBy(*by).agg(F.min(_rank()).alias("first"), F.count(F.lit(1)).alias("n")))
-    later = rows.join(groups.where("n > 1").select(*by, "first"), by).where(~_rank().eqNullSafe(F.col("first"))).select(*rows.columns)
-    return later, groups
+def _smaller(first: str) -> F.Column:
+    """Whether the key ``first`` is before the row's; null is last."""
+    return (F.col(first) < F.col("doc_id")) | (F.col("doc_id").isNull() & F.col(first).isNotNull())
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """(doc_id, source, begin, end): spans, in bytes, that windows cover which start earlier too; spans may overlap.
 
-    ``texts`` has doc_id, source (a 64-bit hash of the text) and text, and is read three times. Rows of one key are in the order of
-    their hash; rows that agree in both count as one document and have the same spans.
+    ``texts`` has doc_id, source (a 64-bit hash of the text) and text, and is read three times, its keys once more. No row of a key is before
+    another of that key: they lose nothing to each other, and rows that agree in both columns have the same spans.
     """
     spark: SparkSession = texts.sparkSession
     small_batches(spark)
@@ -379,13 +389,29 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     counted = texts.select("text").mapInArrow(lambda it: _count_anchors(it, window, anchor), "anchor long, n long")
     often = mapped(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "anchor")
-    pieces = stored(texts.mapInArrow(lambda it: _shared_pieces(it, often, window, anchor), f"anchor long, digest binary, {key}, windows long"))
-    later, groups = _later(pieces, ["anchor", "digest"])
+    pieces = stored(texts.mapInArrow(
+        lambda it: _shared_pieces(it, often, window, anchor), f"anchor long, high long, low long, {key}, windows long, again boolean, place long"
+    ))
+    same = ["anchor", "high", "low"]
+    leading = F.when(~F.col("again"), F.col("place"))
+    groups = stored(pieces.groupBy(*same).agg(
+        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.min_by(leading, F.when(~F.col("again"), F.col("doc_id"))), F.min(leading)).alias("place"),
+    ))
+    later = pieces.join(groups.where("n > 1").select(*same, "first"), same).where(F.col("again") | _smaller("first"))
     spans = later.select("doc_id", "source", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
-    # Anchors of several distinct pieces: their windows have to be compared.
+    # Anchors of several distinct pieces: their windows have to be compared, in one piece of a kind, or in each row of the first key.
     several = stored(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     anchors = mapped(several, "anchor")
-    places = mapped(groups.join(several, "anchor").select(_place("anchor", "first.source", "first.start").alias("place")), "place")
+    kinds = groups.join(several, "anchor")
+    leaders = kinds.select("place")
+    repeated, n = stored_with_count(texts.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("key")))
+    if n:
+        twins = pieces.where(~F.col("again")).join(repeated, F.col("doc_id").eqNullSafe(F.col("key")), "left_semi")
+        leaders = leaders.unionByName(
+            twins.join(kinds.select(*same, "first"), same).where(F.col("doc_id").eqNullSafe(F.col("first"))).select("place")
+        )
+    places = mapped(leaders, "place")
     distinct = stored(texts.mapInArrow(lambda it: _wanted_pieces(it, anchors, places, window, anchor), f"anchor long, held binary, at int, {key}"))
     crowded = several.where(F.col("kinds") > hot).select("anchor")
     common = distinct.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions(
@@ -394,8 +420,14 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     spans = spans.unionByName(common.mapInArrow(lambda it: _sorted_spans(it, window, anchor, spans_schema), spans_schema))
     crowd = distinct.join(crowded, "anchor", "left_semi").select("held", "doc_id", "source", "start")
     each = stored(crowd.mapInArrow(lambda it: _each_window(it, window), f"digest binary, {key}"))
-    again, _ = _later(each, ["digest"])
-    return spans.unionByName(again.select("doc_id", "source", F.col("start").alias("begin"), (F.col("start") + window).alias("end")))
+    own = stored(each.groupBy("digest", "doc_id", "source").agg(F.min("start").alias("left"), F.count(F.lit(1)).alias("n")))
+    firsts = own.groupBy("digest").agg(F.min("doc_id").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    elsewhere = each.join(firsts, "digest").where(_smaller("first"))
+    within = own.where("n > 1").select(F.col("digest").alias("d"), F.col("doc_id").alias("k"), F.col("source").alias("s"), "left")
+    there = (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("source") == F.col("s")) & (F.col("start") > F.col("left"))
+    for found in elsewhere, each.join(within, there):
+        spans = spans.unionByName(found.select("doc_id", "source", F.col("start").alias("begin"), (F.col("start") + window).alias("end")))
+    return spans
 
 
 def _cut_out(batches: Iterator) -> Iterator:
@@ -428,15 +460,14 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
 
     A byte goes if a string of ``window`` bytes covers it that also starts earlier: in a row with a smaller key (null keys are last), or further
     left in the same text. Strings are judged on the input; matches never cross documents; a null text is empty. Rows
-    that repeat a key are in the order of their texts' hashes, and rows that repeat key and text have the same result, as if they were
-    one. Texts shorter than a window lose nothing; an empty table gives no rows; other columns are not read.
+    that repeat a key lose nothing to each other, since neither has the smaller key. Texts shorter than a window lose nothing; an empty table gives no rows; other columns are not read.
 
-    ``docs`` is read five times: store it if it is costly. Only texts that may lose something are shuffled.
+    ``docs`` is read five times, its keys once more: store it if it is costly. Only texts that may lose something are shuffled.
     """
     spark = docs.sparkSession
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     texts = docs.select(F.col(f"`{key}`").alias("doc_id"), F.xxhash64(whole).alias("source"), whole.alias("text"))
-    spans = stored(repeated_spans(texts, window, anchor, hot))
+    spans = repeated_spans(texts, window, anchor, hot)
     listed, n = stored_with_count(
         spans.groupBy("doc_id", "source").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     )

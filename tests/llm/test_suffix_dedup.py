@@ -118,3 +118,39 @@ def test_pieces_hold_every_window_once():
 
 def test_empty_table(spark, make_docs):
     assert sd.drop_repeats(make_docs([])).count() == 0
+
+
+def literal(docs, window=100):
+    """(key, bytes, removed, runs, kept) of each row: only a smaller key, or an earlier start in the row itself, takes anything."""
+    key = lambda k: (k is None, k or 0)
+    windows = [[t.encode()[i:i + window] for i in range(len(t.encode()) - window + 1)] for _, t in docs]
+    least = {}
+    for (k, _), own in zip(docs, windows):
+        for w in own:
+            least[w] = min(least.get(w, key(k)), key(k))
+    out = []
+    for (k, t), own in zip(docs, windows):
+        data, seen = t.encode(), set()
+        gone = bytearray(len(data))
+        for i, w in enumerate(own):
+            if least[w] < key(k) or w in seen:
+                gone[i:i + window] = b"\1" * window
+            seen.add(w)
+        runs = sum(1 for i in range(len(data)) if gone[i] and (i == 0 or not gone[i - 1]))
+        out.append((str(k), len(data), sum(gone), runs, bytes(b for b, g in zip(data, gone) if not g)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [4096, 2, 0])
+def test_rows_that_repeat_a_key_lose_nothing_to_each_other(spark, make_docs, hot):
+    rng = random.Random(12)
+    base = "".join(rng.choices("abcdefg ", k=900))
+    docs = []
+    for i in range(60):
+        at = rng.randrange(700)
+        part = base[at:at + rng.randint(90, 300)]
+        text = part[:rng.randint(0, 200)] + rng.choice(["", "#", "##"]) + part + rng.choice(["", base[at:at + 150]])
+        docs.append((rng.choice([None, 1, 2, 3, i + 4, i + 4]), text))
+    docs += docs[:20]
+    got = sd.drop_repeats(make_docs(docs), hot=hot).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == literal(docs)
