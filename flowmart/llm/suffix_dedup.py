@@ -20,25 +20,38 @@ WINDOW, ANCHOR = 100, 48
 #: Symbols of anchors' numbers: the bytes that UTF-8 never has, plus one.
 NUMBER_FROM, NUMBERS = 249, 7
 #: Starts of windows that are hashed at once; their place is the low bits of the key that finds a minimizer.
-PLACE_BITS = 20
+PLACE_BITS = 16
 #: Bytes of the pieces that are sorted together, and distinct pieces of one anchor from which windows are grouped by Spark instead.
 COLLECTION, HOT = 256 << 10, 4096
 
 
 def _anchor_hashes(data, anchor: int):
-    """A 64-bit hash of the ``anchor`` bytes from each place, by doubling."""
+    """A 64-bit hash of the ``anchor`` bytes from each place, by doubling, from 8 bytes on if ``anchor`` is a multiple of 8."""
     import numpy as np
 
-    part, turn, length = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93, 1
+    turn, length = 0xD6E8FEB86659FD93, 1 if anchor % 8 else 8
+    if length == 1:
+        part = data.astype(np.uint64) + np.uint64(1)
+    else:
+        part = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
+        part ^= part >> np.uint64(32)
+    part *= np.uint64(0x9E3779B97F4A7C15)
+    part ^= part >> np.uint64(29)
     h, held = None, 0  # of the first ``held`` bytes
     places = len(data) - anchor + 1
     while True:
         if anchor & length:
-            h = part[:places].copy() if h is None else h * np.uint64(turn) + part[held:held + places]
+            if h is None:
+                h = part[:places].copy()
+            else:
+                h *= np.uint64(turn)
+                h += part[held:held + places]
             held += length
         if 2 * length > anchor:
             break
-        part = part[:-length] * np.uint64(turn) + part[length:]
+        longer = part[:-length] * np.uint64(turn)
+        longer += part[length:]
+        part = longer
         turn, length = turn * turn % (1 << 64), 2 * length
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
@@ -71,19 +84,21 @@ def pieces_of(data, ends, window: int = WINDOW, anchor: int = ANCHOR):
     begins = np.concatenate([[0], ends[:-1]]) if len(ends) else np.zeros(0, np.int64)
     out = []
     block = (1 << PLACE_BITS) - window
+    numbers = np.arange(min(block + window, len(data)), dtype=np.uint64)
+    beside = np.arange(window - 1)
     for at in range(0, len(data), block):
         part = data[at:at + block + window - 1]
         if len(part) < window:
             break
         h = _anchor_hashes(part, anchor)
-        least = _least((h & ~place) | np.arange(len(h), dtype=np.uint64), window - anchor + 1)
+        tagged = h & ~place
+        tagged |= numbers[:len(h)]
+        least = _least(tagged, window - anchor + 1)
         # Windows that leave their text do not count.
         first, last = np.searchsorted(ends, [at, at + len(part)], "right")
         stop = ends[first:last + 1] - at
-        mark = np.zeros(len(least) + 1, np.int32)
-        np.add.at(mark, np.clip(np.maximum(stop - window + 1, begins[first:last + 1] - at), 0, len(least)), 1)
-        np.add.at(mark, np.clip(stop, 0, len(least)), -1)
-        least[np.cumsum(mark[:-1]) > 0] = none
+        leaves = np.maximum(stop - window + 1, np.maximum(begins[first:last + 1] - at, 0))[:, None] + beside
+        least[leaves[leaves < np.minimum(stop, len(least))[:, None]]] = none
         cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
         starts = np.concatenate([[0], cuts])
         sizes = np.diff(np.concatenate([starts, [len(least)]]))
