@@ -4,7 +4,7 @@ Windows are dealt out by their minimizer: of the anchors (short substrings) in a
 equal minimizers, so windows of one anchor can be judged apart from all others. Consecutive windows with one minimizer form a
 piece. Pieces whose anchor occurs once are never sent anywhere. Equal pieces collapse to the earliest; the
 distinct pieces of an anchor are sorted by their suffixes in a task, one symbol of every piece a round. There the anchor, which all windows
-of a piece hold whole, is written as a short number.
+of a piece hold whole, is written as a short number; no suffix that starts behind it holds a window, so the rounds begin in front of it.
 """
 
 from __future__ import annotations
@@ -210,7 +210,7 @@ def _wanted_pieces(batches: Iterator, anchors, places, window: int, anchor: int)
         )
 
 
-def suffix_order(flat, ends, most: int):
+def suffix_order(flat, ends, most: int, tails=None):
     """(owner, length, common prefix) of every suffix of several strings, sorted, but only of suffixes of ``most`` or more symbols.
 
     ``flat`` holds the strings' symbols, each from 1 to 255, one string after another; common prefixes with the suffix before are counted up to
@@ -218,14 +218,18 @@ def suffix_order(flat, ends, most: int):
     The transform holds, for each sorted suffix, the symbol in front of it, or 0 at a string's start. Sorting the transform itself
     by symbol, stably, gives the places of the suffixes that the next symbols begin. Transform and prefixes are rewritten in order each
     round: old entries keep their order, new ones are merged in.
+
+    Strings may have tails that are sorted already: ``tails`` has the tails' lengths and their common prefixes, up to ``most``, with the tail before;
+    the strings come in their tails' order, without the tails. No suffix then starts within a tail; a tail counts as smaller than any symbol.
     """
     import numpy as np
 
     m = len(ends)
     sizes = np.diff(np.concatenate([[0], ends]))
-    transform = flat[ends - 1].copy()
+    transform = np.where(sizes > 0, np.append(flat, np.uint8(0))[ends - 1], 0).astype(np.uint8)
     kind = np.uint8 if most < 256 else np.uint16
-    common = np.zeros(m, kind)
+    tail, common = np.zeros((2, m), np.int64) if tails is None else tails
+    common = common.astype(kind)
     doc, spot = np.arange(m), np.arange(m)  # strings that may grow, by their place in the order
     for taken in range(1, int(sizes.max()) + 1):
         symbol = transform[spot]
@@ -266,11 +270,13 @@ def suffix_order(flat, ends, most: int):
     after = np.empty(len(order), np.int64)
     after[order] = np.arange(len(order)) + (m - done)
     doc, spot = np.arange(m), np.arange(m)
-    for taken in range(1, int(sizes.max()) + 1):
-        going = transform[spot] > 0
-        doc, spot = doc[going], after[spot[going]]
-        if taken >= most:
-            owner[spot], length[spot] = doc, taken
+    for taken in range(int(sizes.max()) + 1):
+        if taken:
+            going = transform[spot] > 0
+            doc, spot = doc[going], after[spot[going]]
+        size = tail[doc] + taken
+        whole = size >= most
+        owner[spot[whole]], length[spot[whole]] = doc[whole], size[whole]
     return owner, length, common
 
 
@@ -289,21 +295,32 @@ def numbered(held: list[bytes], at: list[int], anchor: int) -> tuple[list[bytes]
     return [h[:i].translate(up) + codes[k] + h[i + anchor:].translate(up) for h, i, k in zip(held, at, which)], width
 
 
-def later_windows(strings: list[bytes], window: int, document, row, start):
+def later_windows(strings: list[bytes], at: list[int], window: int, document, row, start):
     """(string, offset) of every window that equals one of an earlier document, or of the same row further left; no symbol is 0.
 
+    Every window of a string starts at ``at`` or before it and ends behind it, and equal windows have it at one place, as with an anchor that starts
+    there. So the strings' parts from ``at`` on are sorted once, and only the parts before grow by a symbol a round.
     ``document``, ``row`` and ``start`` have a number for each string: both numbers never fall from a string to the next, rows of
     one number are one row (or the same row twice), and strings of a row are in the order of their starts in it and share no window's start.
     """
     import numpy as np
 
-    ends = np.cumsum([len(s) for s in strings])
-    owner, length, common = suffix_order(np.frombuffer(b"".join(strings), np.uint8), ends, window)
+    tails = [s[i:] for s, i in zip(strings, at)]
+    order = sorted(range(len(strings)), key=tails.__getitem__)
+    size = np.array([len(tails[k]) for k in order])
+    padded = np.array([tails[k] for k in order], f"S{max(window, size.max())}").view(np.uint8).reshape(len(order), -1)
+    equal = np.pad(padded[1:] == padded[:-1], ((1, 0), (0, 1)))
+    shared = np.minimum(np.minimum(equal.argmin(1), size), window)
+    shared[1:] = np.minimum(shared[1:], size[:-1])
+    ends = np.cumsum([at[k] for k in order])
+    flat = np.frombuffer(b"".join(strings[k][:at[k]] for k in order), np.uint8)
+    owner, length, common = suffix_order(flat, ends, window, (size, shared))
     joined = common >= window
     member = joined.copy()
     member[:-1] |= joined[1:]
     run = np.cumsum(~joined)[member]
-    own, offset = owner[member].astype(np.int64), (np.diff(np.concatenate([[0], ends]))[owner[member]] - length[member]).astype(np.int64)
+    own = np.array(order)[owner[member]]
+    offset = np.array([len(s) for s in strings])[own] - length[member]
     if not len(run):
         return own, offset
     most = int(offset.max()) + 1
@@ -328,11 +345,12 @@ def _sorted_spans(batches: Iterator, window: int, anchor: int, schema) -> Iterat
     import pyarrow as pa
 
     def judged(rows: pa.Table):
-        strings, width = numbered(rows["held"].to_pylist(), rows["at"].to_pylist(), anchor)
+        at = rows["at"].to_pylist()
+        strings, width = numbered(rows["held"].to_pylist(), at, anchor)
         key, source, start = rows["doc_id"].combine_chunks().dictionary_encode("encode").indices.to_numpy(), rows["source"].to_numpy(), rows["start"].to_numpy()
         other = key[1:] != key[:-1]
         document, row = (np.concatenate([[0], np.cumsum(x)]) for x in (other, other | (source[1:] != source[:-1])))
-        who, offset = later_windows(strings, window - anchor + width, document, row, start)
+        who, offset = later_windows(strings, at, window - anchor + width, document, row, start)
         if not len(who):
             return
         cut = np.flatnonzero((who[1:] != who[:-1]) | (offset[1:] != offset[:-1] + 1)) + 1

@@ -154,3 +154,22 @@ def test_rows_that_repeat_a_key_lose_nothing_to_each_other(spark, make_docs, hot
     docs += docs[:20]
     got = sd.drop_repeats(make_docs(docs), hot=hot).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == literal(docs)
+
+
+def test_windows_around_sorted_tails():
+    rng = random.Random(5)
+    for _ in range(40):
+        strings, at = [], []
+        for _ in range(rng.randint(1, 25)):
+            at.append(rng.randint(0, 6))
+            number = bytes([249 + rng.randrange(2)])
+            strings.append(bytes(rng.choices(b"ab", k=at[-1])) + number + bytes(rng.choices(b"ab", k=rng.randint(6 - at[-1], 6))))
+        document = np.sort(rng.choices(range(8), k=len(strings)))
+        row = np.cumsum(np.concatenate([[0], (np.diff(document) > 0) | (np.array(rng.choices([0, 1], k=len(strings) - 1)) > 0)])) if len(strings) > 1 else document
+        start = np.arange(len(strings)) * 10
+        who, offset = sd.later_windows(strings, at, 7, document, row, start)
+        places = [(k, i) for k, s in enumerate(strings) for i in range(min(at[k], len(s) - 7) + 1)]
+        text = {p: strings[p[0]][p[1]:p[1] + 7] for p in places}
+        want = [(k, i) for k, i in places if any(
+            text[k, i] == text[q] and (document[q[0]] < document[k] or row[q[0]] == row[k] and start[q[0]] + q[1] < start[k] + i) for q in places)]
+        assert list(zip(who.tolist(), offset.tolist())) == want
