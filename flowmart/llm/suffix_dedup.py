@@ -138,20 +138,20 @@ def _count_anchors(batches: Iterator, window: int, anchor: int) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(n)], names=["anchor", "n"])
 
 
-def _place_hash(anchors, sources, starts):
-    """One number for a piece by its anchor, its text's hash and its start."""
+#: One number for a piece by its anchor, its text's hash and its start, here and in ``_place_of``.
+PLACE = "anchor ^ source ^ shiftleft(start, 40)"
+
+
+def _place_of(anchors, sources, starts):
     import numpy as np
 
-    h = (anchors ^ (sources * np.uint64(0x9E3779B97F4A7C15))) + starts.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
-    return h ^ (h >> np.uint64(32))
+    return anchors ^ sources ^ (starts.astype(np.uint64) << np.uint64(40))
 
 
 def _shared_pieces(batches: Iterator, often, window: int, anchor: int) -> Iterator:
-    """(anchor, high, low, doc_id, source, start, windows, again, place) of the pieces of (doc_id, source, text) rows whose anchor may occur more than once.
+    """(anchor, high, low, doc_id, source, start, windows, again) of the pieces of (doc_id, source, text) rows whose anchor may occur more than once.
 
-    ``high`` and ``low`` are the digest, ``again`` says that the same row holds an equal piece further left, ``place`` is one number for the piece.
+    ``high`` and ``low`` are the digest, ``again`` says that the same row holds an equal piece further left.
     """
     import numpy as np
     import pyarrow as pa
@@ -172,9 +172,9 @@ def _shared_pieces(batches: Iterator, often, window: int, anchor: int) -> Iterat
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids.view(np.int64)), pa.array(high), pa.array(low), batch.column(0).take(pa.array(doc)), pa.array(source), pa.array(local),
-                pa.array(sizes), pa.array(again), pa.array(_place_hash(ids, source.view(np.uint64), local).view(np.int64)),
+                pa.array(sizes), pa.array(again),
             ],
-            names=["anchor", "high", "low", "doc_id", "source", "start", "windows", "again", "place"],
+            names=["anchor", "high", "low", "doc_id", "source", "start", "windows", "again"],
         )
 
 
@@ -198,7 +198,7 @@ def _wanted_pieces(batches: Iterator, anchors, places, window: int, anchor: int)
         keep = map_has(anchors.value, found[2])
         starts, sizes, ids, spots = (x[keep] for x in found)
         doc, source, local = _owners(batch, ends, starts)
-        keep = map_has(places.value, _place_hash(ids, source.view(np.uint64), local))
+        keep = map_has(places.value, _place_of(ids, source.view(np.uint64), local))
         raw = memoryview(data)
         held = [bytes(raw[i:j]) for i, j in zip(starts[keep].tolist(), (starts + sizes + window - 1)[keep].tolist())]
         yield pa.RecordBatch.from_arrays(
@@ -423,26 +423,26 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     counted = texts.select("text").mapInArrow(lambda it: _count_anchors(it, window, anchor), "anchor long, n long")
     often = mapped(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "anchor")
     pieces = stored(texts.mapInArrow(
-        lambda it: _shared_pieces(it, often, window, anchor), f"anchor long, high long, low long, {key}, windows long, again boolean, place long"
+        lambda it: _shared_pieces(it, often, window, anchor), f"anchor long, high long, low long, {key}, windows long, again boolean"
     ))
     same = ["anchor", "high", "low"]
-    leading = F.when(~F.col("again"), F.col("place"))
-    groups = stored(pieces.groupBy(*same).agg(
-        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.min_by(leading, F.when(~F.col("again"), F.col("doc_id"))), F.min(leading)).alias("place"),
+    leftmost = pieces.where(~F.col("again"))
+    groups = stored(leftmost.groupBy(*same).agg(
+        F.min("doc_id").alias("first"), F.min_by(F.expr(PLACE), "doc_id").alias("place"), F.count(F.lit(1)).alias("n")
     ))
-    later = pieces.join(groups.where("n > 1").select(*same, "first"), same).where(F.col("again") | _smaller("first"))
+    later = leftmost.join(groups.where("n > 1").select(*same, "first"), same).where(_smaller("first"))
+    later = later.select("doc_id", "source", "start", "windows").unionByName(pieces.where("again").select("doc_id", "source", "start", "windows"))
     spans = later.select("doc_id", "source", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
     # Anchors of several distinct pieces: their windows have to be compared, in one piece of a kind, or in each row of the first key.
     several = stored(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     anchors = mapped(several, "anchor")
     kinds = groups.join(several, "anchor")
-    leaders = kinds.select("place")
-    repeated, n = stored_with_count(texts.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("key")))
+    leaders = kinds.where("place IS NOT NULL").select("place")  # null where all keys are
+    repeated, n = stored_with_count(texts.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("key")))
     if n:
-        twins = pieces.where(~F.col("again")).join(repeated, F.col("doc_id").eqNullSafe(F.col("key")), "left_semi")
+        twins = leftmost.join(repeated, F.col("doc_id").eqNullSafe(F.col("key")), "left_semi")
         leaders = leaders.unionByName(
-            twins.join(kinds.select(*same, "first"), same).where(F.col("doc_id").eqNullSafe(F.col("first"))).select("place")
+            twins.join(kinds.select(*same, "first"), same).where(F.col("doc_id").eqNullSafe(F.col("first"))).select(F.expr(PLACE).alias("place"))
         )
     places = mapped(leaders, "place")
     distinct = stored(texts.mapInArrow(lambda it: _wanted_pieces(it, anchors, places, window, anchor), f"anchor long, held binary, at int, {key}"))
