@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowmart import schema, sinks, sources
-from flowmart.operators import enrich, quality
+from flowmart.operators import conform, enrich, quality
 from flowmart.plans import jobs
 from flowmart.session import shared_dir, stored
 from flowmart.showcase.columns import INDUSTRY, industry_text
@@ -194,30 +194,44 @@ def sdmx_decode(spark, sf):
 @fixture
 def sdmx_files(spark, sf):
     """One SDMX-JSON file per order year, its observations (order values by customer, priority and status) ahead of its structure."""
+    place = lambda names, c: F.coalesce(*[F.when(F.col(c) == n, i) for i, n in enumerate(names)], F.lit(len(names)))
     orders = table(spark, sf, "orders").groupBy(
-        "o_custkey", F.col("o_orderpriority").alias("p"), F.year("o_orderdate").alias("y"), F.col("o_orderstatus").alias("s")
+        "o_custkey", F.year("o_orderdate").alias("y"), place(["F", "O"], "o_orderstatus").alias("s"),
+        place(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"], "o_orderpriority").alias("p"),
     ).agg(exact_sum("o_totalprice").alias("v"))
-    at = lambda names, c: F.array_position(F.array(*[F.lit(n) for n in names]), F.col(c)) - 1
-    priority, status = at(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], "p"), at(["F", "O", "P"], "s")
-    cells = stored(orders.select("y", F.format_string('"%d:%d:%d:0":[%s,%d]', "o_custkey", priority, status, F.col("v").cast("string"), status).alias("cell")))
-    first = cells.groupBy("y").agg(F.min("cell").alias("first"))
+    customers = stored(conform.with_surrogate_key(table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct(), "nth", ["id"]))
+    keyed = orders.join(customers, F.col("o_custkey").eqNullSafe(F.col("id")))
+    cell = F.format_string('"%d:%d:%d:0":[%s,%d]', F.col("nth") - 1, "p", "s", F.col("v").cast("string"), "s")
+    cells = stored(keyed.select("y", cell.alias("cell")))
+    # A row per document. Each has a number, by which its lines are dealt out: a repartition by the year is left out where Spark takes the
+    # union's parts to lie by year already, though it later reads each of them in another way.
+    years = cells.groupBy("y").agg(F.min("cell").alias("first")).collect()
+    docs = F.broadcast(spark.createDataFrame([(i, r["y"], r["first"]) for i, r in enumerate(years)], "doc int, year int, first string"))
     comma = F.when(F.col("cell") == F.col("first"), "").otherwise(",")
-    lines = cells.join(first, "y").select("y", F.when(comma == "", 1).otherwise(2).alias("place"), F.concat(comma, "cell").alias("value"))
-    last = orders.agg(F.max("o_custkey")).first()[0]
-    customers = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(last)), lambda c: F.format_string('{"id":"%d"}', c)), ",")
-    named = ",".join(f'{{"id":"{i}"' + (f',"name":"{n}"}}' if n else "}") for i, n in zip("UHMNL", ["Urgent", "High", "Medium", None, "Low"]))
-    head = '{"meta":{"note":"a \\"}]\\" in a text"},"data":{"dataSets":[{"action":"Information","observations":{'
-    tail = F.concat(
-        F.lit('}}],"structures":[{"dimensions":{"observation":[{"id":"REF_AREA","keyPosition":0,"values":['), customers,
-        F.lit(f']}},{{"id":"COUNTERPART_AREA","keyPosition":1,"values":[{named}]}},{{"id":"MEASURE","keyPosition":2,"values":[{{"id":"SH"}},{{"id":"S"}},{{"id":"CA"}}]}},'
-              '{"id":"TIME_PERIOD","keyPosition":3,"values":[{"id":"'), F.col("y").cast("string"),
-        F.lit('"}]}]},"attributes":{"observation":[{"id":"OBS_STATUS","values":[{"id":"A"},{"id":"E"},{"id":"M"}]}]}}]}}'),
+    lines = cells.join(docs, F.col("y").eqNullSafe(F.col("year"))).select(
+        "doc", "year", F.when(comma == "", 1).otherwise(2).alias("place"), F.lit(0).cast("long").alias("at"), F.concat(comma, "cell").alias("value")
     )
-    years = first.select("y")
-    ends = years.select("y", F.lit(3).alias("place"), tail.alias("value"))
-    parts = lines.unionByName(years.select("y", F.lit(0).alias("place"), F.lit(head).alias("value"))).unionByName(ends)
+    code = lambda c: F.when(c["id"].isNull(), "{}").otherwise(F.format_string('{"id":"%d"}', c["id"]))
+    block = F.floor((F.col("nth") - 1) / 10_000).alias("at")
+    codes = customers.groupBy(block).agg(F.array_sort(F.collect_list(F.struct("nth", "id"))).alias("of")).select(
+        "at", F.concat(F.when(F.col("at") == 0, "").otherwise(","), F.array_join(F.transform("of", code), ",")).alias("value")
+    )
+    named = ",".join(f'{{"id":"{i}"' + (f',"name":"{n}"}}' if n else "}") for i, n in zip("UHMNL", ["Urgent", "High", "Medium", None, "Low"]))
+    year = F.when(F.col("year").isNull(), "{}").otherwise(F.format_string('{"id":"%d"}', "year"))
+    texts = {
+        0: F.lit('{"meta":{"note":"a \\"}]\\" in a text"},"data":{"dataSets":[{"action":"Information","observations":{'),
+        3: F.lit('}}],"structures":[{"dimensions":{"observation":[{"id":"REF_AREA","keyPosition":0,"values":['),
+        5: F.concat(
+            F.lit(f']}},{{"id":"COUNTERPART_AREA","keyPosition":1,"values":[{named}]}},{{"id":"MEASURE","keyPosition":2,"values":[{{"id":"SH"}},{{"id":"S"}},{{"id":"CA"}}]}},'
+                  '{"id":"TIME_PERIOD","keyPosition":3,"values":['), year,
+            F.lit(']}]},"attributes":{"observation":[{"id":"OBS_STATUS","values":[{"id":"A"},{"id":"E"},{"id":"M"}]}]}}]}}'),
+        ),
+    }
+    frame = docs.select("doc", "year", F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(0).cast("long").alias("at"), t.alias("value")) for i, t in texts.items()])).alias("t"))
+    lists = codes.crossJoin(docs).select("doc", "year", F.lit(4).alias("place"), "at", "value")
+    parts = lines.unionByName(lists).unionByName(frame.select("doc", "year", "t.*"))
     path = shared_dir(spark, "sdmx")
-    parts.repartition("y").sortWithinPartitions("y", "place").select("y", "value").write.partitionBy("y").text(path)
+    parts.repartitionById(max(len(years), 1), "doc").sortWithinPartitions("year", "place", "at").select("year", "value").write.partitionBy("year").text(path)
     return path
 
 
