@@ -1,32 +1,66 @@
 """Large XML files split at their records, each record with the attributes of all its ancestors.
 
-Two passes over a file. The first streams it once and writes the intervals of records: byte ranges in which records follow each other under
-the same open ancestors, with those ancestors' attributes. The second reads the intervals, many tasks to a file.
+Two passes over a file. The first streams it once and writes byte ranges of about the same length that begin with a record and end behind
+one, each with the elements that are open where it begins. The second reads the ranges, many tasks to a file, and follows the elements
+that open and close between the records.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowmart.session import ship_package, stored_with_count
 from flowmart.sources.xml import record_columns
 
-_INTERVALS = "path STRING, encoding STRING, starts ARRAY<LONG>, stops ARRAY<LONG>, above ARRAY<STRING>"
+_INTERVALS = "path STRING, encoding STRING, starts ARRAY<LONG>, stops ARRAY<LONG>, above ARRAY<STRING>, columns ARRAY<STRING>"
 _PACKED = (".gz", ".bz2", ".zst", ".lz4", ".xz", ".zip")
 
 
+#: The most intervals in a group where each is kept by itself, so that rows of their table stay small: a reader holds thousands of them.
+_KEPT = 100
+
+
 def _local(name: str) -> str:
     return name.rpartition(":")[2]
 
 
+def _named(tag: str, attributes) -> list[tuple[str, str]]:
+    """(column, attribute) of an ancestor's attributes."""
+    return [(f"{_local(tag)}_{_local(name)}", name) for name in attributes if name != "xmlns" and not name.startswith("xmlns:")]
+
+
+def _attributes(above) -> dict[str, str]:
+    """The attributes of open elements, (name, attributes) from the root down, by column."""
+    return {column: attributes[name] for tag, attributes in above for column, name in _named(tag, attributes)}
+
+
+def _columns(group) -> list[str]:
+    """The columns that the ancestors of a group's records have; two that would share one under the same record fail."""
+    found: set[str] = set()
+    for layout in {tuple((tag, *attributes) for tag, attributes in above) for _, _, above in group}:
+        names: set[str] = set()
+        for column, _ in (c for tag, *attributes in layout for c in _named(tag, attributes)):
+            if column in names:
+                raise ValueError(f"two ancestors of a record would share the column {column!r}")
+            names.add(column)
+        found |= names
+    return sorted(found)
+
+
 class RecordIntervals:
     """Collects intervals of records while a document is fed in pieces.
 
     An interval ends where its parent ends, where another element opens between the records, or where its group of intervals spans
-    ``span`` bytes. Memory follows the depth of the document and one group, not the length of the document.
+    ``span`` bytes; it has the elements open above it, (name, attributes) from the root down. Memory follows the depth of the document and
+    one group, not the length of the document.
+
+    A group can be read from its first interval's elements on, unless the document has a type (``typed``): that may give attributes
+    and entities which a part of the document does not show.
     """
 
     def __init__(self, record: str, span: int):
@@ -36,14 +70,16 @@ class RecordIntervals:
         self.encoding = "utf-8"
         self.above: list[tuple[str, dict[str, str]]] = []
         self.inside = 0
+        self.typed = False
         self.start: int | None = None
-        self.group: list[tuple[int, int, str]] = []
-        self.done: list[list[tuple[int, int, str]]] = []
+        self.group: list[tuple[int, int, tuple]] = []
+        self.done: list[list[tuple[int, int, tuple]]] = []
         self.parser = expat.ParserCreate()
         self.parser.StartElementHandler = self._open
         self.parser.EndElementHandler = self._close
         self.parser.XmlDeclHandler = self._declared
         self.parser.EntityDeclHandler = self._entity
+        self.parser.StartDoctypeDeclHandler = self._type
 
     def _declared(self, version, encoding, standalone):
         self.encoding = (encoding or "utf-8").lower()
@@ -53,21 +89,12 @@ class RecordIntervals:
     def _entity(self, *_):
         raise ValueError("XML that declares entities cannot be split, since its records do not stand alone")
 
-    def _attributes(self) -> str:
-        found: dict[str, str] = {}
-        for tag, attributes in self.above:
-            for name, value in attributes.items():
-                if name == "xmlns" or name.startswith("xmlns:"):
-                    continue
-                column = f"{tag}_{_local(name)}"
-                if column in found:
-                    raise ValueError(f"two ancestors of a record would share the column {column!r}")
-                found[column] = value
-        return json.dumps(found)
+    def _type(self, *_):
+        self.typed = True
 
     def _end_interval(self, at: int) -> None:
         if self.start is not None:
-            self.group.append((self.start, at, self._attributes()))
+            self.group.append((self.start, at, tuple(self.above)))
             self.start = None
 
     def _end_group(self) -> None:
@@ -82,11 +109,11 @@ class RecordIntervals:
         at = self.parser.CurrentByteIndex
         if _local(name) != self.record:
             self._end_interval(at)
-            self.above.append((_local(name), attributes))
+            self.above.append((name, attributes))
             return
         self.inside = 1
         first = self.group[0][0] if self.group else self.start
-        if first is not None and at - first >= self.span:
+        if first is not None and (at - first >= self.span or len(self.group) >= (_KEPT if self.typed else math.inf)):
             self._end_interval(at)
             self._end_group()
         if self.start is None:
@@ -99,7 +126,7 @@ class RecordIntervals:
         self._end_interval(self.parser.CurrentByteIndex)
         self.above.pop()
 
-    def feed(self, piece: bytes, last: bool = False) -> list[list[tuple[int, int, str]]]:
+    def feed(self, piece: bytes, last: bool = False) -> list[list[tuple[int, int, tuple]]]:
         """The groups of intervals that this piece ended."""
         self.parser.Parse(piece, last)
         if last:
@@ -110,41 +137,63 @@ class RecordIntervals:
         return ready
 
 
-def cut_records(data: bytes, encoding: str) -> Iterator[str]:
-    """The text of each top element of a byte range that holds nothing else but white space, comments and instructions."""
+def records_below(data: bytes, encoding: str, record: str | None, above: Sequence[tuple[str, dict[str, str]]]) -> Iterator[tuple[str, dict[str, str]]]:
+    """The text of each record in a byte range and the attributes of its ancestors by column, of which ``above`` are open where the range begins.
+
+    Without a tag each top element is a record.
+    """
     from xml.parsers import expat
 
-    parser, head = expat.ParserCreate(encoding), b"<r>"
-    found: list[tuple[int, int]] = []
-    depth, start = 0, 0
+    parser, head = expat.ParserCreate(encoding), "".join(f"<{name}>" for name, _ in above).encode(encoding)
+    found: list[tuple[int, int, dict[str, str]]] = []
+    open_: list[tuple[str, dict[str, str]]] = []
+    held: dict[str, str] | None = None
+    inside, start = 0, 0
 
     def opened(name, attributes):
-        nonlocal depth, start
-        if depth == 1:
-            start = parser.CurrentByteIndex - len(head)
-        depth += 1
+        nonlocal inside, start, held
+        if inside:
+            inside += 1
+            return
+        at = parser.CurrentByteIndex - len(head)
+        if at >= 0 and (record is None or _local(name) == record):
+            inside, start = 1, at
+            return
+        open_.append((name, attributes) if at >= 0 else above[len(open_)])
+        held = None
 
     def closed(name):
-        nonlocal depth
-        depth -= 1
-        if depth == 1:
+        nonlocal inside, held
+        if not inside:
+            open_.pop()
+            held = None
+            return
+        inside -= 1
+        if not inside:
             # At an end tag the index is its beginning, at an element without one it is behind the element, where no end tag can follow.
             at = parser.CurrentByteIndex - len(head)
-            found.append((start, data.index(b">", at) + 1 if data[at:at + 2] == b"</" else at))
+            held = _attributes(open_) if held is None else held
+            found.append((start, data.index(b">", at) + 1 if data[at:at + 2] == b"</" else at, held))
 
     parser.StartElementHandler, parser.EndElementHandler = opened, closed
     parser.Parse(head, False)
     parser.Parse(data, False)
-    parser.Parse(b"</r>", True)
-    for a, b in found:
-        yield data[a:b].decode(encoding)
+    parser.Parse("".join(f"</{name}>" for name, _ in reversed(open_)).encode(encoding), True)
+    for a, b, attributes in found:
+        yield data[a:b].decode(encoding), attributes
+
+
+def cut_records(data: bytes, encoding: str) -> Iterator[str]:
+    """The text of each top element of a byte range that holds nothing else but white space, comments and instructions."""
+    return (text for text, _ in records_below(data, encoding, None, [("r", {})]))
 
 
 def record_intervals(spark: SparkSession, path: str, record: str, span: int = 8 << 20) -> tuple[DataFrame, int]:
     """The stored table of interval groups of all files, and its row count.
 
-    One row per group of intervals that together span about ``span`` bytes; ``above`` holds the ancestors' attributes of each interval
-    as JSON. Every file is streamed once in a task of its own.
+    One row per group of intervals that together span about ``span`` bytes, as one range from the first to the last, or for a document with a
+    type as the intervals themselves; ``above`` holds the elements open where each begins as JSON, ``columns`` the names of all that the
+    group's ancestors give. Every file is streamed once in a task of its own.
     """
     ship_package(spark)
 
@@ -162,12 +211,15 @@ def record_intervals(spark: SparkSession, path: str, record: str, span: int = 8
                     while True:
                         piece = f.read(1 << 20)
                         try:
-                            groups = intervals.feed(piece, not piece)
+                            groups = [(g, _columns(g)) for g in intervals.feed(piece, not piece)]
                         except Exception as e:
                             raise ValueError(f"{file}: {e}") from e
                         if groups:
-                            rows = [(file, intervals.encoding, *map(list, zip(*g))) for g in groups]
-                            yield pd.DataFrame(rows, columns=["path", "encoding", "starts", "stops", "above"])
+                            rows = []
+                            for g, columns in groups:
+                                starts, stops, above = zip(*(g if intervals.typed else [(g[0][0], g[-1][1], g[0][2])]))
+                                rows.append((file, intervals.encoding, [*starts], [*stops], [json.dumps(x) for x in above], columns))
+                            yield pd.DataFrame(rows, columns=["path", "encoding", "starts", "stops", "above", "columns"])
                         if not piece:
                             break
 
@@ -193,8 +245,7 @@ def read_split_records(
 
     intervals, n = record_intervals(spark, path, record, span)
     if ancestors is None:
-        names = F.explode(F.map_keys(F.from_json("one", "MAP<STRING, STRING>")))
-        ancestors = sorted(r.name for r in intervals.select(F.explode(F.array_distinct("above")).alias("one")).select(names.alias("name")).distinct().collect())
+        ancestors = sorted(r.name for r in intervals.select(F.explode("columns").alias("name")).distinct().collect())
     ancestors = list(ancestors)
     if schema is None:
         schema = xml_reader(spark, record).load(path).schema
@@ -211,16 +262,14 @@ def read_split_records(
                     first = int(row.starts[0])
                     f.seek(first)
                     data = f.read(int(row.stops[-1]) - first)
-                rows = []
                 for a, b, above in zip(row.starts, row.stops, row.above):
-                    held = json.loads(above)
-                    values = [held.get(c) for c in ancestors]
-                    rows += [(text, *values) for text in cut_records(data[a - first:b - first], row.encoding)]
-                for i in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[i:i + 10_000], columns=columns)
-
-    # 16 groups, 128 MB by default, to a task, but no core without work.
-    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, n // 16)))
+                    found = records_below(data[a - first:b - first], row.encoding, record, json.loads(above))
+                    while rows := [(text, *map(held.get, ancestors)) for text, held in islice(found, 10_000)]:
+                        yield pd.DataFrame(rows, columns=columns)
+
+    # 16 spans, 128 MB by default, to a task, but no core without work.
+    size = intervals.agg(F.sum(F.element_at("stops", -1) - F.get("starts", F.lit(0)))).first()[0] or 0
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, size // (16 * span))))
     out = T.StructType([T.StructField("record", T.StringType()), *[T.StructField(f"a{i}", T.StringType()) for i in range(len(ancestors))]])
     texts = intervals.repartition(tasks).mapInPandas(read, out)
     parsed = texts.select(

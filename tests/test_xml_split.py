@@ -108,3 +108,23 @@ def test_compressed_and_files_without_records(spark, tmp_path):
     (tmp_path / "x.xml.gz").write_bytes(b"x")
     with pytest.raises(Exception, match="compressed"):
         sources.read_split_records(spark, str(tmp_path), "rec", schema=T.StructType.fromDDL("v STRING"))
+
+
+def test_rows_of_the_ranges_are_small(spark, tmp_path):
+    """A reader holds thousands of rows at once, so a row may not list what lies in its range."""
+    body = "".join(f"<order key='{i}'><group g='{i % 5}'><rec k='{i}'><v>{i}</v></rec></group></order>" for i in range(20_000))
+    for name, head, least in (("plain", "", 3), ("typed", "<!DOCTYPE root [<!ATTLIST group h CDATA 'd'>]>", 150)):
+        (tmp_path / f"{name}.xml").write_text(f"{head}<root date='d'>{body}</root>")
+        table, n = sources.record_intervals(spark, str(tmp_path / f"{name}.xml"), "rec", 1 << 19)
+        longest = max(sum(len(x) for x in r.above) + 16 * len(r.starts) for r in table.collect())
+        assert least <= n <= 2 * least and longest < 16 << 10
+        got = sources.read_split_records(spark, str(tmp_path / f"{name}.xml"), "rec", span=1 << 19)
+        assert set(got.columns) == {"root_date", "order_key", "group_g", "k", "v"} | ({"group_h"} if head else set())
+        assert got.where("root_date = 'd' and order_key = k and group_g = k % 5 and v = k").select("k").distinct().count() == got.count() == 20_000
+        assert not head or got.where("group_h = 'd'").count() == 20_000
+
+
+def test_attributes_of_one_ancestor_that_share_a_column(spark, tmp_path):
+    (tmp_path / "x.xml").write_text("<r xmlns:a='1' xmlns:b='2' a:k='1' b:k='2'><rec/></r>")
+    with pytest.raises(Exception, match="share the column"):
+        sources.read_split_records(spark, str(tmp_path), "rec").collect()
